@@ -31,11 +31,9 @@ DECIMAL = rf"\A[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_
 HEXADECIMAL = r"\A[+-]?0[xX](?:[0-9a-fA-F]+(?:\.[0-9a-fA-F]*)?|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+\z"
 SPECIAL = r"\A(?i:[+-]?inf(?:inity)?|nan)\z"
 
-_NO_ERROR = F.lit(None).cast("string")
-
 
 def no_error() -> Column:
-    return _NO_ERROR
+    return F.lit(None).cast("string")
 
 
 def integer_value(c: Column) -> Column:
@@ -82,11 +80,11 @@ def parse_float(c: Column) -> Parsed:
 
 
 def parse_string(c: Column) -> Parsed:
-    return Parsed(F.coalesce(c, F.lit("")), _NO_ERROR)
+    return Parsed(F.coalesce(c, F.lit("")), no_error())
 
 
 def parse_nullable_string(c: Column) -> Parsed:
-    return Parsed(F.nullif(c, F.lit("")), _NO_ERROR)
+    return Parsed(F.nullif(c, F.lit("")), no_error())
 
 
 def parse_nullable_int(c: Column) -> Parsed:
@@ -115,17 +113,17 @@ def timestamp_value(c: Column, formats: list[str] | None = None) -> Column:
 
 def constant(value: Column) -> Parser:
     """A column that does not come from the file."""
-    return lambda _c: Parsed(value, _NO_ERROR)
+    return lambda _c: Parsed(value, no_error())
 
 
 def from_function(value: Callable[[Column], Column], error: Callable[[Column], Column] | None = None) -> Parser:
     """Wrap any column function (built-in expression or pandas UDF) as a parser."""
-    return lambda c: Parsed(value(c), error(c) if error else _NO_ERROR)
+    return lambda c: Parsed(value(c), error(c) if error else no_error())
 
 
 def first_error(fields: list[tuple[str, Parsed]]) -> Column:
     """Message of the first bad field of a row in field order, NULL when the row is good."""
-    return F.coalesce(*[F.concat(F.lit(f"{name}: "), p.error) for name, p in fields], _NO_ERROR)
+    return F.coalesce(*[F.concat(F.lit(f"{name}: "), p.error) for name, p in fields], no_error())
 
 
 def gated_value(parsed: Parsed, previous: list[Parsed]) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from bulkflow.functions.times import micros, plus_micros
+from bulkflow.functions.times import plus_micros
 from bulkflow.plans import tables
 from bulkflow.session import delete_dir, fresh_dir, make_dir, quoted, sql_string
 
@@ -189,7 +189,3 @@ class PartitionedTable:
         rows = self.append(df)
         self.retain_latest()
         return rows
-
-
-def seconds_since_epoch(ts: Column) -> Column:
-    return F.floor(micros(ts) / 1_000_000).cast("bigint")

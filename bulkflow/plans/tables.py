@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -76,13 +77,12 @@ def append(df: DataFrame, table: str) -> int:
     )
     counter = Observation()
     aligned.observe(counter, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
-    return counter.get["rows"]
+    return counter.get.get("rows", 0)
 
 
 def truncate(spark: SparkSession, table: str) -> None:
     """Empty a table by pointing it at an empty folder; running readers keep their files."""
-    partitions = spark.catalog.getTable(table) and _is_partitioned(spark, table)
-    if partitions:
+    if _is_partitioned(spark, table):
         for r in spark.sql(f"SHOW PARTITIONS {quoted(table)}").collect():
             spark.sql(f"ALTER TABLE {quoted(table)} DROP PARTITION ({partition_clause(r.partition)})")
         return
@@ -102,8 +102,6 @@ def point(spark: SparkSession, table: str, path: str, partition: str | None = No
 
 def partition_clause(spec: str) -> str:
     """``a=x/b=y`` as SHOW PARTITIONS prints it -> a partition clause."""
-    from urllib.parse import unquote
-
     parts = []
     for item in spec.split("/"):
         name, value = item.split("=", 1)
@@ -119,7 +117,7 @@ def write_fresh(df: DataFrame, label: str, max_rows_per_file: int = 0) -> tuple[
     if max_rows_per_file > 0:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
     writer.parquet(path)
-    return path, counter.get["rows"]
+    return path, counter.get.get("rows", 0)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> None:

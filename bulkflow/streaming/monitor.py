@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from bulkflow.operators.monitor import fold_ticks, is_error, tick_counts
+from bulkflow.operators.monitor import baseline, flag_changes, fold_ticks, is_error, tick_counts
+from bulkflow.session import list_dirs
 from bulkflow.streaming.ingest import for_each_available
 
 
@@ -35,30 +32,41 @@ def write_tick_stats(samples: DataFrame, checkpoint: str, path: str, delay: str
     for_each_available(tick_stream(samples, delay), checkpoint, write)
 
 
-def _track(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Emit the good samples of one worker whose value differs from its baseline."""
-    base = state.get[0] if state.exists else None
-    for pdf in batches:
-        good = pdf[~pdf["bad"]].sort_values(["ts", "sample_id"])
-        if base is None and len(good):
-            base = good["value"].iloc[0]
-            state.update((base,))
-        if base is not None:
-            hits = good[good["value"] != base]
-            yield hits[["worker", "sample_id", "ts", "value"]].assign(baseline=base)
+def write_changes(samples: DataFrame, checkpoint: str, path: str, initial: str = "") -> None:
+    """Good samples that differ from the baseline, written as they arrive.
 
+    An empty baseline is set by the first good sample of the first micro-batch that has one;
+    that single value is stored beside the changes, so a restart goes on with it.
+    """
+    spark = samples.sparkSession
+    order = ["ts", "sample_id"]
+    stored = StoredBaseline(spark, f"{path}/baseline")
 
-def change_stream(samples: DataFrame) -> DataFrame:
-    """Samples that differ from the first good value of their worker, as they arrive.
+    def write(batch: DataFrame, number: int) -> None:
+        known = initial or stored.read()
+        if not known:
+            known = baseline(batch, order).first()["baseline"]
+            if not known:
+                return
+            stored.write(known, number)
+        changed = flag_changes(batch.filter(~is_error()), F.lit(known)).filter("changed")
+        changed.withColumn("baseline", F.lit(known)).write.mode("overwrite").parquet(f"{path}/changes/batch={number}")
 
-    State is one text per worker.  The baseline is the earliest good sample of the first
-    micro-batch in which the worker appears.
-    """
-    prepared = samples.select("worker", "sample_id", "ts", "value", is_error().alias("bad"))
-    return prepared.groupBy("worker").applyInPandasWithState(
-        _track,
-        "worker bigint, sample_id bigint, ts timestamp_ntz, value string, baseline string",
-        "baseline string",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    for_each_available(samples, checkpoint, write)
+
+
+class StoredBaseline:
+    """One value kept in a folder."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def read(self) -> str | None:
+        if not list_dirs(self.spark, self.path):
+            return None
+        rows = self.spark.read.schema("baseline string, batch bigint").parquet(self.path)
+        return rows.agg(F.min_by("baseline", "batch")).first()[0]
+
+    def write(self, value: str, number: int) -> None:
+        one = self.spark.createDataFrame([(value,)], "baseline string")
+        one.write.mode("overwrite").parquet(f"{self.path}/batch={number}")

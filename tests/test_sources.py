@@ -1,0 +1,212 @@
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from bulkflow.functions import parse
+from bulkflow.sources import generate, sections
+from bulkflow.sources.mapped_csv import MappedCsv, Mapping
+from bulkflow.sources.position import with_row_index
+from bulkflow.sources.records import field_count, field_value, read_records, split_fields
+from bulkflow.sources.typed_csv import TypedCsv
+
+PEOPLE = "ID, FIRST_NAME, AGE, SALARY\nVARCHAR2, VARCHAR2, NUMBER, NUMBER\n" "1, ALICE, 30, 90000\n2, BOB, 28, 70000.5\n"
+
+
+def test_typed_scan(spark, csv_file):
+    t = TypedCsv(spark, csv_file(PEOPLE))
+    assert t.columns == [("ID", "VARCHAR2"), ("FIRST_NAME", "VARCHAR2"), ("AGE", "NUMBER"), ("SALARY", "NUMBER")]
+    df = t.data()
+    assert dict(df.dtypes)["AGE"] == "bigint" and dict(df.dtypes)["SALARY"] == "double"
+    assert rows_of(df, "ID") == [("1", "ALICE", 30, 90000.0), ("2", "BOB", 28, 70000.5)]
+
+
+def test_typed_scan_blank_ragged_and_quoted(spark, csv_file):
+    text = 'ID,NAME,X\nNUMBER,VARCHAR,CLOB\n1, "a, ""q""" ,z\n\n,,\n  , ,\n2,b\n3,c,d,extra\n,,,only extra\n'
+    t = TypedCsv(spark, csv_file(text))
+    got = rows_of(t.data(row_number=True), "_row")
+    assert got == [(3, 1, 'a, "q"', "z"), (4, 2, "b", None), (5, 3, "c", "d"), (6, None, None, None)]
+    assert sorted(rows_of(t.data()), key=str) == sorted([g[1:] for g in got], key=str)
+
+
+def test_typed_scan_integers_stay_exact(spark, csv_file):
+    big = 2**53 + 1
+    t = TypedCsv(spark, csv_file(f"N\nNUMBER\n{big}\n"))
+    assert rows_of(t.data()) == [(big,)]
+
+
+def test_typed_scan_rejects(spark, csv_file, small_splits):
+    body = "".join(f"{i},{i}\n" for i in range(200))
+    t = TypedCsv(spark, csv_file("A,B\nNUMBER,NUMBER\n" + body + "1,bad\nworse,2\n"))
+    assert rows_of(t.rejects().select("row", "col", "column", "raw"), "row") == [
+        (203, 2, "B", "bad"), (204, 1, "A", "worse")
+    ]
+    with pytest.raises(ValueError, match="row 203 col 2: invalid NUMBER 'bad'"):
+        t.data()
+    assert t.data(strict=False).count() == 202
+
+
+def test_typed_scan_row_that_reads_like_the_types_row(spark, csv_file):
+    t = TypedCsv(spark, csv_file("A,B\nVARCHAR,CLOB\nx,y\nVARCHAR,CLOB\nA,B\n"))
+    assert sorted(rows_of(t.data())) == [("A", "B"), ("VARCHAR", "CLOB"), ("x", "y")]
+
+
+def test_typed_scan_dates(spark, csv_file):
+    t = TypedCsv(spark, csv_file("D,T\nDATE,TIMESTAMP\n2024-01-02 03:04:05.678,2024-01-02 03:04:05.678\n,\n2024-05-06,\n"))
+    got = [tuple(str(v) for v in r) for r in rows_of(t.data(), "D")]
+    assert got == [("2024-01-02 03:04:05", "2024-01-02 03:04:05.678000"), ("2024-05-06 00:00:00", "None")]
+    f = TypedCsv(spark, csv_file("D\nDATE\n31/12/2023\nbad\n", "f.csv"), timestamp_formats=["dd/MM/yyyy"])
+    assert rows_of(f.rejects().select("row", "raw")) == [(4, "bad")]
+
+
+@pytest.mark.parametrize(
+    "text,message",
+    [
+        ("A,B\n", "at least 2 rows"),
+        ("A,B\nNUMBER\n", "fewer cells"),
+        ("A\nJSON\n", "unsupported type"),
+        ("A,\nNUMBER,NUMBER\n", "invalid column name at position 2"),
+        ("a b,A_B\nNUMBER,NUMBER\n", "duplicate column names"),
+    ],
+)
+def test_typed_scan_head_errors(spark, csv_file, text, message):
+    with pytest.raises(ValueError, match=message):
+        TypedCsv(spark, csv_file(text)).data()
+
+
+def test_typed_scan_empty_table(spark, csv_file):
+    t = TypedCsv(spark, csv_file("A,B\nNUMBER,VARCHAR\n"))
+    assert t.data().count() == 0 and t.data().dtypes == [("A", "bigint"), ("B", "string")]
+
+
+def test_row_index_over_many_splits_and_files(spark, tmp_path, small_splits):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    lines = [f"line {i:05d}" for i in range(3000)]
+    for k, (a, b) in enumerate([(0, 10), (10, 2500), (2500, 3000)]):
+        (folder / f"part-{k}.csv").write_text("\n".join(lines[a:b]) + "\n\n")
+    scan = read_records(spark, str(folder))
+    assert scan.rdd.getNumPartitions() > 4
+    got = rows_of(with_row_index(scan, "i", total="n").select("i", F.col("fields")[0], "n"), "i")
+    assert got == [(i, line, 3000) for i, line in enumerate(lines)]
+
+
+def test_split_fields(spark):
+    cells = ["a,b", '"x,1",y', '"say ""hi""",', "", "a,,b", ",", '"",z', '"é,日本",😀']
+    expected = [["a", "b"], ["x,1", "y"], ['say "hi"', ""], [""], ["a", "", "b"], ["", ""], ["", "z"], ["é,日本", "😀"]]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string")
+    assert [r[0] for r in df.orderBy("i").select(split_fields(F.col("c"))).collect()] == expected
+    long = "x" * 200_000 + '""' * 5000
+    got = spark.createDataFrame([(f'"{long}",b',)], "c string").select(split_fields(F.col("c"))).first()[0]
+    assert got == [long.replace('""', '"'), "b"]
+
+
+def test_sections(spark, csv_file):
+    path = csv_file("h1,h2\nv1,v2\nv3,v4\nt1,t2\n")
+    both = sections.read_sections(spark, path, True, True)
+    assert rows_of(both.select("row_index", "role", "body_index"), "row_index") == [
+        (0, "header", None), (1, "body", 0), (2, "body", 1), (3, "tail", None)
+    ]
+    assert sections.count_body(both).first()[0] == 2
+    assert sections.count_body(sections.read_sections(spark, path)).first()[0] == 4
+    one = csv_file("h1,h2\n", "one.csv")
+    assert [r.role for r in sections.read_sections(spark, one, True, True).collect()] == ["header"]
+    assert [r.role for r in sections.read_sections(spark, one, False, True).collect()] == ["tail"]
+
+
+def test_sections_multi_line(spark, csv_file):
+    path = csv_file('h1,h2\n"a\nb",2\n3\nt,1,2\n')
+    got = sections.read_sections(spark, path, True, True, multi_line=True, width=2)
+    assert rows_of(got.select("role", "fields"), "row_index") == [
+        ("header", ["h1", "h2"]), ("body", ["a\nb", "2"]), ("body", ["3"]), ("tail", ["t", "1", "2"])
+    ]
+
+
+def test_chunks(spark, csv_file):
+    s = sections.read_sections(spark, csv_file("h\n1\n2\n3\n4\n5\n"), has_header=True)
+    got = rows_of(sections.assign_chunks(s, 2).select("body_index", "chunk_id", "ended"), "body_index")
+    assert got == [(0, 0, False), (1, 0, False), (2, 1, False), (3, 1, False), (4, 2, True)]
+    assert sections.read_chunk(s, 1, 2).count() == 2
+    assert sections.read_chunk(s, 5, 2).count() == 0
+    assert sections.read_chunk(s, 0, 0).count() == 5
+    assert {r.ended for r in sections.assign_chunks(s, 10).collect()} == {True}
+
+
+def test_validation_report(spark, csv_file):
+    s = sections.read_sections(spark, csv_file("h1,h2\nv,1\nt,1\n"), True, True)
+    ok = sections.validation_report(s, {0: "h1", 1: "h2"}, 2, {0: "t"}, 2, body_not_empty=True)
+    assert ok.filter("not ok").count() == 0 and ok.count() == 6
+    sections.enforce(ok)
+    bad = sections.validation_report(s, {1: "x", 5: "y"}, 3, {-1: "t"})
+    assert [r.ok for r in bad.collect()] == [False] * 4
+    with pytest.raises(ValueError, match="header count"):
+        sections.enforce(bad)
+    no_tail = sections.read_sections(spark, csv_file("h1\n", "n.csv"), True, True)
+    report = sections.validation_report(no_tail, tail_count=1, body_not_empty=True).collect()
+    assert [(r.actual, r.ok) for r in report] == [(None, False), ("0", False)]
+
+
+def test_line_access(spark, csv_file):
+    df = read_records(spark, csv_file("a,b\nc\n"))
+    got = rows_of(df.select(field_count(F.col("fields")), field_value(F.col("fields"), 1), field_value(F.col("fields"), -1)))
+    assert sorted(got) == [(1, "", ""), (2, "b", "")]
+
+
+MAPPINGS = [Mapping("ID", "id", parse.parse_int), Mapping("NAME", "name")]
+
+
+def test_mapped_scan(spark, csv_file):
+    text = "JUNK;NAME;ID\nj;Alice;1\nj;Bob;2\n"
+    m = MappedCsv(spark, csv_file(text), MAPPINGS, sep=";", header_count=3)
+    assert rows_of(m.data(), "id") == [(1, "Alice"), (2, "Bob")]
+
+
+def test_mapped_constant_and_custom(spark, csv_file):
+    custom = parse.from_function(lambda c: F.upper(c), lambda c: F.when(F.length(c) > 5, "too long"))
+    maps = [*MAPPINGS[:1], Mapping("", "tag", parse.constant(F.lit("fixed"))), Mapping("NAME", "upper", custom)]
+    assert rows_of(MappedCsv(spark, csv_file("ID,NAME\n1,Alice\n"), maps).data()) == [(1, "fixed", "ALICE")]
+    with pytest.raises(ValueError, match="too long"):
+        MappedCsv(spark, csv_file("ID,NAME\n1,Alice\n2,Roberta\n", "b.csv"), maps).data()
+
+
+def test_mapped_duplicate_header_last_wins(spark, csv_file):
+    assert rows_of(MappedCsv(spark, csv_file("ID,NAME,NAME\n1,a,b\n"), MAPPINGS).data()) == [(1, "b")]
+
+
+@pytest.mark.parametrize(
+    "text,maps,count,message",
+    [
+        ("ID,X\n1,a\n", MAPPINGS, 0, "'NAME' not found"),
+        ("ID,NAME\n", [], 0, "no parsers defined"),
+        ("ID,NAME\n", MAPPINGS, 3, "header count mismatch: got 2, want 3"),
+        ("ID,NAME\n", [Mapping("ID", "")], 0, "index 0"),
+        ("ID,NAME\nx,a\n", MAPPINGS, 0, "invalid integer 'x'"),
+        ("ID,NAME\n1,a\n2\n", MAPPINGS, 0, "row 2: wrong number of fields"),
+        ("ID,NAME\n1,a,b\n", MAPPINGS, 0, "wrong number of fields"),
+    ],
+)
+def test_mapped_errors(spark, csv_file, text, maps, count, message):
+    with pytest.raises(ValueError, match=message):
+        MappedCsv(spark, csv_file(text), maps, header_count=count).data()
+
+
+def test_mapped_multi_line_and_special_text(spark, csv_file):
+    text = 'ID,NAME\n1,"O\'Reilly ""x""\nnew; DROP TABLE t; 日本 😀"\n'
+    m = MappedCsv(spark, csv_file(text), MAPPINGS, multi_line=True)
+    assert rows_of(m.data()) == [(1, 'O\'Reilly "x"\nnew; DROP TABLE t; 日本 😀')]
+
+
+def test_generators(spark):
+    stamp = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    b = generate.bulk_data(spark, 25, stamp)
+    assert b.count() == 25 and b.filter("STATUS = 'INACTIVE'").count() == 2
+    assert b.filter("ID = 7").first().DATA_VALUE == "VAL_7"
+    n = generate.next_ids(b, "ID", 3, stamp)
+    assert [(r.ID, r.PID, r.DESCRIPTION) for r in n.orderBy("ID").collect()][0] == (26, "PID-26", "Record 1 of 3")
+    assert generate.next_ids(b.limit(0), "ID", 1, stamp).first().ID == 1
+    p = generate.products(spark, 2000)
+    assert p.filter("DESCRIPTION = ''").count() in range(300, 500)
+    assert p.filter("DISCONTINUED = '1'").count() in range(60, 140)
+    assert p.select("CATEGORY").distinct().count() == 7
+    f = generate.product_file(spark, 5)
+    assert len(f.columns) == 20 and f.columns[2] == "ID" and f.columns[18] == "COST"
+    assert generate.constant_batch(spark, 4, stamp).count() == 4
