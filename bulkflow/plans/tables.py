@@ -66,12 +66,15 @@ def append(df: DataFrame, table: str) -> int:
     target = spark.table(table)
     if not df.columns:
         raise ValueError("no column names provided")
-    unknown = [c for c in df.columns if c not in target.columns]
+    given = {c.lower(): c for c in df.columns}
+    unknown = [c for low, c in given.items() if low not in {t.lower() for t in target.columns}]
     if unknown:
         raise ValueError(f"mismatched columns: {unknown} not in {table}")
     aligned = df.select(
         *[
-            (F.col(c) if c in df.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c)
+            (F.col(quoted(given[c.lower()])) if c.lower() in given else F.lit(None))
+            .cast(target.schema[c].dataType)
+            .alias(c)
             for c in target.columns
         ]
     )

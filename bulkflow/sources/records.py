@@ -80,9 +80,10 @@ def first_file(spark: SparkSession, path: str) -> str:
     files = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
     if not files:
         raise FileNotFoundError(f"no file below {path}")
-    jvm = spark._jvm
-    # Spelled the way the scan's own file_path column spells it.
-    return min(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).toUri().toString() for f in files)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    uri = spark._jvm.java.net.URI
+    # Spelled the way the scan's own file_path column spells it (file:/x, not file:///x).
+    return min(path_of(path_of(uri(f)).toString()).toUri().toString() for f in files)
 
 
 def leading_records(spark: SparkSession, path: str, n: int, sep: str = ",", trim: bool = False) -> list[list[str]]:
@@ -90,8 +91,17 @@ def leading_records(spark: SparkSession, path: str, n: int, sep: str = ",", trim
 
     ``trim`` trims the fields and skips records whose fields are all blank.
     """
-    lines = spark.read.text(first_file(spark, path)).filter(F.col("_metadata.file_block_start") == 0)
-    fields = lines.filter(F.col("value") != "").select(split_fields(F.col("value"), sep, trim).alias("fields"))
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    lines = lines.filter((F.col("_metadata.file_path") == first_file(spark, path)) & (F.col("value") != ""))
+    records = lines.select(
+        split_fields(F.col("value"), sep, trim).alias("fields"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_mid"),
+    )
     if trim:
-        fields = fields.filter(F.exists("fields", lambda x: F.trim(x) != ""))
-    return [list(r.fields) for r in fields.limit(n).collect()]
+        records = records.filter(F.exists("fields", lambda x: F.trim(x) != ""))
+    found = records.filter(F.col("_block") == 0).orderBy("_mid").limit(n).collect()
+    if len(found) < n:
+        # The first split holds fewer records than that: the splits, or the file, are tiny.
+        found = records.orderBy("_block", "_mid").limit(n).collect()
+    return [list(r.fields) for r in found]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bulkflow.functions.times import from_micros, micros
 from bulkflow.operators.monitor import baseline, flag_changes, fold_ticks, is_error, tick_counts
 from bulkflow.session import list_dirs
 from bulkflow.streaming.ingest import for_each_available
@@ -16,7 +17,11 @@ def tick_stream(samples: DataFrame, delay: str = "10 seconds") -> DataFrame:
     The state holds one row per (tick, duration), combined before the shuffle, and a tick is
     emitted whole when the watermark passes its end.
     """
-    return tick_counts(samples.withWatermark("ts", delay))
+    # Watermarks need an instant; the wall clock is taken as UTC and turned back afterwards.
+    instants = samples.withColumn("ts", F.timestamp_micros(micros(F.col("ts")))).withWatermark("ts", delay)
+    counts = tick_counts(instants)
+    start = from_micros(F.unix_micros("window.start"))
+    return counts.withColumn("window", F.struct(start.alias("start")))
 
 
 def write_tick_stats(samples: DataFrame, checkpoint: str, path: str, delay: str = "10 seconds") -> None:
