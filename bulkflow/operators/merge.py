@@ -48,13 +48,18 @@ def upsert(
     ``order`` names source columns that give the order of application; they are not written.
     """
     order = order or []
-    missing = [k for k in keys if k not in source.columns]
-    if not keys or missing:
-        raise ValueError(f"key columns not found in source: {missing}" if keys else "key columns must not be empty")
-    written = [c for c in source.columns if c not in order]
-    unknown = [c for c in written if c not in target.columns]
+    if not keys:
+        raise ValueError("key columns must not be empty")
+    spelled = {c.lower(): c for c in target.columns}
+    unknown = [c for c in source.columns if c not in order and c.lower() not in spelled]
     if unknown:
         raise ValueError(f"target has no columns {unknown}")
+    source = source.select(*[F.col(c).alias(c if c in order else spelled[c.lower()]) for c in source.columns])
+    missing = [k for k in keys if spelled.get(k.lower()) not in source.columns]
+    if missing:
+        raise ValueError(f"key columns not found in source: {missing}")
+    keys = [spelled[k.lower()] for k in keys]
+    written = [c for c in source.columns if c not in order]
     updated = [c for c in written if c not in keys]
     null_key = _any_null([F.col(k) for k in keys])
     last = keep_last(source.filter(~null_key), keys, order)
@@ -110,15 +115,22 @@ def update_where(table: DataFrame, condition: Column, values: Mapping[str, Colum
 
 
 def last_write_wins(
-    table: DataFrame, changes: DataFrame, key: str, column: str, value: str, order: list[str], columns: list[str]
+    table: DataFrame,
+    key: str,
+    changes: DataFrame,
+    change_key: str,
+    column: str,
+    value: str,
+    order: list[str],
+    columns: list[str],
 ) -> DataFrame:
-    """Fold an ordered change log (key, column, value) and apply the last write per column.
+    """Fold an ordered change log (change_key, column, value) and apply the last write per column.
 
     Writers of different columns of one row do not disturb each other.  A written NULL
     counts as a write.
     """
     at = F.struct(*order)
-    folded = changes.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
+    folded = changes.filter(F.col(change_key).isNotNull()).groupBy(F.col(change_key).alias("_key")).agg(
         *[
             F.max_by(F.when(F.col(column) == c, F.struct(F.col(value).alias("v"))), F.when(F.col(column) == c, at)).alias(
                 f"_w_{c}"

@@ -60,11 +60,16 @@ def _draw(i: Column, seed: int, start: int, length: int) -> Column:
     return F.conv(F.substring(digest, start, length), 16, 10).cast("bigint")
 
 
+def _money(cents: Column) -> Column:
+    """Whole cents as text with two decimals."""
+    units = F.floor(cents / 100).cast("bigint").cast("string")
+    return F.concat(units, F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
 def products(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
     """Product records: about 20 % empty descriptions, 10 % empty levels, 5 % discontinued."""
     i = F.col("id")
     cents = 1000 + _draw(i, seed, 9, 6) % 10000
-    money = lambda c: F.format_string("%.2f", c)
     category = F.element_at(
         F.array(*[F.lit(c) for c in CATEGORIES]), (_draw(i, seed, 5, 4) % len(CATEGORIES) + 1).cast("int")
     )
@@ -76,8 +81,8 @@ def products(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
         .otherwise(F.concat(F.lit("Description for product "), i, F.lit(" with some details.")))
         .alias("DESCRIPTION"),
         category.alias("CATEGORY"),
-        money(cents / 100).alias("COST"),
-        money(cents * 15 / 1000).alias("PRICE"),
+        _money(cents).alias("COST"),
+        _money(F.floor((cents * 3 + 1) / 2).cast("bigint")).alias("PRICE"),
         F.when(_draw(i, seed, 15, 4) % 100 < 10, "")
         .otherwise((_draw(i, seed, 19, 4) % 50).cast("string"))
         .alias("REORDER_LEVEL"),

@@ -89,5 +89,5 @@ def test_last_write_wins(spark):
         [(1, "chain", "late", 5), (1, "chain", "first", 1), (1, "early", "e", 3), (2, "early", None, 9), (9, "early", "x", 1)],
         "id int, col string, val string, at int",
     )
-    got = last_write_wins(t, log, "id", "col", "val", ["at"], ["chain", "early"])
+    got = last_write_wins(t, "id", log, "id", "col", "val", ["at"], ["chain", "early"])
     assert rows_of(got, "id") == [(1, "late", "e"), (2, "c1", None), (3, "c2", "e2")]

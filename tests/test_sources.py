@@ -210,3 +210,10 @@ def test_generators(spark):
     f = generate.product_file(spark, 5)
     assert len(f.columns) == 20 and f.columns[2] == "ID" and f.columns[18] == "COST"
     assert generate.constant_batch(spark, 4, stamp).count() == 4
+
+
+def test_typed_scan_needs_no_numbering_for_plain_files(spark, csv_file):
+    t = TypedCsv(spark, csv_file(PEOPLE))
+    assert t._head_is_unique
+    ambiguous = TypedCsv(spark, csv_file("A,B\nVARCHAR,CLOB\nVARCHAR,CLOB\n", "b.csv"))
+    assert not ambiguous._head_is_unique
