@@ -17,8 +17,13 @@ WHITE_SPACE = (
 
 
 def trim_space(c: Column) -> Column:
-    """Trim Unicode white space on both sides (Spark's ``trim`` only knows the blank)."""
-    return F.btrim(c, F.lit(WHITE_SPACE))
+    """Trim Unicode white space on both sides (Spark's ``trim`` only knows the blank).
+
+    Trimming by a character set walks over the whole text, so it is only done for cells
+    that begin or end with white space.
+    """
+    edge = F.substring(c, 1, 1).isin(*WHITE_SPACE) | F.substring(c, -1, 1).isin(*WHITE_SPACE)
+    return F.when(edge, F.btrim(c, F.lit(WHITE_SPACE))).otherwise(c)
 
 
 def normalize_identifiers(c: Column) -> Column:

@@ -43,7 +43,7 @@ def integer_value(c: Column) -> Column:
 
 def float_value(c: Column) -> Column:
     """Double or NULL; a finite literal too large for a double is NULL as well."""
-    plain = F.regexp_replace(c, "_", "").try_cast("double")
+    plain = F.replace(c, F.lit("_"), F.lit("")).try_cast("double")
     finite = F.when(F.abs(plain) < F.lit(float("inf")), plain)
     return (
         F.when(c.rlike(DECIMAL), finite)
@@ -58,8 +58,8 @@ def number_is_integer(c: Column) -> Column:
 
 
 def number_value(c: Column) -> Column:
-    """NUMBER cell as a double: integers first, then anything a float may be."""
-    return F.coalesce(integer_value(c).cast("double"), float_value(c))
+    """NUMBER cell as a double; every integer literal is a float literal too."""
+    return float_value(c)
 
 
 def _checked(c: Column, value: Column, what: str, empty_is_null: bool = False) -> Parsed:

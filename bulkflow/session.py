@@ -33,10 +33,15 @@ def fresh_name(label: str) -> str:
     return f"bf_{label}_{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder; survives losing any executor."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    The result needs no recomputation when executors are lost, and later steps read only the
+    columns they use.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _fs(spark: SparkSession, path: str):

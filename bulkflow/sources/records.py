@@ -56,24 +56,32 @@ def field_value(fields: Column, index: int) -> Column:
     return F.coalesce(F.get(fields, F.lit(index)), F.lit(""))
 
 
-def read_records(
+def raw_records(
     spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False, width: int | None = None
-) -> DataFrame:
-    """One row per record with an array column ``fields``; empty lines are no records.
+) -> tuple[DataFrame, Column]:
+    """A scan with one row per record, and the expression that gives the record's fields.
 
-    Records that hold line breaks inside quotes need ``multi_line`` and the usual ``width``
-    of a record; such files cannot be split over tasks.
+    Empty lines are no records.  Records that hold line breaks inside quotes need
+    ``multi_line`` and the usual ``width`` of a record; such files cannot be split over tasks.
     """
     if not multi_line:
         lines = spark.read.option("recursiveFileLookup", True).text(path)
-        return lines.filter(F.col("value") != "").select(split_fields(F.col("value"), sep).alias("fields"))
+        return lines.filter(F.col("value") != ""), split_fields(F.col("value"), sep)
     if not width:
         raise ValueError("multi_line records need a width")
     names = [f"c{i}" for i in range(width)]
     schema = ", ".join(f"{n} string" for n in [*names, BAD])
     scan = spark.read.options(**csv_options(sep, multi_line=True)).schema(schema).csv(path)
     whole = F.array(*[F.coalesce(F.col(n), F.lit("")) for n in names])
-    return scan.select(F.when(F.col(BAD).isNull(), whole).otherwise(split_fields(F.col(BAD), sep)).alias("fields"))
+    return scan, F.when(F.col(BAD).isNull(), whole).otherwise(split_fields(F.col(BAD), sep))
+
+
+def read_records(
+    spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False, width: int | None = None
+) -> DataFrame:
+    """One row per record with an array column ``fields``."""
+    scan, fields = raw_records(spark, path, sep, multi_line, width)
+    return scan.select(fields.alias("fields"))
 
 
 def first_file(spark: SparkSession, path: str) -> str:
@@ -100,7 +108,8 @@ def leading_records(spark: SparkSession, path: str, n: int, sep: str = ",", trim
     )
     if trim:
         records = records.filter(F.exists("fields", lambda x: F.trim(x) != ""))
-    found = records.filter(F.col("_block") == 0).orderBy("_mid").limit(n).collect()
+    # The first split lies in one partition, in file order, so the scan stops after n records.
+    found = records.filter(F.col("_block") == 0).limit(n).collect()
     if len(found) < n:
         # The first split holds fewer records than that: the splits, or the file, are tiny.
         found = records.orderBy("_block", "_mid").limit(n).collect()

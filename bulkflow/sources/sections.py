@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bulkflow.sources.position import chunk_of, with_row_index
-from bulkflow.sources.records import read_records
+from bulkflow.sources.records import raw_records
 
 
 def read_sections(
@@ -22,13 +22,14 @@ def read_sections(
 
     A single record with both flags is the header; with only the tail flag it is the tail.
     """
-    records = read_records(spark, path, sep, multi_line, width)
+    # Fields are split after numbering, so reports that need few records split few.
+    records, fields = raw_records(spark, path, sep, multi_line, width)
     rows = with_row_index(records, "row_index", total="_total")
     is_header = (F.col("row_index") == 0) & F.lit(has_header)
     is_tail = (F.col("row_index") == F.col("_total") - 1) & F.lit(has_tail) & ~is_header
     role = F.when(is_header, "header").when(is_tail, "tail").otherwise("body")
     body_index = F.when(role == "body", F.col("row_index") - F.lit(1 if has_header else 0))
-    return rows.select("row_index", role.alias("role"), body_index.alias("body_index"), "fields")
+    return rows.select("row_index", role.alias("role"), body_index.alias("body_index"), fields.alias("fields"))
 
 
 def body(sections: DataFrame) -> DataFrame:

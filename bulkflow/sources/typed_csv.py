@@ -79,19 +79,17 @@ class TypedCsv:
             same = same & F.col(name).eqNullSafe(F.lit(cell if cell else None).cast("string"))
         return same
 
-    @cached_property
-    def _head_is_unique(self) -> bool:
-        """Whether the two leading rows can be told from data by their text alone."""
-        counts = self._first_split().agg(
-            F.count(F.when(self._is_head(0), 1)).alias("n"), F.count(F.when(self._is_head(1), 1)).alias("t")
-        ).first()
-        return counts.n == 1 and counts.t == 1
-
-    def _first_split(self) -> DataFrame:
-        return self._cells().filter(
-            (F.col("_metadata.file_path") == first_file(self.spark, self.path))
-            & (F.col("_metadata.file_block_start") == 0)
+    def _leading(self) -> Column:
+        """Whether a record lies in the first split and reads like one of the two leading rows."""
+        in_first_split = (F.col("_metadata.file_path") == first_file(self.spark, self.path)) & (
+            F.col("_metadata.file_block_start") == 0
         )
+        return in_first_split & (self._is_head(0) | self._is_head(1))
+
+    @property
+    def _head_is_unique(self) -> bool:
+        """Whether the two leading rows could be told from data by their text alone."""
+        return "by_text" in self.profile
 
     def numbered(self) -> DataFrame:
         """Text cells with ``_row``, the 1-based row number in the file (data starts at 3)."""
@@ -101,17 +99,12 @@ class TypedCsv:
     def text(self) -> DataFrame:
         """Text cells of the data rows.
 
-        The two leading rows are cut off by their text when that is unambiguous in the first
-        split (the only one that is read twice); otherwise every row is numbered first.
+        The two leading rows are cut off by their text when only they read like that in the
+        first split; otherwise every row is numbered first.
         """
         if not self._head_is_unique:
             return self.numbered().drop("_row")
-        leading = (
-            (F.col("_metadata.file_path") == first_file(self.spark, self.path))
-            & (F.col("_metadata.file_block_start") == 0)
-            & (self._is_head(0) | self._is_head(1))
-        )
-        return self._cells().filter(~leading)
+        return self._cells().filter(~self._leading())
 
     def _parsed(self) -> dict[str, Parsed]:
         out = {}
@@ -125,18 +118,28 @@ class TypedCsv:
                 out[name] = Parsed(c, F.lit(None).cast("string"))
         return out
 
-    @cached_property
-    def profile(self) -> dict[str, int]:
-        """One pass: data rows, bad cells, and whether each open NUMBER column is integral."""
+    def _profile_of(self, rows: DataFrame) -> dict[str, int]:
         bad = F.lit(0).cast("bigint")
         for parsed in self._parsed().values():
             bad = bad + parsed.error.isNotNull().cast("bigint")
-        aggregates = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(bad), F.lit(0)).alias("bad")]
+        data = ~F.col("_leading")
+        aggregates = [
+            F.count(F.when(data, 1)).alias("rows"),
+            F.coalesce(F.sum(F.when(data, bad)), F.lit(0)).alias("bad"),
+            F.count(F.when(~data, 1)).alias("leading"),
+        ]
         for name in self._open_numbers():
-            aggregates.append(
-                F.count(F.when(F.col(name).isNotNull() & ~number_is_integer(F.col(name)), 1)).alias(f"wide_{name}")
-            )
-        return self.text().agg(*aggregates).first().asDict()
+            wide = data & F.col(name).isNotNull() & ~number_is_integer(F.col(name))
+            aggregates.append(F.count(F.when(wide, 1)).alias(f"wide_{name}"))
+        return rows.agg(*aggregates).first().asDict()
+
+    @cached_property
+    def profile(self) -> dict[str, int]:
+        """One pass: data rows, bad cells, and whether each open NUMBER column is integral."""
+        found = self._profile_of(self._cells().withColumn("_leading", self._leading()))
+        if found["leading"] == 2:
+            return found | {"by_text": True}
+        return self._profile_of(self.numbered().withColumn("_leading", F.lit(False)))
 
     def _open_numbers(self) -> list[str]:
         return [n for n, kind in self.columns if kind == "NUMBER" and n not in self.number_types]

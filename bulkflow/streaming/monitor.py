@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bulkflow.functions.times import from_micros, micros
 from bulkflow.operators.monitor import baseline, flag_changes, fold_ticks, is_error, tick_counts
-from bulkflow.session import list_dirs
+from bulkflow.session import cut_lineage, list_dirs
 from bulkflow.streaming.ingest import for_each_available
 
 
@@ -28,11 +28,12 @@ def write_tick_stats(samples: DataFrame, checkpoint: str, path: str, delay: str
     """Statistics of all closed ticks to parquet.
 
     All rows of a tick come in the same micro-batch, so the batch fold gives the exact
-    statistics, the percentile included.
+    statistics, the percentile included.  The fold reads its input several times, so the
+    counts are written first instead of running the stateful part again.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        fold_ticks(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        fold_ticks(cut_lineage(batch, "ticks")).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     for_each_available(tick_stream(samples, delay), checkpoint, write)
 
