@@ -38,17 +38,37 @@ def publish_check(base: DataFrame, published: DataFrame, stamp: str) -> DataFram
 
 def unique_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once; keys that are wholly NULL do not count."""
-    some = F.coalesce(*[F.col(k).cast("string") for k in keys]).isNotNull()
+    some = F.lit(False)
+    for k in keys:
+        some = some | F.col(k).isNotNull()
     counted = df.filter(some).groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences"))
     return counted.filter(F.col("occurrences") > 1)
 
 
 def foreign_key_violations(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child rows whose non-null reference has no parent."""
-    keys = parent.select(F.col(parent_key).alias("_parent")).filter(F.col("_parent").isNotNull()).distinct()
+    """Child rows whose non-null reference has no parent.
+
+    The distinct parent keys come out as an aggregate, so the join shuffles both sides and
+    adaptive execution can split a hot key of the child.
+    """
+    known = parent.filter(F.col(parent_key).isNotNull())
+    keys = known.groupBy(parent_key).agg(F.max(parent_key).alias("_parent")).select("_parent")
     return child.filter(F.col(column).isNotNull()).join(keys, child[column] == F.col("_parent"), "left_anti")
 
 
+def _too_large(c: Column, declared: T.DecimalType) -> Column:
+    """Whether a number has more digits before the point than the declared type holds.
+
+    Only numbers near the bound are rounded exactly, and that in a wide type: a cast that
+    fails is far slower than one that fits.
+    """
+    bound = F.lit(10.0 ** (declared.precision - declared.scale))
+    size = F.abs(c.cast("double"))
+    rounded = F.abs(c.try_cast(T.DecimalType(38, declared.scale)))
+    near = rounded.isNull() | (rounded >= bound.cast(T.DecimalType(38, 0)))
+    return c.isNotNull() & (F.isnan(size) | (size >= bound + 1) | ((size >= bound - 1) & near))
+
+
 def column_audit(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One row per declared column: NULLs against NOT NULL, too long texts, numbers out of precision."""
     aggregates, rows = [], []
@@ -59,9 +79,7 @@ def column_audit(df: DataFrame, schema: T.StructType) -> DataFrame:
         long = F.count(F.when(F.length(c.cast("string")) > length, 1)) if length else F.lit(0)
         precision = F.lit(0)
         if isinstance(f.dataType, T.DecimalType):
-            # The exact cast is slow, and only numbers near the bound or beyond it can fail it.
-            near = F.abs(c.cast("double")) >= F.lit(10.0 ** (f.dataType.precision - f.dataType.scale) - 1)
-            precision = F.count(F.when(near & c.try_cast(f.dataType).isNull(), 1))
+            precision = F.count(F.when(_too_large(c, f.dataType), 1))
         checks = {"null_violations": nulls, "length_violations": long, "precision_violations": precision}
         aggregates.append(
             F.struct(F.lit(f.name).alias("column"), *[v.cast("bigint").alias(k) for k, v in checks.items()]).alias(f.name)

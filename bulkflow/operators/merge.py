@@ -19,16 +19,20 @@ def keep_last(source: DataFrame, keys: list[str], order: list[str] | None = None
     """One row per key, the last in ``order``; ``source`` has no NULL keys.
 
     The aggregate combines on the map side, so a key that holds most rows costs one row per
-    task in the shuffle.
+    task in the shuffle.  The keys come out as aggregates of their own: a later join then
+    shuffles both its sides, and between two such shuffles adaptive execution can split a
+    hot key of the other side.
     """
     order = order or []
     values = [c for c in source.columns if c not in keys and c not in order]
+    same = [F.max(k).alias(f"_key_{k}") for k in keys]
     if not values:
-        return source.select(*keys).distinct()
+        last = source.groupBy(*keys).agg(*same)
+        return last.select(*[F.col(f"_key_{k}").alias(k) for k in keys])
     # Without an order any row of the key may stay, and the largest makes that repeatable.
     at = F.struct(*order) if order else F.struct(*values)
-    last = source.groupBy(*keys).agg(F.max_by(F.struct(*values), at).alias("_last"))
-    return last.select(*keys, "_last.*")
+    last = source.groupBy(*keys).agg(*same, F.max_by(F.struct(*values), at).alias("_last"))
+    return last.select(*[F.col(f"_key_{k}").alias(k) for k in keys], "_last.*")
 
 
 def upsert(
@@ -62,28 +66,25 @@ def upsert(
     written = [c for c in source.columns if c not in order]
     updated = [c for c in written if c not in keys]
     null_key = _any_null([F.col(k) for k in keys])
-    last = keep_last(source.filter(~null_key), keys, order)
     # Rows with a NULL key match nothing: no shuffle for them, however many there are.
     anonymous = source.filter(null_key)
-    inserted_shape = [
-        (F.col(c) if c in written else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns
-    ]
-    # The target side stays on the left of an outer join, where adaptive execution can split
-    # a repeated hot key; the source side is unique per key.
-    kept = target
-    if updated:
-        changes = last.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys],
-            *[F.col(c).alias(f"_v_{c}") for c in updated],
-            F.lit(True).alias("_hit"),
-        )
+    last = keep_last(source.filter(~null_key), keys, order)
+    # Both joins below use this one selection, so that the source is shuffled once.
+    last = last.select(*[F.col(c).alias(f"_s_{c}") for c in written])
+
+    def matches(side: DataFrame) -> Column:
         on = F.lit(True)
         for k in keys:
-            on = on & (target[k] == F.col(f"_k_{k}"))
-        joined = target.join(changes, on, "left")
-        kept = joined.select(
+            on = on & (side[k] == F.col(f"_s_{k}"))
+        return on
+
+    kept = target
+    if updated:
+        # The target is on the side of the outer join that may be split when a key is hot.
+        hit = F.col(f"_s_{keys[0]}").isNotNull()
+        kept = target.join(last, matches(target), "left").select(
             *[
-                F.when(F.col("_hit"), F.col(f"_v_{c}")).otherwise(target[c]).cast(target.schema[c].dataType).alias(c)
+                F.when(hit, F.col(f"_s_{c}")).otherwise(target[c]).cast(target.schema[c].dataType).alias(c)
                 if c in updated
                 else target[c]
                 for c in target.columns
@@ -91,9 +92,17 @@ def upsert(
         )
     # Distinct target keys: a repeated key is one row per task before the shuffle.
     present = target.select(*keys).filter(~null_key).distinct()
-    fresh = last.join(present, keys, "left_anti")
-    inserted = fresh.select(*inserted_shape).unionByName(anonymous.select(*inserted_shape))
-    return kept.unionByName(inserted)
+    fresh = last.join(present, matches(present), "left_anti")
+
+    def shaped(df: DataFrame, prefix: str) -> DataFrame:
+        return df.select(
+            *[
+                (F.col(f"{prefix}{c}") if c in written else F.lit(None)).cast(target.schema[c].dataType).alias(c)
+                for c in target.columns
+            ]
+        )
+
+    return kept.unionByName(shaped(fresh, "_s_")).unionByName(shaped(anonymous, ""))
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

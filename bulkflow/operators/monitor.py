@@ -16,17 +16,9 @@ def nearest_rank_of_histogram(
 ) -> DataFrame:
     """Per group the value at 0-based rank min(int(n * q), n - 1), from (value, count) rows."""
     seg = segmented(histogram.select(*group, value, count), group, [value])
-    running = with_running_sum(seg, group, [value], count, "_upto")
-    totals = seg.groupBy(*[F.col(g).alias(f"_t_{g}") for g in group]).agg(F.sum(count).alias("_n"))
-    if group:
-        on = F.lit(True)
-        for g in group:
-            on = on & F.col(g).eqNullSafe(F.col(f"_t_{g}"))
-        joined = running.join(totals, on)
-    else:
-        joined = running.withColumn("_n", totals.scalar())
+    running = with_running_sum(seg, group, [value], count, "_upto", total="_n")
     rank = F.least(F.floor(F.col("_n") * F.lit(q)), F.col("_n") - 1)
-    hit = joined.filter((F.col("_upto") > rank) & (F.col("_upto") - F.col(count) <= rank))
+    hit = running.filter((F.col("_upto") > rank) & (F.col("_upto") - F.col(count) <= rank))
     return hit.select(*group, F.col(value).alias(name))
 
 

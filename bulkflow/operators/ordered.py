@@ -27,15 +27,9 @@ def segmented(df: DataFrame, group: list[str], order: list[str], partitions: int
     return cut_lineage(ranged.withColumn(SEGMENT, F.spark_partition_id()))
 
 
-def _carry(seg: DataFrame, group: list[str], state: Column, before: Column, partial: str) -> DataFrame:
-    """State at the start of each (segment, group): at most one row per segment and group."""
-    partials = seg.groupBy(SEGMENT, *group).agg(state.alias(partial))
-    carried = partials.withColumn("_carry", before).filter(F.col("_carry").isNotNull())
-    return carried.select(*[F.col(c).alias(f"_c_{c}") for c in [SEGMENT, *group]], "_carry")
-
-
-def _join_carry(seg: DataFrame, carried: DataFrame, group: list[str]) -> DataFrame:
-    """Equi-join on (segment, group); NULL group values meet each other."""
+def _join_carry(seg: DataFrame, states: DataFrame, group: list[str]) -> DataFrame:
+    """Equi-join on (segment, group), so a large group stays spread; NULL group values meet."""
+    carried = states.select(*[F.col(c).alias(f"_c_{c}") for c in [SEGMENT, *group]], "_carry")
     on = F.col(SEGMENT) == F.col(f"_c_{SEGMENT}")
     for g in group:
         on = on & F.col(g).eqNullSafe(F.col(f"_c_{g}"))
@@ -46,18 +40,25 @@ def with_previous(seg: DataFrame, group: list[str], order: list[str], columns: d
     """Add the values of the previous row of the group; ``columns`` maps source to new name."""
     inside = Window.partitionBy(SEGMENT, *group).orderBy(*order)
     here = seg.withColumn("_inside", F.lag(F.struct(*columns)).over(inside))
-    last = F.max_by(F.struct(*columns), F.struct(*order))
+    states = seg.groupBy(SEGMENT, *group).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_last"))
     before = F.lag("_last").over(Window.partitionBy(*group).orderBy(SEGMENT))
-    joined = _join_carry(here, _carry(seg, group, last, before, "_last"), group)
+    joined = _join_carry(here, states.withColumn("_carry", before).filter(F.col("_carry").isNotNull()), group)
     out = joined.withColumn("_previous", F.coalesce("_inside", "_carry"))
     return out.select(*seg.columns, *[F.col("_previous")[source].alias(new) for source, new in columns.items()])
 
 
-def with_running_sum(seg: DataFrame, group: list[str], order: list[str], value: str, name: str) -> DataFrame:
-    """Add the sum of ``value`` up to and including each row of the group."""
+def with_running_sum(
+    seg: DataFrame, group: list[str], order: list[str], value: str, name: str, total: str | None = None
+) -> DataFrame:
+    """Add the sum of ``value`` up to and including each row of the group, and the group's total."""
     inside = Window.partitionBy(SEGMENT, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     here = seg.withColumn("_inside", F.sum(value).over(inside))
-    across = Window.partitionBy(*group).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    carried = _carry(seg, group, F.sum(value), F.sum("_sum").over(across), "_sum")
-    joined = _join_carry(here, carried, group)
-    return joined.select(*seg.columns, (F.col("_inside") + F.coalesce("_carry", F.lit(0))).alias(name))
+    states = seg.groupBy(SEGMENT, *group).agg(F.sum(value).alias("_sum"))
+    across = Window.partitionBy(*group).orderBy(SEGMENT)
+    before = F.coalesce(F.sum("_sum").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    whole = F.sum("_sum").over(across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    joined = _join_carry(here, states.withColumn("_carry", F.struct(before.alias("before"), whole.alias("whole"))), group)
+    added = [(F.col("_inside") + F.col("_carry.before")).alias(name)]
+    if total:
+        added.append(F.col("_carry.whole").alias(total))
+    return joined.select(*seg.columns, *added)

@@ -12,6 +12,7 @@ from bulkflow.operators.merge import upsert
 from bulkflow.plans import tables
 from bulkflow.plans.partitions import PartitionedTable
 from bulkflow.plans.publish import Snapshot
+from bulkflow.session import delete_dir
 from bulkflow.sources.typed_csv import TypedCsv
 
 
@@ -29,11 +30,8 @@ def table_name(path: str, name: str | None = None) -> str:
 def load_csv(spark: SparkSession, path: str, name: str | None = None, **options) -> str:
     """Create or replace a table from a typed CSV file; all rows or none are loaded."""
     table = table_name(path, name)
-    source = TypedCsv(spark, path, **options)
-    data = source.data()
-    tables.create_or_replace(spark, table, data.schema)
-    if source.profile["rows"]:
-        tables.append(data, table)
+    staged, _ = TypedCsv(spark, path, **options).stage()
+    tables.create_over(spark, table, staged)
     return table
 
 
@@ -45,11 +43,11 @@ def upsert_csv(spark: SparkSession, path: str, target: Snapshot, keys: list[str]
     missing = [k for k in normalized if k not in names]
     if not normalized or missing:
         raise ValueError(f"key columns {missing} not found in CSV headers" if keys else "key columns must not be empty")
-    if not source.profile["rows"]:
-        return 0
-    rows = source.data(row_number=True)
-    target.publish(upsert(target.read(), rows, normalized, order=["_row"]))
-    return source.profile["rows"]
+    staged, rows = source.stage(row_number=True)
+    if rows:
+        target.publish(upsert(target.read(), spark.read.parquet(staged), normalized, order=["_row"]))
+    delete_dir(spark, staged)
+    return rows
 
 
 def exchange_csv(
@@ -69,7 +67,8 @@ def exchange_csv(
             raise ValueError(f"{what} is required")
     table = PartitionedTable(spark, master, column)
     wanted = T.StructType([f for f in table.read().schema.fields if f.name != column])
-    data = TypedCsv(spark, path, **options).data()
+    staged, _ = TypedCsv(spark, path, **options).stage()
+    data = spark.read.parquet(staged)
     absent = [f.name for f in wanted.fields if f.name not in data.columns]
     if absent:
         raise ValueError(f"file lacks columns {absent} of {master}")

@@ -52,6 +52,11 @@ def create_or_replace(
     return schema
 
 
+def create_over(spark: SparkSession, table: str, path: str) -> None:
+    """Create or replace a table over rows that lie in a folder of their own already."""
+    create_or_replace(spark, table, spark.read.parquet(path).schema, root=path)
+
+
 def drop(spark: SparkSession, table: str) -> None:
     """Drop a table and delete its files."""
     if spark.catalog.tableExists(table):

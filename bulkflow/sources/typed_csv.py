@@ -6,13 +6,14 @@ import re
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bulkflow.functions.names import normalize_name, trim_space
 from bulkflow.functions.parse import Parsed, number_is_integer, number_value, parse_number, parse_timestamp
 from bulkflow.functions.times import whole_second
 from bulkflow.functions.types import type_name
+from bulkflow.session import delete_dir, fresh_dir
 from bulkflow.sources.position import with_row_index
 from bulkflow.sources.records import BAD, csv_options, first_file, leading_records
 
@@ -118,44 +119,86 @@ class TypedCsv:
                 out[name] = Parsed(c, F.lit(None).cast("string"))
         return out
 
-    def _profile_of(self, rows: DataFrame) -> dict[str, int]:
+    def _measures(self) -> list[Column]:
+        """Aggregates over cells with a ``_leading`` flag: rows, bad cells, non-integral numbers."""
         bad = F.lit(0).cast("bigint")
         for parsed in self._parsed().values():
             bad = bad + parsed.error.isNotNull().cast("bigint")
         data = ~F.col("_leading")
-        aggregates = [
+        measures = [
             F.count(F.when(data, 1)).alias("rows"),
             F.coalesce(F.sum(F.when(data, bad)), F.lit(0)).alias("bad"),
             F.count(F.when(~data, 1)).alias("leading"),
         ]
         for name in self._open_numbers():
             wide = data & F.col(name).isNotNull() & ~number_is_integer(F.col(name))
-            aggregates.append(F.count(F.when(wide, 1)).alias(f"wide_{name}"))
-        return rows.agg(*aggregates).first().asDict()
+            measures.append(F.count(F.when(wide, 1)).alias(f"wide_{name}"))
+        return measures
+
+    def _flagged(self, by_text: bool) -> DataFrame:
+        if by_text:
+            return self._cells().withColumn("_leading", self._leading())
+        return self.numbered().withColumn("_leading", F.lit(False))
 
     @cached_property
     def profile(self) -> dict[str, int]:
         """One pass: data rows, bad cells, and whether each open NUMBER column is integral."""
-        found = self._profile_of(self._cells().withColumn("_leading", self._leading()))
+        found = self._flagged(by_text=True).agg(*self._measures()).first().asDict()
         if found["leading"] == 2:
             return found | {"by_text": True}
-        return self._profile_of(self.numbered().withColumn("_leading", F.lit(False)))
+        return self._flagged(by_text=False).agg(*self._measures()).first().asDict()
 
     def _open_numbers(self) -> list[str]:
         return [n for n, kind in self.columns if kind == "NUMBER" and n not in self.number_types]
 
-    def _typed(self, name: str, kind: str) -> Column:
-        c = F.col(name)
-        if kind == "NUMBER":
-            wanted = self.number_types.get(name)
-            if wanted:
-                return F.when(number_value(c).isNotNull(), c.try_cast(wanted)).alias(name)
-            if self.profile[f"wide_{name}"]:
-                return number_value(c).alias(name)
-            return c.try_cast("bigint").alias(name)
-        if kind == "DATE":
-            return whole_second(self._parsed()[name].value).alias(name)
-        return self._parsed()[name].value.alias(name)
+    def _integral(self) -> set[str]:
+        return {n for n in self._open_numbers() if not self.profile[f"wide_{n}"]}
+
+    def _typed(self, integral: set[str]) -> list[Column]:
+        out = []
+        for name, kind in self.columns:
+            c, parsed = F.col(name), self._parsed()[name].value
+            if name in self.number_types:
+                parsed = F.when(number_value(c).isNotNull(), c.try_cast(self.number_types[name]))
+            elif name in integral:
+                parsed = c.try_cast("bigint")
+            elif kind == "DATE":
+                parsed = whole_second(parsed)
+            out.append(parsed.alias(name))
+        return out
+
+    def _guess(self) -> set[str]:
+        """Open NUMBER columns that are integral in the first rows."""
+        rows = leading_records(self.spark, self.path, 100, self.sep, trim=True)[2:]
+        position = {name: i for i, (name, _) in enumerate(self.columns)}
+        cells = {n: [r[position[n]] for r in rows if position[n] < len(r)] for n in self._open_numbers()}
+        return {n for n, found in cells.items() if all(re.fullmatch(r"\s*([+-]?[0-9]+)?\s*", c) for c in found)}
+
+    def stage(self, row_number: bool = False) -> tuple[str, int]:
+        """Typed rows written to a folder of their own: the folder and the row count.
+
+        Bad cells raise, and nothing stays behind.  The types of open NUMBER columns are
+        guessed from the first rows and checked while writing, so the file is converted once
+        unless the guess was wrong.
+        """
+        integral, by_text = self._guess(), not row_number
+        while True:
+            path = fresh_dir(self.spark, "typed")
+            counter = Observation()
+            rows = self._flagged(by_text).observe(counter, *self._measures()).filter(~F.col("_leading"))
+            number = [F.col("_row")] if row_number else []
+            rows.select(*number, *self._typed(integral)).write.parquet(path)
+            found = {"rows": 0, "bad": 0, "leading": 0} | counter.get
+            if by_text and found["leading"] != 2:
+                by_text = False
+            else:
+                self.__dict__["profile"] = found | ({"by_text": True} if by_text else {})
+                if not found["bad"] and self._integral() == integral:
+                    return path, found["rows"]
+                integral = self._integral()
+            delete_dir(self.spark, path)
+            if "profile" in self.__dict__:
+                self.check()
 
     def rejects(self) -> DataFrame:
         """Every bad cell: ``row, col, column, raw, message`` (row and col count from 1)."""
@@ -185,5 +228,4 @@ class TypedCsv:
         if strict:
             self.check()
         source = self.numbered() if row_number else self.text()
-        typed = [self._typed(n, kind) for n, kind in self.columns]
-        return source.select(*([F.col("_row")] if row_number else []), *typed)
+        return source.select(*([F.col("_row")] if row_number else []), *self._typed(self._integral()))
