@@ -58,18 +58,38 @@ class Snapshot:
         chosen = df.select(*self.columns) if self.columns else df
         return tables.write_fresh(chosen, self.name.replace(".", "_"), max_rows_per_file)
 
-    def switch(self, path: str, rows: int) -> None:
+    def switch(self, path: str, rows: int, prune: bool = True) -> None:
         """Point readers at a staged folder after checking that it is complete."""
         staged = self.spark.read.parquet(path)
         found = staged.count()
         if found != rows:
             raise RuntimeError(f"staged version of {self.name} has {found} rows, expected {rows}")
-        history = (_property(self.spark, self.name, HISTORY) or "").split("\n")
-        versions = [v for v in history if v] + [path]
-        old, versions = versions[: -self.keep], versions[-self.keep :]
-        columns = ", ".join(quoted(c) for c in staged.columns)
+        versions = [v for v in self._history() if v != path] + [path]
+        self._point(staged, path, versions)
+        if prune:
+            self.prune()
+
+    def adopt(self, path: str) -> None:
+        """Point readers at files somebody else owns: no copy, and never deleted from here."""
+        self._point(self.spark.read.parquet(path), path, self._history())
+
+    def _history(self) -> list[str]:
+        """Own version folders, oldest first."""
+        return [v for v in (_property(self.spark, self.name, HISTORY) or "").split("\n") if v]
+
+    def _point(self, staged: DataFrame, path: str, versions: list[str]) -> None:
+        columns = ", ".join(quoted(c) for c in self.columns or staged.columns)
         select = f"SELECT {columns} FROM parquet.{quoted_path(path)}"
         _switch(self.spark, self.name, select, {VERSION: path, HISTORY: "\n".join(versions)})
+
+    def prune(self) -> None:
+        """Delete the files of versions beyond the newest ``keep``."""
+        versions = self._history()
+        old, kept = versions[: -self.keep], versions[-self.keep :]
+        if old:
+            self.spark.sql(
+                f"ALTER VIEW {quoted(self.name)} SET TBLPROPERTIES ({sql_string(HISTORY)} = {sql_string(chr(10).join(kept))})"
+            )
         for v in old:
             delete_dir(self.spark, v)
 
@@ -127,7 +147,15 @@ class Target(Protocol):
 
     def stage(self, df: DataFrame, max_rows_per_file: int = 0) -> tuple[str, int]: ...
 
-    def switch(self, path: str, rows: int) -> None: ...
+    def switch(self, path: str, rows: int, prune: bool = True) -> None: ...
+
+    def prune(self) -> None: ...
+
+
+class Published(Protocol):
+    """A name that shows readers the files of a reloaded table."""
+
+    def adopt(self, path: str) -> None: ...
 
 
 DEFAULT_BATCH = 100
@@ -144,13 +172,15 @@ def batch_plan(positions: DataFrame, position: str, size: int) -> DataFrame:
 
 
 def full_reload(
-    source: Source, table: Target, columns: list[str], published: Target | None = None, batch: int = 0
+    source: Source, table: Target, columns: list[str], published: Published | None = None, batch: int = 0
 ) -> LoadReport:
     """Replace all rows of ``table``, then refresh the snapshot ``published`` from it.
 
     Order of work, each failure stopping the rest: settings, source check, conversion and
     write, switch of the table, refresh.  With no ``published`` the refresh is skipped.
-    ``batch`` bounds the rows per written file (0: Spark's own choice).
+    The published name shares the table's immutable files instead of copying them; old files
+    go only after it has moved on.  ``batch`` bounds the rows per written file (0: Spark's
+    own choice).
     """
     if table is None:
         raise ValueError("target table is required")
@@ -172,8 +202,8 @@ def full_reload(
         good = rows.filter(F.when(F.col("_error").isNotNull(), failed).otherwise(True)).select(*columns)
     path, count = table.stage(good, batch)
     written = watch.lap()
-    table.switch(path, count)
+    table.switch(path, count, prune=False)
     if published is not None:
-        spark = good.sparkSession
-        published.switch(*published.stage(spark.read.parquet(path)))
+        published.adopt(path)
+    table.prune()
     return LoadReport(count, written, watch.lap())

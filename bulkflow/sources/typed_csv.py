@@ -34,6 +34,10 @@ class TypedCsv:
     number_types: dict[str, str] = field(default_factory=dict)
     timestamp_formats: list[str] | None = None
 
+    @cached_property
+    def _first_file(self) -> str:
+        return first_file(self.spark, self.path)
+
     @cached_property
     def head(self) -> tuple[list[str], list[str]]:
         rows = leading_records(self.spark, self.path, 2, self.sep, trim=True)
@@ -82,7 +86,7 @@ class TypedCsv:
 
     def _leading(self) -> Column:
         """Whether a record lies in the first split and reads like one of the two leading rows."""
-        in_first_split = (F.col("_metadata.file_path") == first_file(self.spark, self.path)) & (
+        in_first_split = (F.col("_metadata.file_path") == self._first_file) & (
             F.col("_metadata.file_block_start") == 0
         )
         return in_first_split & (self._is_head(0) | self._is_head(1))

@@ -83,6 +83,21 @@ def test_snapshot_projection(spark):
     assert s.read().count() == 0
 
 
+def test_reload_keeps_the_files_a_stuck_publication_reads(spark):
+    class Stuck(Snapshot):
+        def adopt(self, path):
+            raise RuntimeError("catalog is away")
+
+    base, mv = Snapshot(spark, name("base"), keep=1), Snapshot(spark, name("mv"))
+    full_reload(Rows(spark.range(3)), base, ["id"], mv)
+    for n in (4, 5, 6):
+        with pytest.raises(RuntimeError, match="away"):
+            full_reload(Rows(spark.range(n)), base, ["id"], Stuck(spark, mv.name))
+        assert mv.read().count() == 3 and base.read().count() == n
+    full_reload(Rows(spark.range(7)), base, ["id"], mv)
+    assert mv.read().count() == 7 and base._history() == [base.path()]
+
+
 def test_ab_swap(spark):
     ab = ABTable(spark, name("AB")[:20])
     seen = []
@@ -131,6 +146,7 @@ def test_full_reload(spark, csv_file):
     # No rows: nothing to insert, the refresh still happens.
     assert full_reload(Rows(spark.range(0).withColumn("name", F.lit("x"))), base, ["id", "name"], mv).rows == 0
     assert mv.read().count() == 0
+    assert mv.path() == base.path()
     # No published name: only the table is replaced.
     full_reload(Rows(spark.range(4)), base, ["id"])
     assert base.read().count() == 4 and mv.read().count() == 0
