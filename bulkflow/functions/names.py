@@ -26,6 +26,12 @@ def trim_space(c: Column) -> Column:
     return F.when(edge, F.btrim(c, F.lit(WHITE_SPACE))).otherwise(c)
 
 
+def trim_to_null(c: Column) -> Column:
+    """Trimmed text, NULL when nothing is left; a cell without outer white space costs two looks."""
+    edge = F.substring(c, 1, 1).isin("", *WHITE_SPACE) | F.substring(c, -1, 1).isin(*WHITE_SPACE)
+    return F.when(edge, F.nullif(F.btrim(c, F.lit(WHITE_SPACE)), F.lit(""))).otherwise(c)
+
+
 def normalize_identifiers(c: Column) -> Column:
     """Loose rule: make any text a legal upper-case name, '' when nothing is left."""
     cleaned = F.upper(F.regexp_replace(trim_space(c), "[^A-Za-z0-9_]", "_"))

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bulkflow.functions.names import trim_space
+from bulkflow.functions.names import trim_to_null
 
 
 def trim_skip_blank(df: DataFrame, columns: list[str]) -> DataFrame:
     """Trim text cells, turn empty cells into NULL, drop rows where all of them are empty."""
-    trimmed = df.withColumns({c: F.nullif(trim_space(F.col(c)), F.lit("")) for c in columns})
+    trimmed = df.withColumns({c: trim_to_null(F.col(c)) for c in columns})
     return trimmed.filter(F.coalesce(*[F.col(c) for c in columns]).isNotNull())
 
 

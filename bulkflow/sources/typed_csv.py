@@ -9,11 +9,11 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from bulkflow.functions.names import normalize_name, trim_space
-from bulkflow.functions.parse import Parsed, number_is_integer, number_value, parse_number, parse_timestamp
+from bulkflow.functions.names import normalize_name, trim_space, trim_to_null
+from bulkflow.functions.parse import Parsed, integer_value, number_is_integer, number_value, parse_number, parse_timestamp
 from bulkflow.functions.times import whole_second
 from bulkflow.functions.types import type_name
-from bulkflow.session import delete_dir, fresh_dir
+from bulkflow.session import delete_dir, fresh_dir, jit_sized_methods
 from bulkflow.sources.position import with_row_index
 from bulkflow.sources.records import BAD, csv_options, first_file, leading_records
 
@@ -69,20 +69,20 @@ class TypedCsv:
         schema = ", ".join(f"`{n}` string" for n in [*names, BAD])
         options = csv_options(self.sep, trim=True, multi_line=self.multi_line)
         scan = self.spark.read.options(**options).schema(schema).csv(self.path)
-        cells = [F.nullif(trim_space(F.col(n)), F.lit("")).alias(n) for n in names]
+        columns = [F.col(n) for n in names]
+        # Most records are decided by their first cell that is not empty.
+        some = (trim_space(F.coalesce(*columns)) != "") | (trim_space(F.concat_ws("", *columns)) != "")
         # A record with extra cells is not blank when only the extra ones hold text.
         extra = F.regexp_replace(F.col(BAD), f'[\\s"{re.escape(self.sep)}]', "") != ""
-        return scan.select(*cells, extra.alias(BAD)).filter(
-            F.coalesce(*[F.col(n) for n in names]).isNotNull() | F.col(BAD)
-        ).drop(BAD)
+        kept = scan.filter(F.coalesce(some, F.lit(False)) | extra)
+        return kept.select(*[trim_to_null(c).alias(n) for n, c in zip(names, columns)])
 
     def _is_head(self, row: int) -> Column:
         """Whether a record of the first split reads like the given leading row."""
-        same = F.lit(True)
-        for (name, _), raw in zip(self.columns, self.head[row]):
-            cell = raw.strip()
-            same = same & F.col(name).eqNullSafe(F.lit(cell if cell else None).cast("string"))
-        return same
+        cells = [raw.strip() or None for raw in self.head[row][: len(self.columns)]]
+        cells += [None] * (len(self.columns) - len(cells))
+        wanted = F.array(*[F.lit(c).cast("string") for c in cells])
+        return F.array(*[F.col(n) for n, _ in self.columns]).eqNullSafe(wanted)
 
     def _leading(self) -> Column:
         """Whether a record lies in the first split and reads like one of the two leading rows."""
@@ -147,10 +147,11 @@ class TypedCsv:
     @cached_property
     def profile(self) -> dict[str, int]:
         """One pass: data rows, bad cells, and whether each open NUMBER column is integral."""
-        found = self._flagged(by_text=True).agg(*self._measures()).first().asDict()
-        if found["leading"] == 2:
-            return found | {"by_text": True}
-        return self._flagged(by_text=False).agg(*self._measures()).first().asDict()
+        with jit_sized_methods(self.spark):
+            found = self._flagged(by_text=True).agg(*self._measures()).first().asDict()
+            if found["leading"] == 2:
+                return found | {"by_text": True}
+            return self._flagged(by_text=False).agg(*self._measures()).first().asDict()
 
     def _open_numbers(self) -> list[str]:
         return [n for n, kind in self.columns if kind == "NUMBER" and n not in self.number_types]
@@ -165,7 +166,7 @@ class TypedCsv:
             if name in self.number_types:
                 parsed = F.when(number_value(c).isNotNull(), c.try_cast(self.number_types[name]))
             elif name in integral:
-                parsed = c.try_cast("bigint")
+                parsed = integer_value(c)
             elif kind == "DATE":
                 parsed = whole_second(parsed)
             out.append(parsed.alias(name))
@@ -173,10 +174,9 @@ class TypedCsv:
 
     def _guess(self) -> set[str]:
         """Open NUMBER columns that are integral in the first rows."""
-        rows = leading_records(self.spark, self.path, 100, self.sep, trim=True)[2:]
-        position = {name: i for i, (name, _) in enumerate(self.columns)}
-        cells = {n: [r[position[n]] for r in rows if position[n] < len(r)] for n in self._open_numbers()}
-        return {n for n, found in cells.items() if all(re.fullmatch(r"\s*([+-]?[0-9]+)?\s*", c) for c in found)}
+        first = self._cells().filter(~self._leading()).limit(100).collect()
+        whole = re.compile(r"[+-]?[0-9]+")
+        return {n for n in self._open_numbers() if all(r[n] is None or whole.fullmatch(r[n]) for r in first)}
 
     def stage(self, row_number: bool = False) -> tuple[str, int]:
         """Typed rows written to a folder of their own: the folder and the row count.
@@ -191,7 +191,8 @@ class TypedCsv:
             counter = Observation()
             rows = self._flagged(by_text).observe(counter, *self._measures()).filter(~F.col("_leading"))
             number = [F.col("_row")] if row_number else []
-            rows.select(*number, *self._typed(integral)).write.parquet(path)
+            with jit_sized_methods(self.spark):
+                rows.select(*number, *self._typed(integral)).write.parquet(path)
             found = {"rows": 0, "bad": 0, "leading": 0} | counter.get
             if by_text and found["leading"] != 2:
                 by_text = False
