@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulkflow.llm import sentencepiece_bpe
+from bulkflow.llm import sentencepiece_bpe, simhash_ring
 from bulkflow.llm.common import ids_and_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,9 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_ring.near_duplicates(documents(spark, sf_dir), shingle=4, limit=4, segments=5)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
