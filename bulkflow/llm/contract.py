@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulkflow.llm import sentencepiece_bpe, simhash_ring
+from bulkflow.llm import sentencepiece_bpe, simhash_ring, window_dedup
 from bulkflow.llm.common import ids_and_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,9 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_ring.near_duplicates(documents(spark, sf_dir), shingle=4, limit=4, segments=5)
     return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = window_dedup.remove_repeats(documents(spark, sf_dir), size=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
