@@ -35,9 +35,11 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_TEXT = " ⁇ "
 
 #: Words and token pairs that a task remembers; beyond it the memory starts afresh.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 400_000
 REMEMBERED_PAIRS = 2_000_000
 REMEMBERED_WORD_LENGTH = 64
+#: Ids that are decoded together.
+IDS_AT_ONCE = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -310,7 +312,14 @@ def decode_column(vocabulary: Vocabulary, ids: Column) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         t = tokenizer(vocabulary)
         for batch in batches:
-            yield t.decode_batch(batch)
+            ends = np.cumsum(batch.value_lengths().fill_null(0).to_numpy())
+            start, done = 0, []
+            while start < len(batch):
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + IDS_AT_ONCE)))
+                done.append(t.decode_batch(batch.slice(start, stop - start)))
+                start = stop
+            yield pa.concat_arrays(done) if done else pa.array([], pa.string())
 
     return decode(ids)
 
