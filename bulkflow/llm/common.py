@@ -28,18 +28,16 @@ def ship(spark: SparkSession) -> None:
     if app in _shipped:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="ship-"), "bulkflow_llm.zip")
+    path = os.path.join(tempfile.mkdtemp(prefix="ship-"), "bulkflow.zip")
     with zipfile.ZipFile(path, "w") as z:
-        for name in (os.path.join(package, "__init__.py"), *_modules(os.path.join(package, "llm"))):
-            z.write(name, os.path.relpath(name, os.path.dirname(package)))
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                file = os.path.join(folder, name)
+                z.write(file, os.path.relpath(file, os.path.dirname(package)))
     spark.sparkContext.addPyFile(path)
     _shipped.add(app)
 
 
-def _modules(folder: str) -> list[str]:
-    return [os.path.join(folder, f) for f in sorted(os.listdir(folder)) if f.endswith(".py")]
-
-
 def ids_and_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the id and the text, under names of our own; a null text is an empty one.
 
