@@ -35,11 +35,11 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_TEXT = " ⁇ "
 
 #: Words and token pairs that a task remembers; beyond it the memory starts afresh.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 300_000
 REMEMBERED_PAIRS = 2_000_000
 REMEMBERED_WORD_LENGTH = 64
-#: Ids that are decoded together.
-IDS_AT_ONCE = 1 << 18
+#: Ids that are decoded together, and characters that are encoded and decoded together.
+IDS_AT_ONCE, TEXT_AT_ONCE = 1 << 18, 1 << 19
 
 
 @dataclass(frozen=True)
@@ -291,6 +291,12 @@ def tokenizer(vocabulary: Vocabulary) -> PrefixTableTokenizer:
     return _loaded[vocabulary]
 
 
+def _encode_batch(t: PrefixTableTokenizer, texts: list[str]) -> pa.ListArray:
+    found = [t.encode_bytes(x) for x in texts]
+    ends = np.cumsum([0, *map(len, found)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
+
+
 def encode_column(vocabulary: Vocabulary, text: Column) -> Column:
     """The ids of a text as ``array<int>``."""
 
@@ -298,9 +304,8 @@ def encode_column(vocabulary: Vocabulary, text: Column) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         t = tokenizer(vocabulary)
         for batch in batches:
-            found = [t.encode_bytes(x) for texts in text_slices(batch) for x in texts]
-            ends = np.cumsum([0, *map(len, found)]) // 4
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
+            done = [_encode_batch(t, texts) for texts in text_slices(batch)]
+            yield pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.int32()))
 
     return encode(F.coalesce(text, F.lit("")))
 
@@ -325,7 +330,23 @@ def decode_column(vocabulary: Vocabulary, ids: Column) -> Column:
 
 
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` and ``decoded`` in place of columns of those names, if any."""
+    """``docs`` with ``ids`` and the text ``decoded`` from them, in place of columns of those names.
+
+    One Python pass does both, so that a task holds one tokenizer.
+    """
     ship(docs.sparkSession)
-    encoded = docs.withColumn("ids", encode_column(vocabulary, docs[text_col]))
-    return encoded.withColumn("decoded", decode_column(vocabulary, F.col("ids")))
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        t = tokenizer(vocabulary)
+        for batch in batches:
+            done = []
+            for texts in text_slices(batch, TEXT_AT_ONCE):
+                ids = _encode_batch(t, texts)
+                done.append(pa.StructArray.from_arrays([ids, t.decode_batch(ids)], fields=list(kind)))
+            yield pa.concat_arrays(done) if done else pa.array([], kind)
+
+    texts = F.coalesce(docs[text_col], F.lit(""))
+    kept = [docs[c] for c in docs.columns if c.lower() not in ("ids", "decoded")]
+    return docs.select(*kept, both(texts).alias("_both")).select("*", "_both.ids", "_both.decoded").drop("_both")
