@@ -5,11 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulkflow.llm import sentencepiece_bpe, simhash_ring, window_dedup
-from bulkflow.llm.common import ids_and_texts
+from bulkflow.llm import piecewise_hash, pii_transducer, sentencepiece_bpe, simhash_ring, toxicity_pu, window_dedup
+from bulkflow.llm.common import held_out, ids_and_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,3 +50,34 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = window_dedup.remove_repeats(documents(spark, sf_dir), size=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity_pu.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = docs.select("doc_id", held_out(docs["doc_id"]).alias("held_out"), toxicity_pu.score_column(model, docs["text"]).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op3_pii_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_transducer.find_personal_data(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii_transducer.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
+
+
+def _listed(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query
+def op4_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = piecewise_hash.compare_with_next(documents(spark, sf_dir))
+    columns = ("fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *columns)

@@ -33,7 +33,7 @@ from bulkflow.llm.components import durable
 
 #: Bounds of the fitting sample, number of word features, classifiers, steps and their size.
 POSITIVES, UNLABELLED, FEATURES = 4_000, 16_000, 256
-CLASSIFIERS, STEPS, RATE, SHRINK = 3, 200, 0.1, 1e-4
+CLASSIFIERS, STEPS, RATE, SHRINK = 3, 300, 0.3, 1e-5
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
