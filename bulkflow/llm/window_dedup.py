@@ -39,6 +39,8 @@ from bulkflow.llm.common import SLICE_CHARS, WORD, ids_and_texts, mix, ship, tex
 SKETCH_ROWS, CELLS_PER_ANCHOR, MAX_CELLS, BLOCK = 2, 4, 1 << 28, 1 << 16
 #: Entries that a task gathers before it emits them.
 GATHERED = 1 << 20
+#: Buckets of documents in a shuffle partition.
+BUCKETS_PER_PARTITION = 4
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -193,10 +195,11 @@ def sketch(texts: DataFrame, size: int, cells: int, rounds: int, turn: int) -> n
     return out.reshape(-1)
 
 
-def repeated_runs(texts: DataFrame, size: int, max_cells: int = MAX_CELLS) -> DataFrame:
-    """(doc_id, mark, runs): starts of repeated windows, as binary pairs of 32-bit start and count.
+def repeated_runs(texts: DataFrame, size: int, buckets: int, max_cells: int = MAX_CELLS) -> DataFrame:
+    """(bucket, owners, counts, runs): starts of repeated windows, as binary pairs of 32-bit start and count.
 
-    ``mark`` tells rows with the same id apart.  A row may have several rows here.
+    ``texts`` has ``mark``, a hash that tells rows with the same id apart; a row's bucket is its
+    mark modulo ``buckets``.  A document may have runs in several rows here.
     """
     spark = texts.sparkSession
     words = texts.select(F.sum(F.length("text"))).first()[0] or 0
@@ -213,7 +216,10 @@ def repeated_runs(texts: DataFrame, size: int, max_cells: int = MAX_CELLS) -> Da
         )
         found = part if found is None else found.union(part)
     grouped = found.repartition("h1").sortWithinPartitions("h1", "h2")
-    return grouped.mapInArrow(_exactly_repeated, f"doc_id {kind}, mark int, runs binary")
+    return grouped.mapInArrow(_exactly_repeated(buckets), _PACKED.format(kind))
+
+
+_PACKED = "bucket int, owners array<struct<doc_id:{},mark:int>>, counts array<int>, runs binary"
 
 
 def _estimated_repeated(seen, size: int, cells: int, rounds: int, turn: int):
@@ -264,34 +270,36 @@ def _estimated_repeated(seen, size: int, cells: int, rounds: int, turn: int):
     return run
 
 
-def _exactly_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare sorted windows with their neighbours; gather what repeats by document."""
-    last, held = None, []
+def _exactly_repeated(buckets: int):
+    """Compare sorted windows with their neighbours; gather what repeats by buckets of documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, matched, held = None, False, []
 
-    def emit(rows: pa.Table, repeats: np.ndarray) -> None:
-        run = rows.column("run").to_numpy()
-        keep = np.nonzero(repeats | (run > 0))[0]
-        if len(keep):
-            held.append(rows.select(["doc_id", "mark", "start", "run"]).take(pa.array(keep)))
+        def emit(rows: pa.Table, repeats: np.ndarray) -> None:
+            keep = np.nonzero(repeats | (rows.column("run").to_numpy() > 0))[0]
+            if len(keep):
+                held.append(rows.select(["doc_id", "mark", "start", "run"]).take(pa.array(keep)))
 
-    matched = False
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = pa.Table.from_batches([batch])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            if last is not None:
+                rows = pa.concat_tables([last, rows])
+            repeats = _equal_neighbours(rows)
+            repeats[0] |= matched
+            emit(rows.slice(0, rows.num_rows - 1), repeats[:-1])
+            last, matched = rows.slice(rows.num_rows - 1), bool(repeats[-1])
+            if sum(t.num_rows for t in held) > GATHERED:
+                yield _by_bucket(held, buckets)
+                held = []
         if last is not None:
-            rows = pa.concat_tables([last, rows])
-        repeats = _equal_neighbours(rows)
-        repeats[0] |= matched
-        emit(rows.slice(0, rows.num_rows - 1), repeats[:-1])
-        last, matched = rows.slice(rows.num_rows - 1), bool(repeats[-1])
-        if sum(t.num_rows for t in held) > GATHERED:
-            yield _by_document(held)
-            held = []
-    if last is not None:
-        emit(last, np.array([matched]))
-    if held:
-        yield _by_document(held)
+            emit(last, np.array([matched]))
+        if held:
+            yield _by_bucket(held, buckets)
+
+    return run
 
 
 def _equal_neighbours(rows: pa.Table) -> np.ndarray:
@@ -305,21 +313,31 @@ def _equal_neighbours(rows: pa.Table) -> np.ndarray:
     return out
 
 
-def _by_document(held: list[pa.Table]) -> pa.RecordBatch:
+def _by_bucket(held: list[pa.Table], buckets: int) -> pa.RecordBatch:
+    """One row per bucket of documents: the owners, how many runs each has, and the runs."""
     rows = pa.concat_tables(held).combine_chunks()
-    rows = rows.sort_by([("doc_id", "ascending"), ("mark", "ascending"), ("start", "ascending")])
+    bucket = rows.column("mark").to_numpy() % buckets
+    rows = rows.append_column("bucket", pa.array(bucket, pa.int32()))
+    rows = rows.sort_by([(c, "ascending") for c in ("bucket", "mark", "doc_id", "start")])
     runs = np.stack([rows.column("start").to_numpy(), np.maximum(rows.column("run").to_numpy(), 1)], 1).astype(np.int32)
-    begins = [0]
-    if rows.num_rows > 1:
-        new = np.zeros(rows.num_rows - 1, bool)
-        for name in ("doc_id", "mark"):
-            ranks = rows.column(name).combine_chunks().dictionary_encode(null_encoding="encode")
-            ranks = ranks.combine_chunks() if isinstance(ranks, pa.ChunkedArray) else ranks
-            new |= np.diff(ranks.indices.to_numpy(zero_copy_only=False)) != 0
-        begins += (np.nonzero(new)[0] + 1).tolist()
-    parts = [_joined(runs[a:b]).tobytes() for a, b in zip(begins, [*begins[1:], len(runs)])]
-    owner = rows.select(["doc_id", "mark"]).take(pa.array(begins)).combine_chunks().to_batches()[0]
-    return pa.RecordBatch.from_arrays([*owner.columns, pa.array(parts, pa.binary())], ["doc_id", "mark", "runs"])
+    new = np.ones(rows.num_rows, bool)
+    mark = rows.column("mark").to_numpy()
+    ids = pa.array(rows.column("doc_id").to_pylist()).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+    new[1:] = (np.diff(mark) != 0) | (np.diff(ids) != 0)
+    begins = np.nonzero(new)[0]
+    parts = [_joined(runs[x:y]) for x, y in zip(begins.tolist(), [*begins[1:].tolist(), len(runs)])]
+    bucket = rows.column("bucket").to_numpy()[begins]
+    cuts = np.nonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))[0].tolist()
+    owners = rows.select(["doc_id", "mark"]).take(pa.array(begins)).to_pylist()
+    out = {"bucket": [], "owners": [], "counts": [], "runs": []}
+    for x, y in zip(cuts, [*cuts[1:], len(bucket)]):
+        out["bucket"].append(int(bucket[x]))
+        out["owners"].append(owners[x:y])
+        out["counts"].append([len(r) for r in parts[x:y]])
+        out["runs"].append(np.concatenate(parts[x:y]).tobytes())
+    owner = pa.struct([rows.schema.field("doc_id"), ("mark", pa.int32())])
+    kinds = {"bucket": pa.int32(), "owners": pa.list_(owner), "counts": pa.list_(pa.int32()), "runs": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(out[c], k) for c, k in kinds.items()], list(kinds))
 
 
 def _joined(runs: np.ndarray) -> np.ndarray:
@@ -331,36 +349,59 @@ def _joined(runs: np.ndarray) -> np.ndarray:
     return np.stack([begins, stops - begins], 1).astype(np.int32)
 
 
-def without_repeats(text: str, runs: list[bytes], size: int) -> tuple[int, int, str]:
+def without_repeats(text: str, runs: np.ndarray | None, size: int) -> tuple[int, int, str]:
     """Number of words, number of removed ones, and the rest joined by one space."""
     words = _WORD.findall(text.encode())
-    if not runs:
+    if runs is None:
         return len(words), 0, b" ".join(words).decode()
     edges = np.zeros(len(words) + 1, np.int64)
-    for start, count in np.concatenate([np.frombuffer(r, np.int32).reshape(-1, 2) for r in runs]).tolist():
-        edges[start] += 1
-        edges[min(start + count + size - 1, len(words))] -= 1
+    np.add.at(edges, runs[:, 0], 1)
+    np.add.at(edges, np.minimum(runs[:, 0] + runs[:, 1] + size - 1, len(words)), -1)
     covered = np.cumsum(edges[:-1]) > 0
     kept = [w for w, c in zip(words, covered.tolist()) if not c]
     return len(words), len(words) - len(kept), b" ".join(kept).decode()
 
 
 def remove_repeats(docs: DataFrame, size: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_removed, kept): every word in a window that also starts elsewhere is gone."""
+    """(doc_id, n_words, n_removed, kept): every word in a window that also starts elsewhere is gone.
+
+    Runs and texts are dealt out by the same buckets; in a bucket the runs come first and are held,
+    which is bounded by the repeated windows of its documents, and the texts stream past them.
+    """
     ship(docs.sparkSession)
-    texts = ids_and_texts(docs, id_col, text_col).withColumn("mark", F.hash("text"))
-    runs = repeated_runs(texts, size).groupBy("doc_id", "mark").agg(F.collect_list("runs").alias("runs"))
-    same = F.col("t.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("t.mark") == F.col("r.mark"))
-    joined = texts.alias("t").join(runs.alias("r"), same, "left").select("t.doc_id", "t.text", "r.runs")
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS_PER_PARTITION * partitions
+    texts = ids_and_texts(docs, id_col, text_col).withColumn("mark", F.hash("doc_id", "text"))
+    kind = dict(texts.dtypes)["doc_id"]
+    runs = repeated_runs(texts, size, buckets)
+    runs = runs.select("bucket", F.lit(0).alias("is_text"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("int").alias("mark"), F.lit(None).cast("string").alias("text"), "owners", "counts", "runs")
+    nothing = [F.lit(None).cast(dict(runs.dtypes)[c]).alias(c) for c in ("owners", "counts", "runs")]
+    streamed = texts.select(F.pmod("mark", F.lit(buckets)).cast("int").alias("bucket"), F.lit(1).alias("is_text"), "doc_id", "mark", "text", *nothing)
+    dealt = runs.union(streamed).repartition(partitions, "bucket").sortWithinPartitions("bucket", "is_text")
+    return dealt.mapInArrow(_finished(size), f"doc_id {kind}, n_words long, n_removed long, kept string")
+
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _finished(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, known = None, {}
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                done = [without_repeats(t, r or [], size) for t, r in zip(part.column("text").to_pylist(), part.column("runs").to_pylist())]
-                n_words, n_removed, kept = zip(*done)
-                arrays = [part.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept"])
+                done = []
+                for row in part.to_pylist():
+                    if row["bucket"] != bucket:
+                        bucket, known = row["bucket"], {}
+                    if row["is_text"]:
+                        found = known.get((row["doc_id"], row["mark"]))
+                        done.append((row["doc_id"], *without_repeats(row["text"], np.concatenate(found) if found else None, size)))
+                    else:
+                        runs = np.frombuffer(row["runs"], np.int32).reshape(-1, 2)
+                        ends = np.cumsum(row["counts"]).tolist()
+                        for owner, a, b in zip(row["owners"], [0, *ends], ends):
+                            known.setdefault((owner["doc_id"], owner["mark"]), []).append(runs[a:b])
+                if done:
+                    kinds = (part.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.string())
+                    arrays = [pa.array(c, k) for c, k in zip(zip(*done), kinds)]
+                    yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept"])
 
-    kind = dict(texts.dtypes)["doc_id"]
-    return joined.mapInArrow(finish, f"doc_id {kind}, n_words long, n_removed long, kept string")
+    return run
