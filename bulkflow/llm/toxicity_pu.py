@@ -35,6 +35,9 @@ from bulkflow.llm.components import durable
 POSITIVES, UNLABELLED, FEATURES = 4_000, 16_000, 256
 CLASSIFIERS, STEPS, RATE, SHRINK = 3, 300, 0.3, 1e-5
 
+#: A word is a feature only if this share of the positives has it.
+LEAST_SHARE = 0.01
+
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -89,7 +92,7 @@ def _telling_words(sample: DataFrame, n_p: int, n_u: int) -> list[str]:
     counts = sample.select("p", "u", F.explode("words").alias("word")).groupBy("word").agg(F.sum("p").alias("a"), F.sum("u").alias("b"))
     rate_p, rate_u = (F.col("a") + 0.5) / (n_p + 1), (F.col("b") + 0.5) / (n_u + 1)
     error = F.sqrt(rate_u * (1 - rate_u) * (1 / n_p + 1 / n_u))
-    best = counts.where("a + b > 1").orderBy(F.desc(F.abs(rate_p - rate_u) / error), "word").limit(FEATURES)
+    best = counts.where(F.col("a") >= max(2, LEAST_SHARE * n_p)).orderBy(F.desc(F.abs(rate_p - rate_u) / error), "word").limit(FEATURES)
     return sorted(r["word"] for r in best.collect())
 
 
