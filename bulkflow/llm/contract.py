@@ -8,7 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulkflow.llm import piecewise_hash, pii_transducer, sentencepiece_bpe, simhash_ring, toxicity_pu, window_dedup
+from bulkflow.llm import (
+    lang_hyperdim,
+    piecewise_hash,
+    pii_transducer,
+    quality_llr,
+    sentencepiece_bpe,
+    simhash_ring,
+    toxicity_pu,
+    window_dedup,
+)
 from bulkflow.llm.common import held_out, ids_and_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +90,17 @@ def op4_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = piecewise_hash.compare_with_next(documents(spark, sf_dir))
     columns = ("fingerprint", "edited_fingerprint", "near_edited", "near_next")
     return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *columns)
+
+
+@query
+def op7_hyperdim_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = lang_hyperdim.predict_column(lang_hyperdim.learn(docs), docs["text"])
+    scored = docs.select("doc_id", held_out(docs["doc_id"]).alias("held_out"), found.alias("found"))
+    return scored.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
+@query
+def op8_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality_llr.judge(docs, quality_llr.learn_ratios(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
