@@ -12,7 +12,9 @@ from bulkflow.llm import (
     lang_hyperdim,
     piecewise_hash,
     pii_transducer,
+    poisson_mix,
     quality_llr,
+    quality_rff,
     sentencepiece_bpe,
     simhash_ring,
     toxicity_pu,
@@ -104,3 +106,20 @@ def op7_hyperdim_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality_llr.judge(docs, quality_llr.learn_ratios(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@query
+def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return poisson_mix.mix(docs, poisson_mix.tempered_weights(docs))
+
+
+SQL["op9_poisson_mix"] = poisson_mix.mix_sql()
+
+
+@query
+def op10_quality_rff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = quality_rff.measure(documents(spark, sf_dir))
+    model = quality_rff.fit(measured, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = measured.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), quality_rff.score_column(model, F.col("stats")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
