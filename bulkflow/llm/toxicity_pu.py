@@ -49,6 +49,8 @@ class Model:
     bias: float
 
     def score(self, text: str) -> float:
+        if self.bias == -np.inf:
+            return 0.0
         present = self.weights.keys() & _LETTERS.findall(text.lower())
         logit = self.bias + sum(self.weights[w] for w in sorted(present))
         return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
@@ -62,7 +64,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marked = durable(marked)
     prior = marked.select(F.avg(F.col("toxic").cast("double"))).first()[0]
     if not prior:
-        return Model({}, -500.0)
+        return Model({}, -np.inf)
     by_hash = (F.xxhash64("doc_id"), F.col("doc_id"))
     positive = marked.where("toxic = 1").orderBy(*by_hash).limit(POSITIVES).select("doc_id", F.lit(1).alias("p"), F.lit(0).alias("u"))
     unlabelled = marked.orderBy(*by_hash).limit(UNLABELLED).select("doc_id", F.lit(0).alias("p"), F.lit(1).alias("u"))
@@ -72,7 +74,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = durable(words.groupBy("same").agg(F.max("p").alias("p"), F.max("u").alias("u"), F.any_value("words").alias("words")))
     n_p, n_u = sample.agg(F.sum("p"), F.sum("u")).first()
     if not n_p or not n_u:
-        return Model({}, -500.0)
+        return Model({}, -np.inf)
     features = _telling_words(sample, n_p, n_u)
     rows = sample.select("p", "u", F.array_intersect("words", F.array(*map(F.lit, features))).alias("words")).collect()
     return _train(rows, features, float(prior))
