@@ -35,7 +35,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_TEXT = " ⁇ "
 
 #: Words and token pairs that a task remembers; beyond it the memory starts afresh.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 200_000
 REMEMBERED_PAIRS = 2_000_000
 REMEMBERED_WORD_LENGTH = 64
 #: Ids that are decoded together, and characters that are encoded and decoded together.
