@@ -98,6 +98,25 @@ def parse_number(c: Column) -> Parsed:
     return _checked(c, number_value(c), "NUMBER", empty_is_null=True)
 
 
+def parse_number_as(kind: str) -> Parser:
+    """NUMBER cell in a given Spark type; a cell that the type cannot hold as it is is an error."""
+
+    def parse(c: Column) -> Parsed:
+        number = number_value(c)
+        plain = F.replace(c, F.lit("_"), F.lit(""))
+        # A whole type reads "17.0" by way of a decimal.
+        read = F.coalesce(plain.try_cast(kind), plain.try_cast("decimal(38,18)").try_cast(kind))
+        value = F.when(number.isNotNull(), read)
+        value = F.when(value.cast("double").eqNullSafe(number), value)
+        text = F.coalesce(c, F.lit(""))
+        message = F.when(number.isNull(), F.concat(F.lit("invalid NUMBER '"), text, F.lit("'"))).otherwise(
+            F.concat(F.lit(f"{kind} cannot hold '"), text, F.lit("'"))
+        )
+        return Parsed(value, F.when(value.isNull() & (text != ""), message))
+
+    return parse
+
+
 def parse_timestamp(formats: list[str] | None = None) -> Parser:
     """Wall-clock time; ISO text when no format is given."""
 

@@ -12,18 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# One offset row is about 200 bytes, so this bounds the broadcast at roughly 200 MB.
-MAX_BROADCAST_SPLITS = 1_000_000
-
-
-def split_bound(scan: DataFrame) -> int:
-    """Upper bound on the number of file splits of a scan, from file sizes alone."""
-    spark = scan.sparkSession
-    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split_size = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    by_size = max(size // split_size, spark.sparkContext.defaultParallelism)
-    return len(scan._jdf.inputFiles()) + by_size + 1
-
 
 def with_row_index(scan: DataFrame, index: str = "row_index", total: str | None = None) -> DataFrame:
     """Add the 0-based position of every record, files taken in path order.
@@ -47,9 +35,7 @@ def with_row_index(scan: DataFrame, index: str = "row_index", total: str | None
         F.coalesce(F.sum("_rows").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
         F.sum("_rows").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"),
     )
-    if split_bound(scan) <= MAX_BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
-
+    # How to join is left to adaptive execution, which knows the real size of the offsets.
     rank = F.col("_mid") - F.col("_first")
     in_split = (rank >= 0) & (rank < F.col("_rows"))
     position = F.when(in_split, F.col("_offset") + rank).otherwise(

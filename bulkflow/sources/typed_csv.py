@@ -6,14 +6,14 @@ import re
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bulkflow.functions.names import normalize_name, trim_space, trim_to_null
-from bulkflow.functions.parse import Parsed, integer_value, number_is_integer, number_value, parse_number, parse_timestamp
+from bulkflow.functions.parse import Parsed, number_is_integer, parse_number, parse_number_as, parse_timestamp
 from bulkflow.functions.times import whole_second
 from bulkflow.functions.types import type_name
-from bulkflow.session import delete_dir, fresh_dir, jit_sized_methods
+from bulkflow.session import delete_dir, fresh_table_dir
 from bulkflow.sources.position import with_row_index
 from bulkflow.sources.records import BAD, csv_options, first_file, leading_records
 
@@ -22,9 +22,9 @@ from bulkflow.sources.records import BAD, csv_options, first_file, leading_recor
 class TypedCsv:
     """A scan of one typed CSV file, or of a folder whose files are taken in path order.
 
-    ``number_types`` fixes the Spark type of NUMBER columns by name.  A NUMBER column not
-    named there becomes BIGINT when all its cells are 64-bit integers and DOUBLE otherwise,
-    which one aggregate over the file decides.
+    ``number_types`` fixes the Spark type of NUMBER columns by name; a cell that this type cannot
+    hold is a bad cell.  A NUMBER column not named there becomes BIGINT when all its cells are
+    64-bit integers and DOUBLE otherwise, which one aggregate over the whole file decides.
     """
 
     spark: SparkSession
@@ -85,11 +85,12 @@ class TypedCsv:
         return F.array(*[F.col(n) for n, _ in self.columns]).eqNullSafe(wanted)
 
     def _leading(self) -> Column:
-        """Whether a record lies in the first split and reads like one of the two leading rows."""
+        """1 or 2 for a record of the first split that reads like the names or types row, else 0."""
         in_first_split = (F.col("_metadata.file_path") == self._first_file) & (
             F.col("_metadata.file_block_start") == 0
         )
-        return in_first_split & (self._is_head(0) | self._is_head(1))
+        number = F.when(self._is_head(0), 1).when(self._is_head(1), 2)
+        return F.coalesce(F.when(in_first_split, number), F.lit(0))
 
     @property
     def _head_is_unique(self) -> bool:
@@ -109,13 +110,17 @@ class TypedCsv:
         """
         if not self._head_is_unique:
             return self.numbered().drop("_row")
-        return self._cells().filter(~self._leading())
+        return self._cells().filter(self._leading() == 0)
 
+    @cached_property
     def _parsed(self) -> dict[str, Parsed]:
+        """Value and error per column; built once, as every column costs driver time."""
         out = {}
         for name, kind in self.columns:
             c = F.col(name)
-            if kind == "NUMBER":
+            if kind == "NUMBER" and name in self.number_types:
+                out[name] = parse_number_as(self.number_types[name])(c)
+            elif kind == "NUMBER":
                 out[name] = parse_number(c)
             elif kind in ("DATE", "TIMESTAMP"):
                 out[name] = parse_timestamp(self.timestamp_formats)(c)
@@ -124,15 +129,15 @@ class TypedCsv:
         return out
 
     def _measures(self) -> list[Column]:
-        """Aggregates over cells with a ``_leading`` flag: rows, bad cells, non-integral numbers."""
-        bad = F.lit(0).cast("bigint")
-        for parsed in self._parsed().values():
-            bad = bad + parsed.error.isNotNull().cast("bigint")
-        data = ~F.col("_leading")
+        """Aggregates over cells with a ``_leading`` number: rows, bad cells, non-integral numbers."""
+        errors = [parsed.error.isNotNull().cast("bigint") for parsed in self._parsed.values()]
+        bad = F.aggregate(F.array(*errors), F.lit(0).cast("bigint"), lambda total, x: total + x)
+        data = F.col("_leading") == 0
         measures = [
             F.count(F.when(data, 1)).alias("rows"),
             F.coalesce(F.sum(F.when(data, bad)), F.lit(0)).alias("bad"),
-            F.count(F.when(~data, 1)).alias("leading"),
+            F.count(F.when(F.col("_leading") == 1, 1)).alias("names_rows"),
+            F.count(F.when(F.col("_leading") == 2, 1)).alias("types_rows"),
         ]
         for name in self._open_numbers():
             wide = data & F.col(name).isNotNull() & ~number_is_integer(F.col(name))
@@ -142,16 +147,15 @@ class TypedCsv:
     def _flagged(self, by_text: bool) -> DataFrame:
         if by_text:
             return self._cells().withColumn("_leading", self._leading())
-        return self.numbered().withColumn("_leading", F.lit(False))
+        return self.numbered().withColumn("_leading", F.lit(0))
 
     @cached_property
     def profile(self) -> dict[str, int]:
         """One pass: data rows, bad cells, and whether each open NUMBER column is integral."""
-        with jit_sized_methods(self.spark):
-            found = self._flagged(by_text=True).agg(*self._measures()).first().asDict()
-            if found["leading"] == 2:
-                return found | {"by_text": True}
-            return self._flagged(by_text=False).agg(*self._measures()).first().asDict()
+        found = self._flagged(by_text=True).agg(*self._measures()).first().asDict()
+        if found["names_rows"] == found["types_rows"] == 1:
+            return found | {"by_text": True}
+        return self._flagged(by_text=False).agg(*self._measures()).first().asDict()
 
     def _open_numbers(self) -> list[str]:
         return [n for n, kind in self.columns if kind == "NUMBER" and n not in self.number_types]
@@ -162,52 +166,32 @@ class TypedCsv:
     def _typed(self, integral: set[str]) -> list[Column]:
         out = []
         for name, kind in self.columns:
-            c, parsed = F.col(name), self._parsed()[name].value
-            if name in self.number_types:
-                parsed = F.when(number_value(c).isNotNull(), c.try_cast(self.number_types[name]))
-            elif name in integral:
-                parsed = integer_value(c)
+            parsed = self._parsed[name].value
+            if name in integral:
+                parsed = F.col(name).try_cast("bigint")  # every cell has been read as one by now
             elif kind == "DATE":
                 parsed = whole_second(parsed)
             out.append(parsed.alias(name))
         return out
 
-    def _guess(self) -> set[str]:
-        """Open NUMBER columns that are integral in the first rows."""
-        first = self._cells().filter(~self._leading()).limit(100).collect()
-        whole = re.compile(r"[+-]?[0-9]+")
-        return {n for n in self._open_numbers() if all(r[n] is None or whole.fullmatch(r[n]) for r in first)}
-
     def stage(self, row_number: bool = False) -> tuple[str, int]:
         """Typed rows written to a folder of their own: the folder and the row count.
 
-        Bad cells raise, and nothing stays behind.  The types of open NUMBER columns are
-        guessed from the first rows and checked while writing, so the file is converted once
-        unless the guess was wrong.
+        The types are decided by a pass over the whole file, the rows are converted once.  Bad
+        cells raise before anything is written.
         """
-        integral, by_text = self._guess(), not row_number
-        while True:
-            path = fresh_dir(self.spark, "typed")
-            counter = Observation()
-            rows = self._flagged(by_text).observe(counter, *self._measures()).filter(~F.col("_leading"))
-            number = [F.col("_row")] if row_number else []
-            with jit_sized_methods(self.spark):
-                rows.select(*number, *self._typed(integral)).write.parquet(path)
-            found = {"rows": 0, "bad": 0, "leading": 0} | counter.get
-            if by_text and found["leading"] != 2:
-                by_text = False
-            else:
-                self.__dict__["profile"] = found | ({"by_text": True} if by_text else {})
-                if not found["bad"] and self._integral() == integral:
-                    return path, found["rows"]
-                integral = self._integral()
+        self.check()
+        path = fresh_table_dir(self.spark, "typed")
+        try:
+            self.data(row_number=row_number).write.parquet(path)
+        except Exception:
             delete_dir(self.spark, path)
-            if "profile" in self.__dict__:
-                self.check()
+            raise
+        return path, self.profile["rows"]
 
     def rejects(self) -> DataFrame:
         """Every bad cell: ``row, col, column, raw, message`` (row and col count from 1)."""
-        parsed = self._parsed()
+        parsed = self._parsed
         found = F.array(
             *[
                 F.struct(

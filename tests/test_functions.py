@@ -85,7 +85,7 @@ def test_column_definitions():
     )
     assert schema.names == ["ID", "PRICE", "LEVEL", "NAME", "CODE", "AT", "BODY"]
     assert [f.dataType.simpleString() for f in schema.fields] == [
-        "bigint", "decimal(10,2)", "decimal(5,0)", "string", "string", "timestamp_ntz", "string"
+        "decimal(38,10)", "decimal(10,2)", "decimal(5,0)", "string", "string", "timestamp_ntz", "string"
     ]
     assert schema["NAME"].metadata["length"] == 255 and schema["CODE"].metadata["length"] == 50
     assert primary_key(schema) == ["ID"] and not schema["ID"].nullable

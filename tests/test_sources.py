@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -217,3 +219,35 @@ def test_typed_scan_needs_no_numbering_for_plain_files(spark, csv_file):
     assert t._head_is_unique
     ambiguous = TypedCsv(spark, csv_file("A,B\nVARCHAR,CLOB\nVARCHAR,CLOB\n", "b.csv"))
     assert not ambiguous._head_is_unique
+
+
+def test_forced_types_reject_what_they_cannot_hold(spark, csv_file):
+    path = csv_file("AMT,N\nNUMBER,NUMBER\n12.34,7\n123456.789,8\n1_000,1.9\n,\n1.239,2_5\n1_0.5,x\n")
+    t = TypedCsv(spark, path, number_types={"AMT": "decimal(5,2)", "N": "bigint"})
+    found = [(r.row, r.col, r.raw) for r in t.rejects().orderBy("row", "col").collect()]
+    assert found == [(4, 1, "123456.789"), (5, 1, "1_000"), (5, 2, "1.9"), (6, 1, "1.239"), (7, 2, "x")]
+    with pytest.raises(ValueError, match="row 4 col 1: decimal"):
+        t.data()
+    rows = t.data(strict=False).collect()
+    assert [(r.AMT and float(r.AMT), r.N) for r in rows] == [(12.34, 7), (None, 8), (None, None), (None, 25), (10.5, None)]
+
+
+def test_a_late_fraction_decides_the_type(spark, csv_file):
+    body = "".join(f"{n}\n" for n in range(150)) + "0.5\n"
+    t = TypedCsv(spark, csv_file("A\nNUMBER\n" + body))
+    staged, rows = t.stage()
+    assert rows == 151 and spark.read.parquet(staged).dtypes == [("A", "double")]
+
+
+def test_planning_wide_files_takes_linear_time(spark, csv_file):
+    names = [f"C{n}" for n in range(200)]
+    t = TypedCsv(spark, csv_file(",".join(names) + "\n" + ",".join(["NUMBER"] * 200) + "\n" + ",".join("1" * 200) + "\n"))
+    t.columns
+    start = time.monotonic()
+    t._measures(), t._typed(set(names[:100]))
+    assert time.monotonic() - start < 60  # about 6 s on an idle machine
+
+
+def test_a_repeated_names_row_is_data(spark, csv_file):
+    t = TypedCsv(spark, csv_file("A,B\nCLOB,CLOB\nA,B\nx,y\nCLOB,CLOB\n"))
+    assert rows_of(t.data(), "A") == [("A", "B"), ("CLOB", "CLOB"), ("x", "y")]

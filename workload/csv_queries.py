@@ -44,6 +44,20 @@ def typed_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lower(spark.table(name))
 
 
+@query(
+    """SELECT 'L_EXTENDEDPRICE' AS "column", count(*) AS rejected FROM lineitem WHERE l_extendedprice >= 10000
+    UNION ALL SELECT 'L_QUANTITY', count(*) FROM lineitem WHERE l_quantity <> floor(l_quantity)"""
+)
+def typed_csv_forced_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that do not fit the type a NUMBER column is given are rejects, not NULLs."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_extendedprice").cast("decimal(12,2)"), "l_quantity")
+    forced = {"L_EXTENDEDPRICE": "decimal(6,2)", "L_QUANTITY": "int", "L_ORDERKEY": "bigint"}
+    found = TypedCsv(spark, typed_csv(lines, ["NUMBER"] * 3, "forced"), number_types=forced).rejects()
+    counts = found.groupBy("column").agg(F.count(F.lit(1)).alias("rejected"))
+    names = spark.createDataFrame([("L_EXTENDEDPRICE",), ("L_QUANTITY",)], "column string")
+    return names.join(counts, "column", "left").select("column", F.coalesce("rejected", F.lit(0)).alias("rejected"))
+
+
 @query("SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem")
 def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")

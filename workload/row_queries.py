@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -233,3 +235,25 @@ def seconds_between(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, ts + INTERVAL 7 HOUR AS bangkok FROM events")
 def bangkok_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", times.in_zone(F.col("ts")).alias("bangkok"))
+
+
+@query(
+    """SELECT event_id, user_id AS "user", value, event_type AS kind, ts AS at,
+    (SELECT min(event_id) FROM events WHERE event_type = 'error' AND event_id > (SELECT min(event_id) FROM events)) AS first_mismatch FROM events"""
+)
+def bind_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Untyped cells become typed columns; a column of two kinds is refused at its first odd cell."""
+    events = table(spark, sf_dir, "events")
+    v = lambda c: F.col(c).cast("variant")
+    batch = events.select("event_id", v("user_id").alias("user"), v("value").alias("value"), v("event_type").alias("kind"), v("ts").alias("at"))
+    first = events.agg(F.min("event_id")).first()[0]
+    odd = (F.col("event_type") == "error") & (F.col("event_id") > first)
+    mixed = events.select("event_id", F.when(odd, v("event_type")).otherwise(v("user_id")).alias("user"))
+    try:
+        rows.bind_batch(mixed, ["user"], ["event_id"])
+    except ValueError as e:
+        refused = int(re.search(r"expected integer at row \((\d+),\)", str(e)).group(1))
+    else:
+        raise AssertionError("the mixed column should have been refused")
+    bound = rows.bind_batch(batch, ["user", "value", "kind", "at"], ["event_id"])
+    return bound.withColumn("first_mismatch", F.lit(refused).cast("bigint"))
