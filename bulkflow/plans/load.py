@@ -44,9 +44,11 @@ def upsert_csv(spark: SparkSession, path: str, target: Snapshot, keys: list[str]
     if not normalized or missing:
         raise ValueError(f"key columns {missing} not found in CSV headers" if keys else "key columns must not be empty")
     staged, rows = source.stage(row_number=True)
-    if rows:
-        target.publish(upsert(target.read(), spark.read.parquet(staged), normalized, order=["_row"]))
-    delete_dir(spark, staged)
+    try:
+        if rows:
+            target.publish(upsert(target.read(), spark.read.parquet(staged), normalized, order=["_row"]))
+    finally:
+        delete_dir(spark, staged)
     return rows
 
 
@@ -72,5 +74,11 @@ def exchange_csv(
     absent = [f.name for f in wanted.fields if f.name not in data.columns]
     if absent:
         raise ValueError(f"file lacks columns {absent} of {master}")
-    aligned = data.select(*[data[f.name].cast(f.dataType).alias(f.name) for f in wanted.fields])
-    return table.load_and_exchange(aligned, partition, table_name(path, staging), rule, drop_old)
+    staging_name = table_name(path, staging)
+    tables.create_or_replace(spark, staging_name, wanted)
+    try:
+        rows = tables.append(data.select(*[f.name for f in wanted.fields]), staging_name)
+    finally:
+        delete_dir(spark, staged)
+    table.exchange(partition, staging_name, rule, drop_old)
+    return rows

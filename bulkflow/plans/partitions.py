@@ -13,19 +13,22 @@ from pyspark.sql.window import Window
 
 from bulkflow.functions.times import plus_micros
 from bulkflow.plans import tables
-from bulkflow.session import delete_dir, fresh_dir, make_dir, quoted, sql_string
+from bulkflow.session import delete_dir, fresh_table_dir, make_dir, quoted, sql_string
 
 log = logging.getLogger(__name__)
 
 INITIAL = "P_INITIAL"
+# Rows without a time stamp go here; like the initial partition it is never dropped as old.
+UNDATED = "P_UNDATED"
 # Fixed value: rows of earlier days go to the initial partition.
 FIRST_DAY = "2024-01-01"
 
 
 def day_partition(ts: Column, first_day: str = FIRST_DAY) -> Column:
-    """Partition of a row by day: the day as text, or the initial partition before the first day."""
+    """Partition of a row by day: the day as text, the initial partition before the first day,
+    a partition of their own for rows without a time."""
     day = F.to_date(ts)
-    return F.when(day < F.lit(first_day).cast("date"), INITIAL).otherwise(F.date_format(day, "yyyy-MM-dd"))
+    return F.when(day.isNull(), UNDATED).when(day < F.lit(first_day).cast("date"), INITIAL).otherwise(F.date_format(day, "yyyy-MM-dd"))
 
 
 def second_partition(ts: Column) -> Column:
@@ -56,9 +59,28 @@ class PartitionedTable:
         """Add rows; partitions that are new appear by themselves.
 
         The rebalance gathers a partition's rows into few files and still splits a partition
-        that holds much of the data over several tasks.
+        that holds much of the data over several tasks.  A row without a partition value
+        fails the append.
         """
-        return tables.append(df.hint("rebalance", self.column), self.name)
+        ours = next((c for c in df.columns if c.lower() == self.column.lower()), None)
+        if ours is None:
+            raise ValueError(f"rows need the partition column {self.column}")
+        missing = F.raise_error(F.lit(f"a row for {self.name} has no partition")).cast("string")
+        routed = df.withColumn(ours, F.coalesce(F.col(quoted(ours)).cast("string"), missing))
+        self._apart_from_ceded()
+        return tables.append(routed.hint("rebalance", ours), self.name)
+
+    def _apart_from_ceded(self) -> None:
+        """Give partitions whose usual folder now belongs to another table a folder of their own."""
+        known = set(self.values())
+        for folder in tables.ceded_folders(self.spark, self.name):
+            value = unquote(folder.rsplit("/", 1)[1].split("=", 1)[1])
+            if value not in known:
+                self._add_empty(value)
+
+    def _add_empty(self, value: str) -> None:
+        empty = make_dir(self.spark, fresh_table_dir(self.spark, "partition"))
+        self.spark.sql(f"ALTER TABLE {quoted(self.name)} ADD PARTITION ({self._clause(value)}) LOCATION {sql_string(empty)}")
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -70,17 +92,19 @@ class PartitionedTable:
     # -- catalog metadata ----------------------------------------------------------------
 
     def values(self) -> list[str]:
-        """Partition values in position order: the initial one first, then by value."""
+        """Partition values in position order: the initial one first, then undated rows, then by value."""
         rows = self.spark.sql(f"SHOW PARTITIONS {quoted(self.name)}").collect()
         found = [unquote(r.partition.split("=", 1)[1]) for r in rows]
-        return sorted(found, key=lambda v: (v != INITIAL, v))
+        return sorted(found, key=lambda v: (v != INITIAL, v != UNDATED, v))
 
     def _clause(self, value: str) -> str:
         return f"{quoted(self.column)}={sql_string(value)}"
 
     def latest(self) -> str | None:
+        """The last partition; never the initial or the undated one when there is another."""
         values = self.values()
-        return values[-1] if values else None
+        dated = [v for v in values if v not in (INITIAL, UNDATED)]
+        return dated[-1] if dated else values[-1] if values else None
 
     def listing(self) -> DataFrame:
         """Partition, position and row count; partitions without rows count 0.
@@ -89,7 +113,7 @@ class PartitionedTable:
         """
         counts = self.read().groupBy(self.column).agg(F.count(F.lit(1)).alias("row_count"))
         known = self.spark.createDataFrame([(v,) for v in self.values()], f"`{self.column}` string")
-        order = Window.orderBy(F.col("partition") != INITIAL, "partition")
+        order = Window.orderBy(F.col("partition") != INITIAL, F.col("partition") != UNDATED, "partition")
         return (
             known.join(counts, self.column, "left")
             .select(F.col(self.column).alias("partition"), F.coalesce("row_count", F.lit(0)).alias("row_count"))
@@ -130,12 +154,11 @@ class PartitionedTable:
         if rule is not None and not self.violations(staging, rule).isEmpty():
             raise ValueError(f"rows of {staging} do not belong to partition {value}")
         if value not in self.values():
-            empty = make_dir(self.spark, fresh_dir(self.spark, "partition"))
-            self.spark.sql(
-                f"ALTER TABLE {quoted(self.name)} ADD PARTITION ({self._clause(value)}) LOCATION {sql_string(empty)}"
-            )
+            self._add_empty(value)
         incoming = tables.location(self.spark, staging)
         outgoing = tables.location(self.spark, self.name, self._clause(value))
+        if outgoing.startswith(tables.location(self.spark, self.name) + "/"):
+            tables.cede(self.spark, self.name, outgoing)
         tables.point(self.spark, self.name, incoming, self._clause(value))
         tables.point(self.spark, staging, outgoing)
         if drop_old:
@@ -156,7 +179,7 @@ class PartitionedTable:
     def truncate_partition(self, value: str) -> None:
         """Empty one partition; it stays in the listing."""
         old = tables.location(self.spark, self.name, self._clause(value))
-        tables.point(self.spark, self.name, make_dir(self.spark, fresh_dir(self.spark, "partition")), self._clause(value))
+        tables.point(self.spark, self.name, make_dir(self.spark, fresh_table_dir(self.spark, "partition")), self._clause(value))
         delete_dir(self.spark, old)
 
     def drop_partition(self, value: str) -> None:
@@ -176,13 +199,13 @@ class PartitionedTable:
         return dropped
 
     def retain_latest(self) -> int:
-        """Drop every partition but the latest and the initial one."""
-        keep = {self.latest(), INITIAL}
+        """Drop every partition but the latest, the initial and the undated one."""
+        keep = {self.latest(), INITIAL, UNDATED}
         return self._drop_each([v for v in self.values() if v not in keep])
 
     def drop_all(self) -> int:
-        """Drop every partition but the initial one."""
-        return self._drop_each([v for v in self.values() if v != INITIAL])
+        """Drop every partition but the initial and the undated one."""
+        return self._drop_each([v for v in self.values() if v not in (INITIAL, UNDATED)])
 
     def rolling_replace(self, df: DataFrame) -> int:
         """Add new rows first and drop the older partitions only after that worked."""

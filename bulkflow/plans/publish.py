@@ -16,19 +16,13 @@ from pyspark.sql import functions as F
 
 from bulkflow.plans import tables
 from bulkflow.plans.tables import LoadReport, Stopwatch
-from bulkflow.session import delete_dir, quoted, sql_string
+from bulkflow.session import children, delete_dir, quoted, sql_string, touch
 
 VERSION = "bulkflow.version"
+READERS = "_readers"
 HISTORY = "bulkflow.history"
 
 
-def _property(spark: SparkSession, name: str, key: str) -> str | None:
-    if not spark.catalog.tableExists(name):
-        return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()
-    return next((r.value for r in rows if r.key == key), None)
-
-
 def _switch(spark: SparkSession, name: str, select: str, properties: dict[str, str]) -> None:
     props = ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in properties.items())
     spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} TBLPROPERTIES ({props}) AS {select}")
@@ -49,7 +43,7 @@ class Snapshot:
 
     def path(self) -> str | None:
         """Folder of the version readers see now."""
-        return _property(self.spark, self.name, VERSION)
+        return tables.table_property(self.spark, self.name, VERSION)
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -70,12 +64,23 @@ class Snapshot:
             self.prune()
 
     def adopt(self, path: str) -> None:
-        """Point readers at files somebody else owns: no copy, and never deleted from here."""
-        self._point(self.spark.read.parquet(path), path, self._history())
+        """Point readers at files somebody else owns: no copy, and never deleted from here.
+
+        A mark in the folder keeps its owner from pruning it while this name shows it.
+        """
+        before, staged = self.path(), self.spark.read.parquet(path)
+        touch(self.spark, self._mark(path))
+        self._point(staged, path, self._history())
+        if before and before != path:
+            delete_dir(self.spark, self._mark(before))
+
+    def _mark(self, path: str) -> str:
+        """Names that begin with an underscore are no data to Spark."""
+        return f"{path}/{READERS}/{self.name}"
 
     def _history(self) -> list[str]:
         """Own version folders, oldest first."""
-        return [v for v in (_property(self.spark, self.name, HISTORY) or "").split("\n") if v]
+        return [v for v in (tables.table_property(self.spark, self.name, HISTORY) or "").split("\n") if v]
 
     def _point(self, staged: DataFrame, path: str, versions: list[str]) -> None:
         columns = ", ".join(quoted(c) for c in self.columns or staged.columns)
@@ -83,9 +88,10 @@ class Snapshot:
         _switch(self.spark, self.name, select, {VERSION: path, HISTORY: "\n".join(versions)})
 
     def prune(self) -> None:
-        """Delete the files of versions beyond the newest ``keep``."""
+        """Delete the files of versions beyond the newest ``keep`` that no other name shows."""
         versions = self._history()
-        old, kept = versions[: -self.keep], versions[-self.keep :]
+        old = [v for v in versions[: -self.keep] if not self._in_use(v)]
+        kept = [v for v in versions if v not in old]
         if old:
             self.spark.sql(
                 f"ALTER VIEW {quoted(self.name)} SET TBLPROPERTIES ({sql_string(HISTORY)} = {sql_string(chr(10).join(kept))})"
@@ -93,6 +99,10 @@ class Snapshot:
         for v in old:
             delete_dir(self.spark, v)
 
+    def _in_use(self, version: str) -> bool:
+        """Whether another published name shows this version."""
+        return bool(children(self.spark, f"{version}/{READERS}"))
+
     def publish(self, df: DataFrame) -> LoadReport:
         """Write a complete new version and switch to it; any failure leaves the old one."""
         watch = Stopwatch()
@@ -114,17 +124,21 @@ class ABTable:
     name: str
 
     def active(self) -> str | None:
-        return _property(self.spark, self.name, VERSION)
+        return tables.table_property(self.spark, self.name, VERSION)
 
     def inactive(self) -> str:
         return f"{self.name}_A" if self.active() != f"{self.name}_A" else f"{self.name}_B"
 
     def swap(self, df: DataFrame, drop_old: bool = False, on_count: Callable[[str, int], None] | None = None) -> LoadReport:
-        """Load the table nobody reads, repoint the view, and empty the old table if asked."""
+        """Load the table nobody reads, repoint the view, and empty the old table if asked.
+
+        The rows go to a new folder that the table is pointed at; a reader that began before the
+        last swap keeps its files until the swap after the next.
+        """
         watch = Stopwatch()
         old, new = self.active(), self.inactive()
-        tables.create_or_replace(self.spark, new, df.schema)
-        rows = tables.append(df, new)
+        path, rows = tables.write_fresh(df, new.replace(".", "_"))
+        tables.create_over(self.spark, new, path)
         if on_count:
             on_count(new, rows)
         written = watch.lap()
@@ -203,7 +217,9 @@ def full_reload(
     path, count = table.stage(good, batch)
     written = watch.lap()
     table.switch(path, count, prune=False)
+    switched, refreshed = watch.lap(), 0.0
     if published is not None:
         published.adopt(path)
+        refreshed = watch.lap()
     table.prune()
-    return LoadReport(count, written, watch.lap())
+    return LoadReport(count, written, switched + refreshed, refreshed)

@@ -1,16 +1,15 @@
 """Session helpers: where scratch data goes, and file-system calls that need no data movement.
 
 Everything staged on disk lives under the shared folder that the cluster names in
-``spark.checkpoint.dir``.  Only when that setting is absent (unit tests on a laptop) a
-temporary folder is made and registered as the checkpoint folder.
+``spark.checkpoint.dir``.  Only a local master without that setting (tests on a laptop) gets a
+temporary folder; on a cluster its absence is an error, as executors would write to disks of
+their own.  Tables live below ``spark.bulkflow.table.dir``, or else in the warehouse folder.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="bulkflow-")
         spark.sparkContext.setCheckpointDir(root)
     elif spark.sparkContext.getCheckpointDir() is None:
@@ -25,6 +26,19 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
+def fresh_table_dir(spark: SparkSession, label: str) -> str:
+    """A new path for rows that a catalog table keeps, apart from scratch data."""
+    root = spark.conf.get("spark.bulkflow.table.dir", None)
+    if not root:
+        root = f"{scratch_root(spark)}/tables" if _is_local(spark) else spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/bulkflow/{label}-{uuid.uuid4().hex}"
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path nobody else uses; it is not created, the first write does that."""
     return f"{scratch_root(spark)}/bulkflow/{label}-{uuid.uuid4().hex}"
@@ -46,25 +60,6 @@ def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# Fixed value: the JVM's just-in-time compiler leaves larger methods (bytes of bytecode) interpreted.
-JIT_METHOD_LIMIT = 8000
-
-
-@contextmanager
-def jit_sized_methods(spark: SparkSession) -> Iterator[None]:
-    """Run wide conversions without fused methods that are too large for the JVM to compile.
-
-    Spark then generates smaller methods per operator, which for wide files is twice as fast.
-    """
-    key = "spark.sql.codegen.hugeMethodLimit"
-    old = spark.conf.get(key)
-    spark.conf.set(key, JIT_METHOD_LIMIT)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
@@ -82,6 +77,29 @@ def delete_dir(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop_path, True)
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a folder; the parent of the new path is made if need be."""
+    fs, source = _fs(spark, old)
+    target = spark._jvm.org.apache.hadoop.fs.Path(new)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"{old} could not become {new}")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, hadoop_path = _fs(spark, path)
+    fs.create(hadoop_path, True).close()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Full paths of everything directly below ``path``, sorted; none when it does not exist."""
+    fs, hadoop_path = _fs(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(s.getPath().toString() for s in fs.listStatus(hadoop_path))
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Full paths of the folders directly below ``path``, sorted by name."""
     fs, hadoop_path = _fs(spark, path)

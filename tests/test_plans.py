@@ -3,7 +3,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from bulkflow.functions import parse
-from bulkflow.functions.types import ColumnDef
+from bulkflow.functions.types import ColumnDef, primary_key
 from bulkflow.plans import load, tables
 from bulkflow.plans.partitions import PartitionedTable, day_partition, second_high_value, second_partition
 from bulkflow.plans.publish import ABTable, Snapshot, batch_plan, full_reload
@@ -27,7 +27,7 @@ def test_create_append_truncate(spark):
     assert rows_of(reader, "ID") == [(1, "a"), (2, None), (3, None)]
     tables.truncate(spark, t)
     assert spark.table(t).count() == 0
-    with pytest.raises(ValueError, match="mismatched"):
+    with pytest.raises(ValueError, match="has no columns"):
         tables.append(spark.createDataFrame([(1,)], "x int"), t)
     tables.create_or_replace(spark, t, [ColumnDef("other", "CLOB")])
     assert spark.table(t).columns == ["OTHER"]
@@ -36,6 +36,42 @@ def test_create_append_truncate(spark):
             bad()
 
 
+def test_append_takes_only_what_the_table_can_hold(spark):
+    t = name("strict")
+    columns = [
+        ColumnDef("id", "NUMBER", nullable=False, primary_key=True), ColumnDef("v", "VARCHAR2", length=3),
+        ColumnDef("n", "NUMBER", precision=5, scale=2),
+    ]
+    tables.create_or_replace(spark, t, columns)
+    schema = "id double, v string, n double"
+    assert tables.append(spark.createDataFrame([(1.75, "abc", 999.99), (2.5, None, None)], schema), t) == 2
+    bad = {(None, "a", 1.0): "must not be null", (3.0, "abcd", 1.0): "at most 3", (3.0, "a", 1234.5): "cannot hold", (3.0, "a", 1.239): "cannot hold"}
+    for row, why in bad.items():
+        with pytest.raises(Exception, match=why):
+            tables.append(spark.createDataFrame([(9.0, "ok", 1.0), row], schema), t)
+    with pytest.raises(Exception, match="must not be null"):
+        tables.append(spark.createDataFrame([("x",)], "v string"), t)
+    assert [(float(r.ID), r.V) for r in spark.table(t).orderBy("ID").collect()] == [(1.75, "abc"), (2.5, None)]
+    kept = tables.declared(spark, t)
+    assert not kept["ID"].nullable and kept["V"].metadata["length"] == 3 and primary_key(kept) == ["ID"]
+    tables.create_or_replace(spark, t, spark.createDataFrame([], "a bigint").schema)
+    with pytest.raises(Exception, match="cannot hold 1.75"):
+        tables.append(spark.createDataFrame([(1.75,)], "a double"), t)
+
+
+def test_load_csv_keeps_readers_and_failures_leave_the_table(spark, csv_file):
+    t = load.load_csv(spark, csv_file("A\nNUMBER\n1\n2\n", "one.csv"), name("swap"))
+    reader = spark.table(t)
+    assert reader.count() == 2
+    load.load_csv(spark, csv_file("A\nNUMBER\n3\n", "two.csv"), t)
+    assert reader.count() == 2 and rows_of(spark.table(t)) == [(3,)]
+    with pytest.raises(ValueError):
+        load.load_csv(spark, csv_file("A\nNUMBER\nx\n", "three.csv"), t)
+    assert rows_of(spark.table(t)) == [(3,)]
+    load.load_csv(spark, csv_file("A,B\nNUMBER,CLOB\n4,x\n", "four.csv"), t)
+    assert rows_of(spark.table(t)) == [(4, "x")]
+
+
 def test_load_csv(spark, csv_file):
     path = csv_file("ID, Full Name\nNUMBER,VARCHAR2\n1,Alice\n2,\n", "people list.csv")
     assert load.table_name(path) == "PEOPLE_LIST"
@@ -98,6 +134,34 @@ def test_reload_keeps_the_files_a_stuck_publication_reads(spark):
     assert mv.read().count() == 7 and base._history() == [base.path()]
 
 
+def test_a_published_copy_outlives_two_versions_of_its_base(spark):
+    base, mv = Snapshot(spark, name("base")), Snapshot(spark, name("mv"))
+    report = full_reload(Rows(spark.range(4)), base, ["id"], mv)
+    shown = mv.path()
+    for n in (5, 6, 7):
+        base.publish(spark.range(n).toDF("id"))
+    assert mv.read().count() == 4 and base.read().count() == 7
+    mv.adopt(base.path())
+    base.publish(spark.range(8).toDF("id"))
+    with pytest.raises(Exception):
+        spark.read.parquet(shown).count()  # nobody shows it any more
+    assert mv.read().count() == 7
+    row = report.to_df(spark).first()
+    assert row.rows == 4 and abs(row.insert_seconds + row.commit_seconds + row.refresh_seconds - row.total_seconds) < 1e-6
+
+
+def test_ab_readers_keep_their_files_over_two_swaps(spark):
+    ab = ABTable(spark, name("AB")[:20])
+    ab.swap(spark.range(3).toDF("id"))
+    reader = spark.table(ab.name)
+    assert reader.count() == 3
+    ab.swap(spark.range(5).toDF("id"))
+    ab.swap(spark.range(7).toDF("id"))
+    assert reader.count() == 3 and spark.table(ab.name).count() == 7
+    ab.swap(spark.range(2).selectExpr("id", "id * 2 AS twice"))
+    assert spark.table(ab.name).columns == ["id", "twice"]
+
+
 def test_ab_swap(spark):
     ab = ABTable(spark, name("AB")[:20])
     seen = []
@@ -191,6 +255,36 @@ def test_partition_listing_and_retention(spark):
     assert t.read().count() == 4
 
 
+def test_rows_without_a_day_never_count_as_the_latest(spark):
+    t = PartitionedTable(spark, name("undated"))
+    rows = spark.sql(
+        "SELECT id, CASE WHEN id < 4 THEN timestamp_ntz'2024-05-05 00:00:00' + make_dt_interval(cast(id AS int)) END AS at FROM range(6)"
+    )
+    routed = rows.withColumn("_part", day_partition(F.col("at")))
+    t.create(routed.schema)
+    t.append(routed)
+    assert t.values() == ["P_UNDATED", "2024-05-05", "2024-05-06", "2024-05-07", "2024-05-08"] and t.latest() == "2024-05-08"
+    assert t.retain_latest() == 3 and rows_of(t.read().select("id"), "id") == [(3,), (4,), (5,)]
+    with pytest.raises(Exception, match="has no partition"):
+        t.append(rows.withColumn("_part", F.date_format("at", "yyyy-MM-dd")))
+    assert t.read().count() == 3
+    t.rolling_replace(rows.limit(1).withColumn("_part", F.lit("2024-06-01")))
+    assert t.values() == ["P_UNDATED", "2024-06-01"]
+
+
+def test_exchanged_folders_have_one_owner(spark):
+    t, staging = daily(spark), name("stg")
+    at = F.lit("2024-01-02 08:00:00").cast("timestamp_ntz")
+    fresh = spark.range(100, 103).withColumn("at", at)
+    t.load_and_exchange(fresh, "2024-01-02", staging)
+    t.drop_partition("2024-01-02")
+    t.append(spark.range(200, 201).withColumn("at", at).withColumn("_part", F.lit("2024-01-02")))
+    assert rows_of(spark.table(staging).select("id"), "id") == [(6,), (7,)]
+    assert rows_of(t.partition("2024-01-02").select("id")) == [(200,)]
+    t.create(t.read().schema)
+    assert t.read().count() == 0 and rows_of(spark.table(staging).select("id"), "id") == [(6,), (7,)]
+
+
 def test_rolling_replace(spark):
     t = daily(spark)
     new = spark.createDataFrame([(99,)], "id bigint").select(

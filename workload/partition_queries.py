@@ -61,6 +61,17 @@ def partition_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master.read().select("event_id", "event_type", "_part")
 
 
+@query("SELECT event_id, event_type, value FROM events WHERE event_type = 'click'")
+def exchange_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging table keeps what it got in an exchange, whatever then happens to the master."""
+    master, staging = _by_type(spark, sf_dir), _name("staging")
+    master.load_and_exchange(_errors(spark, sf_dir), "click", staging)
+    master.drop_partition("click")
+    master.append(_errors(spark, sf_dir).limit(1).withColumn("_part", F.lit("click")))
+    master.create(master.read().schema)
+    return spark.table(staging).select("event_id", "event_type", "value")
+
+
 @query("SELECT event_id, event_type, value FROM events WHERE event_type <> 'click'")
 def exchange_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that the rule of the partition rejects; the exchange itself is refused."""
@@ -135,11 +146,15 @@ def latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT event_id, _part FROM (SELECT event_id, {_DAY} AS _part FROM events)
-    WHERE _part = 'P_INITIAL' OR _part = (SELECT max(strftime(ts, '%Y-%m-%d')) FROM events)"""
+    f"""SELECT event_id, _part FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN 'P_UNDATED' ELSE {_DAY} END AS _part FROM events)
+    WHERE _part IN ('P_INITIAL', 'P_UNDATED') OR _part = (SELECT max(strftime(ts, '%Y-%m-%d')) FROM events WHERE event_type <> 'error')"""
 )
 def retain_latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = _daily(spark, sf_dir)
+    """Errors have lost their time; they are kept and never pass for the latest day."""
+    events = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_type") != "error", F.col("ts")).alias("ts"))
+    routed = events.withColumn("_part", day_partition(F.col("ts"), _FIRST_DAY))
+    daily = PartitionedTable(spark, _name("daily")).create(routed.schema)
+    daily.append(routed)
     daily.retain_latest()
     return daily.read().select("event_id", "_part")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bulkflow.functions import parse
-from bulkflow.functions.types import ColumnDef
+from bulkflow.functions.types import ColumnDef, primary_key
 from bulkflow.operators import audit, merge
 from bulkflow.plans import load, tables
 from bulkflow.plans.partitions import PartitionedTable, day_partition
@@ -180,8 +180,12 @@ def last_write_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- writes and publishing ---------------------------------------------------------------
 
 
-@query("SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+@query(
+    """SELECT c_custkey, c_name, c_acctbal, c_mktsegment, CAST(100 AS BIGINT) AS name_length, 'C_CUSTKEY' AS "key"
+    FROM customer"""
+)
 def create_or_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bare NUMBER keeps fractions; rows that break the declaration are refused as a whole."""
     name = _name("customer")
     tables.create_or_replace(spark, name, [ColumnDef("old", "CLOB")])
     tables.create_or_replace(
@@ -190,12 +194,25 @@ def create_or_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         [
             ColumnDef("c_custkey", "NUMBER", nullable=False, primary_key=True),
             ColumnDef("c_name", "VARCHAR2", length=100),
-            ColumnDef("c_acctbal", "NUMBER", precision=12, scale=2),
+            ColumnDef("c_acctbal", "NUMBER"),
             ColumnDef("c_mktsegment", "VARCHAR"),
         ],
     )
-    tables.append(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), name)
-    return lower(spark.table(name)).withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    tables.append(customers, name)
+    for broken in (customers.withColumn("c_custkey", F.lit(None).cast("bigint")), customers.withColumn("c_name", F.repeat("c_name", 20))):
+        try:
+            tables.append(broken, name)
+        except Exception as e:
+            if "must not be null" not in str(e) and "at most 100" not in str(e):
+                raise
+        else:
+            raise AssertionError("the append should have been refused")
+    kept = tables.declared(spark, name)
+    return lower(spark.table(name)).select(
+        F.col("c_custkey").cast("bigint"), "c_name", F.col("c_acctbal").cast("double"), "c_mktsegment",
+        F.lit(kept["C_NAME"].metadata["length"]).cast("bigint").alias("name_length"), F.lit(primary_key(kept)[0]).alias("key"),
+    )
 
 
 @query(
@@ -212,14 +229,15 @@ def batched_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
-@query("SELECT count(*) AS row_count FROM orders WHERE false")
+@query("SELECT count(*) AS before, count(*) FILTER (WHERE false) AS after FROM orders")
 def truncate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _name("truncate")
     orders = table(spark, sf_dir, "orders")
     tables.create_or_replace(spark, name, orders.schema)
     tables.append(orders, name)
+    before = audit.row_count(spark.table(name)).first()[0]
     tables.truncate(spark, name)
-    return audit.row_count(spark.table(name))
+    return audit.row_count(spark.table(name)).select(F.lit(before).cast("bigint").alias("before"), F.col("row_count").alias("after"))
 
 
 @query("SELECT o_orderkey AS id, o_totalprice AS price FROM orders")
@@ -237,6 +255,68 @@ def full_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published.read()
 
 
+class _Orders:
+    """A source of orders; rows of one status carry an error."""
+
+    def __init__(self, orders: DataFrame, bad_status: str | None = None) -> None:
+        self.orders, self.bad_status = orders, bad_status
+
+    def validate(self) -> None:
+        pass
+
+    def rows(self) -> DataFrame:
+        error = F.when(F.col("o_orderstatus") == self.bad_status, "bad status") if self.bad_status else F.lit(None)
+        return self.orders.withColumn("_error", error.cast("string"))
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def reload_failure_keeps_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reload that meets a bad row fails and leaves table and published name as they were."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    base, published = Snapshot(spark, _name("base")), Snapshot(spark, _name("mv"))
+    reload(_Orders(orders), base, orders.columns, published)
+    try:
+        reload(_Orders(orders.withColumn("o_orderkey", -F.col("o_orderkey")), "F"), base, orders.columns, published)
+    except Exception as e:
+        if "bad status" not in str(e):
+            raise
+        return published.read()
+    raise AssertionError("the reload should have failed")
+
+
+@query("SELECT count(*) AS rows, true AS adds_up FROM orders")
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a reload as one row, and whether its times add up to the total."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    report = reload(_Orders(orders), Snapshot(spark, _name("base")), orders.columns, Snapshot(spark, _name("mv"))).to_df(spark)
+    parts = F.col("insert_seconds") + F.col("commit_seconds") + F.col("refresh_seconds")
+    return report.select("rows", (F.abs(parts - F.col("total_seconds")) < 1e-6).alias("adds_up"))
+
+
+@query("SELECT o_orderkey FROM orders")
+def published_snapshot_outlives_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published name still shows its rows after its base has moved on by two versions."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    base, published = Snapshot(spark, _name("base")), Snapshot(spark, _name("mv"), columns=["o_orderkey"])
+    reload(_Orders(orders), base, ["o_orderkey"], published)
+    for n in (1, 2, 3):
+        base.publish(orders.withColumn("o_orderkey", F.col("o_orderkey") * -n))
+    return published.read()
+
+
+@query("SELECT o_orderkey FROM orders")
+def ab_swap_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that began before two swaps still gets the rows that it began with."""
+    pair = ABTable(spark, _name("ab")[:26])
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    pair.swap(orders)
+    reader = spark.table(pair.name)
+    reader.count()
+    for n in (1, 2):
+        pair.swap(orders.withColumn("o_orderkey", F.col("o_orderkey") * -n))
+    return reader
+
+
 @query("SELECT o_orderkey, o_totalprice * 2 AS o_totalprice FROM orders")
 def complete_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot = Snapshot(spark, _name("snapshot"), columns=["o_orderkey", "o_totalprice"])
@@ -269,12 +349,14 @@ def publish_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT event_id, event_type, TIMESTAMP '2024-03-01 12:00:00' AS ts, '2024-03-01' AS _part FROM events
-    UNION ALL SELECT event_id, event_type, ts, 'P_INITIAL' FROM events WHERE ts < TIMESTAMP '2024-01-11'"""
+    UNION ALL SELECT event_id, event_type, ts, 'P_INITIAL' FROM events WHERE ts < TIMESTAMP '2024-01-11' AND event_type <> 'error'
+    UNION ALL SELECT event_id, event_type, NULL, 'P_UNDATED' FROM events WHERE event_type = 'error'"""
 )
 def rolling_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events by day, then one new day: the older days go, the initial partition stays."""
+    """All events by day, errors without a time, then one new day: the older days go, the rest stays."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
-    routed = events.withColumn("_part", day_partition(F.col("ts"), "2024-01-11"))
+    undated = events.withColumn("ts", F.when(F.col("event_type") != "error", F.col("ts")))
+    routed = undated.withColumn("_part", day_partition(F.col("ts"), "2024-01-11"))
     daily = PartitionedTable(spark, _name("rolling")).create(routed.schema)
     daily.append(routed)
     new = events.withColumn("ts", F.lit("2024-03-01 12:00:00").cast("timestamp_ntz"))
