@@ -90,3 +90,34 @@ def test_ingest_checks_the_header(spark, tmp_path):
             ingest.read_csv_stream(spark, str(folder), ["ID", "NAME"]),
             PARSERS, str(tmp_path / "stage"), str(tmp_path / "cp"), snapshot,
         )
+
+
+def test_ingest_checks_the_number_of_fields(spark, tmp_path):
+    folder = tmp_path / "ragged"
+    folder.mkdir()
+    (folder / "one.csv").write_text("a,b\n1,x\n2\n")
+    stream = ingest.read_csv_stream(spark, str(folder), ["a", "b"])
+    snapshot = Snapshot(spark, fresh_name("ragged"))
+    parsers = {"a": parse.parse_int, "b": parse.parse_string}
+    with pytest.raises(Exception, match="wrong number of fields"):
+        ingest.ingest(stream, parsers, str(tmp_path / "staging"), str(tmp_path / "progress"), snapshot)
+
+
+def test_an_empty_folder_publishes_no_rows(spark, tmp_path):
+    folder = tmp_path / "arrivals"
+    folder.mkdir()
+    snapshot = Snapshot(spark, fresh_name("late"))
+    parsers = {"a": parse.parse_int, "b": parse.parse_string}
+
+    def run():
+        stream = ingest.read_csv_stream(spark, str(folder), ["a", "b"], max_files=1)
+        return ingest.ingest(stream, parsers, str(tmp_path / "staging"), str(tmp_path / "progress"), snapshot)
+
+    assert run() == 0 and snapshot.read().columns == ["a", "b"]
+    total = 0
+    for n in range(3):
+        (folder / f"{n}a.csv").write_text("a,b\n1,x\n2,y\n")
+        (folder / f"{n}b.csv").write_text("a,b\n3,z\n")
+        total += 3
+        assert run() == total and snapshot.read().count() == total
+    assert run() == total
