@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the length of a name.
 MAX_NAME = 30
 
 # The characters Unicode calls white space.

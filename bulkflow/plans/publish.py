@@ -197,22 +197,22 @@ def full_reload(
     own choice).
     """
     if table is None:
-        raise ValueError("target table is required")
+        raise ValueError("no table to load was given")
     if not columns:
-        raise ValueError("target columns are required")
+        raise ValueError("no columns to load were given")
     watch = Stopwatch()
     try:
         source.validate()
     except Exception as e:
-        raise ValueError(f"source validation failed: {e}") from e
+        raise ValueError(f"the source did not pass its check: {e}") from e
     rows = source.rows()
     missing = [c for c in columns if c not in rows.columns]
     if missing:
-        raise ValueError(f"expected columns {columns}, source lacks {missing}")
+        raise ValueError(f"the source has no columns {missing}")
     good = rows.select(*columns)
     if "_error" in rows.columns:
         # One pass: the first bad row fails the write, and nothing staged becomes visible.
-        failed = F.raise_error(F.concat(F.lit("row conversion failed: "), F.col("_error"))).cast("boolean")
+        failed = F.raise_error(F.concat(F.lit("a row could not be converted: "), F.col("_error"))).cast("boolean")
         good = rows.filter(F.when(F.col("_error").isNotNull(), failed).otherwise(True)).select(*columns)
     path, count = table.stage(good, batch)
     written = watch.lap()

@@ -49,15 +49,14 @@ def fresh_name(label: str) -> str:
     return f"bf_{label}_{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, so that lost executors cost no recomputation.
 
-    The result needs no recomputation when executors are lost, and later steps read only the
-    columns they use.
+    Spark deletes the files once the result is not referenced any more, if the application sets
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``.
     """
-    path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    scratch_root(df.sparkSession)
+    return df.checkpoint()
 
 
 def _fs(spark: SparkSession, path: str):

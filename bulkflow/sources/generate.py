@@ -35,8 +35,9 @@ def bulk_data(spark: SparkSession, n: int, created_at: Column) -> DataFrame:
     )
 
 
-def constant_batch(spark: SparkSession, n: int, stamp: Column) -> DataFrame:
-    return spark.range(1, n + 1).select("id", stamp.alias("updated_at"))
+def constant_batch(keys: DataFrame, stamp: Column) -> DataFrame:
+    """One row per key of a table, all with the same stamp."""
+    return keys.select("*", stamp.alias("updated_at"))
 
 
 def next_ids(table: DataFrame, id_column: str, n: int, committed_at: Column) -> DataFrame:
@@ -67,13 +68,18 @@ def _money(cents: Column) -> Column:
 
 
 def products(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
-    """Product records: about 20 % empty descriptions, 10 % empty levels, 5 % discontinued."""
+    """Product records with the ids 1..n."""
+    return products_for(spark.range(1, n + 1), seed)
+
+
+def products_for(ids: DataFrame, seed: int = 42) -> DataFrame:
+    """A product record for each ``id``: about 20 % empty descriptions, 10 % empty levels, 5 % discontinued."""
     i = F.col("id")
     cents = 1000 + _draw(i, seed, 9, 6) % 10000
     category = F.element_at(
         F.array(*[F.lit(c) for c in CATEGORIES]), (_draw(i, seed, 5, 4) % len(CATEGORIES) + 1).cast("int")
     )
-    return spark.range(1, n + 1).select(
+    return ids.select(
         i.cast("string").alias("ID"),
         F.concat(F.lit("PROD-"), F.when(i < 10**8, F.lpad(i.cast("string"), 8, "0")).otherwise(i.cast("string"))).alias("CODE"),
         F.concat(F.lit("Product Name "), i).alias("NAME"),

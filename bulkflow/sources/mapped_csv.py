@@ -37,20 +37,20 @@ class MappedCsv:
     def header(self) -> list[str]:
         rows = leading_records(self.spark, self.path, 1, self.sep)
         if not rows:
-            raise ValueError(f"failed to read header from {self.path}")
+            raise ValueError(f"{self.path} has no header record")
         return rows[0]
 
     def validate(self) -> None:
         if not self.mappings:
-            raise ValueError("no parsers defined")
+            raise ValueError("no column mappings were given")
         for i, m in enumerate(self.mappings):
             if not m.target:
-                raise ValueError(f"target column name is required for parser at index {i}")
+                raise ValueError(f"mapping {i + 1} names no target column")
         if self.header_count > 0 and len(self.header) != self.header_count:
-            raise ValueError(f"header count mismatch: got {len(self.header)}, want {self.header_count}")
+            raise ValueError(f"the header has {len(self.header)} fields instead of {self.header_count}")
         for m in self.mappings:
             if m.header and m.header not in self.header:
-                raise ValueError(f"csv header '{m.header}' not found in file")
+                raise ValueError(f"the file has no field named {m.header!r}")
 
     def _scan(self) -> DataFrame:
         names = [f"c{i}" for i in range(len(self.header))]

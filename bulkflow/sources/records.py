@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +32,19 @@ def csv_options(sep: str = ",", trim: bool = False, multi_line: bool = False, he
 def split_fields(line: Column, sep: str = ",", trim: bool = False) -> Column:
     """Fields of one CSV line as an array of text; doubled quotes stand for one quote.
 
-    ``trim`` drops white space around fields, quoted ones included.
+    ``trim`` drops white space around fields, quoted ones included; the separator itself is
+    never white space.  A quoted field that is not closed goes on to the end of the line.
     """
     s = re.escape(sep)
-    gap = r"[ \t]*+" if trim else ""
-    pattern = rf'{s}{gap}("[^"]*+(?:""[^"]*+)*+"|[^{s}]*)'
+    blanks = " \t".replace(sep, "")
+    gap = f"[{blanks}]*+" if trim else ""
+    pattern = rf'{s}{gap}("[^"]*+(?:""[^"]*+)*+(?:"|$)|[^{s}]*)'
     raw = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(pattern), F.lit(1))
 
     def unquoted(x: Column) -> Column:
-        inner = F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+        quotes = F.length(x) - F.length(F.replace(x, F.lit('"'), F.lit("")))
+        closing = F.when(quotes % 2 == 0, 1).otherwise(0)
+        inner = F.replace(F.substring(x, F.lit(2), F.length(x) - 1 - closing), F.lit('""'), F.lit('"'))
         return F.when(x.startswith('"'), inner).otherwise(F.trim(x) if trim else x)
 
     return F.transform(raw, unquoted)
@@ -91,7 +96,7 @@ def first_file(spark: SparkSession, path: str) -> str:
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     uri = spark._jvm.java.net.URI
     # Spelled the way the scan's own file_path column spells it (file:/x, not file:///x).
-    return min(path_of(path_of(uri(f)).toString()).toUri().toString() for f in files)
+    return path_of(path_of(uri(min(files, key=unquote))).toString()).toUri().toString()
 
 
 def leading_records(spark: SparkSession, path: str, n: int, sep: str = ",", trim: bool = False) -> list[list[str]]:

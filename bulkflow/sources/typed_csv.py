@@ -42,10 +42,10 @@ class TypedCsv:
     def head(self) -> tuple[list[str], list[str]]:
         rows = leading_records(self.spark, self.path, 2, self.sep, trim=True)
         if len(rows) < 2:
-            raise ValueError("csv must have at least 2 rows: header and types")
+            raise ValueError("a typed file begins with a row of names and a row of types")
         names, types = rows
         if len(types) < len(names):
-            raise ValueError(f"types row has fewer cells ({len(types)}) than headers ({len(names)})")
+            raise ValueError(f"{len(names)} names but only {len(types)} types")
         return names, types
 
     @cached_property
@@ -55,12 +55,12 @@ class TypedCsv:
         for i, (raw_name, raw_type) in enumerate(zip(*self.head)):
             name = normalize_name(raw_name)
             if not name:
-                raise ValueError(f"invalid column name at position {i + 1}: {raw_name!r}")
+                raise ValueError(f"column {i + 1} has no usable name: {raw_name!r}")
             out.append((name, type_name(raw_type, name)))
         names = [n for n, _ in out]
         repeated = sorted({n for n in names if names.count(n) > 1})
         if repeated:
-            raise ValueError(f"duplicate column names after normalization: {repeated}")
+            raise ValueError(f"several columns are called {repeated} once names are normalized")
         return out
 
     def _cells(self) -> DataFrame:

@@ -60,7 +60,7 @@ def ingest(
     inbox, published = f"{staging}/_inbox", f"{staging}/published"
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        failed = F.raise_error(F.concat(F.lit("row conversion failed: "), F.col("_error"))).cast("boolean")
+        failed = F.raise_error(F.concat(F.lit("a row could not be converted: "), F.col("_error"))).cast("boolean")
         good = batch.filter(F.when(F.col("_error").isNotNull(), failed).otherwise(True)).drop("_error")
         good.write.mode("overwrite").parquet(f"{inbox}/batch={number}")
 

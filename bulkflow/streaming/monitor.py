@@ -1,41 +1,34 @@
-"""Streaming forms of the monitor statistics, event time with a watermark."""
+"""Streaming forms of the monitor statistics, by event time."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulkflow.functions.times import from_micros, micros
 from bulkflow.operators.monitor import baseline, flag_changes, fold_ticks, is_error, tick_counts
-from bulkflow.session import cut_lineage, list_dirs
+from bulkflow.session import list_dirs
 from bulkflow.streaming.ingest import for_each_available
 
 
-def tick_stream(samples: DataFrame, delay: str = "10 seconds") -> DataFrame:
-    """Counts per closed one-second tick and duration.
+def write_tick_counts(samples: DataFrame, checkpoint: str, path: str) -> None:
+    """Counts per one-second tick and duration of every micro-batch, in a folder of its own.
 
-    The state holds one row per (tick, duration), combined before the shuffle, and a tick is
-    emitted whole when the watermark passes its end.
+    A batch that is tried again replaces its folder, so a restart neither loses nor doubles
+    samples.  Nothing is kept in memory between batches, and a late sample is counted in its
+    tick whenever it comes: no sample is ever dropped.
     """
-    # Watermarks need an instant; the wall clock is taken as UTC and turned back afterwards.
-    instants = samples.withColumn("ts", F.timestamp_micros(micros(F.col("ts")))).withWatermark("ts", delay)
-    counts = tick_counts(instants)
-    start = from_micros(F.unix_micros("window.start"))
-    return counts.withColumn("window", F.struct(start.alias("start")))
 
+    def write(batch: DataFrame, number: int) -> None:
+        tick_counts(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-def write_tick_stats(samples: DataFrame, checkpoint: str, path: str, delay: str = "10 seconds") -> None:
-    """Statistics of all closed ticks to parquet.
-
-    All rows of a tick come in the same micro-batch, so the batch fold gives the exact
-    statistics, the percentile included.  The fold reads its input several times, so the
-    counts are written first instead of running the stateful part again.
-    """
+    for_each_available(samples, checkpoint, write)
 
-    def write(batch: DataFrame, number: int) -> None:
-        fold_ticks(cut_lineage(batch, "ticks")).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    for_each_available(tick_stream(samples, delay), checkpoint, write)
+def tick_stats(spark: SparkSession, path: str) -> DataFrame:
+    """Statistics of all ticks seen so far, the open last one included."""
+    counts = spark.read.parquet(path)
+    sums = [F.sum(c).alias(c) for c in ("success", "errors", "changed", "samples")]
+    return fold_ticks(counts.groupBy("window", "duration").agg(*sums))
 
 
 def write_changes(samples: DataFrame, checkpoint: str, path: str, initial: str = "") -> None:
@@ -52,11 +45,11 @@ def write_changes(samples: DataFrame, checkpoint: str, path: str, initial: str =
         known = initial or stored.read()
         if not known:
             known = baseline(batch, order).first()["baseline"]
-            if not known:
-                return
-            stored.write(known, number)
-        changed = flag_changes(batch.filter(~is_error()), F.lit(known)).filter("changed")
-        changed.withColumn("baseline", F.lit(known)).write.mode("overwrite").parquet(f"{path}/changes/batch={number}")
+            if known:
+                stored.write(known, number)
+        # A batch before the first good sample writes an empty folder, so there is always one to read.
+        changed = flag_changes(batch.filter(~is_error()), F.lit(known or "")).filter(F.col("changed") & F.lit(bool(known)))
+        changed.withColumn("baseline", F.lit(known).cast("string")).write.mode("overwrite").parquet(f"{path}/changes/batch={number}")
 
     for_each_available(samples, checkpoint, write)
 

@@ -196,16 +196,16 @@ def test_full_reload(spark, csv_file):
     assert full_reload(source, base, ["id", "name"], mv).rows == 3
     assert rows_of(mv.read(), "id") == [(1,), (2,), (3,)]
     bad = MappedCsv(spark, csv_file("ID,NAME\n1,a\nx,b\n", "bad.csv"), maps)
-    with pytest.raises(Exception, match="row conversion failed"):
+    with pytest.raises(Exception, match="could not be converted"):
         full_reload(bad, base, ["id", "name"], mv)
     assert base.read().count() == 3 and mv.read().count() == 3
-    with pytest.raises(ValueError, match="source validation failed: nope"):
+    with pytest.raises(ValueError, match="did not pass its check: nope"):
         full_reload(Rows(spark.range(1), "nope"), base, ["id"], mv)
-    with pytest.raises(ValueError, match="target columns"):
+    with pytest.raises(ValueError, match="no columns to load"):
         full_reload(source, base, [], mv)
-    with pytest.raises(ValueError, match="target table"):
+    with pytest.raises(ValueError, match="no table to load"):
         full_reload(source, None, ["id"], mv)
-    with pytest.raises(ValueError, match="source lacks"):
+    with pytest.raises(ValueError, match="the source has no columns"):
         full_reload(source, base, ["id", "zip"], mv)
     # No rows: nothing to insert, the refresh still happens.
     assert full_reload(Rows(spark.range(0).withColumn("name", F.lit("x"))), base, ["id", "name"], mv).rows == 0

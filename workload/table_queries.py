@@ -394,18 +394,22 @@ _PRICE_CENTS = f"(({_CENTS} * 3 + 1) // 2)"
     CASE WHEN {_digits(15, 4)} % 100 < 10 THEN '' ELSE CAST({_digits(19, 4)} % 50 AS VARCHAR) END AS "REORDER_LEVEL",
     CASE WHEN {_digits(23, 4)} % 100 < 10 THEN '' ELSE CAST(50 + {_digits(27, 4)} % 100 AS VARCHAR) END AS "TARGET_LEVEL",
     CASE WHEN {_digits(31, 2)} % 100 < 5 THEN '1' ELSE '0' END AS "DISCONTINUED"
-    FROM (SELECT row_number() OVER () AS i FROM part)"""
+    FROM (SELECT p_partkey + (SELECT max(p_partkey) FROM part) AS i FROM part)"""
 )
 def generate_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generate.products(spark, table(spark, sf_dir, "part").count())
+    """A new product for every part, with keys that go on after the last part."""
+    part = table(spark, sf_dir, "part")
+    last = part.agg(F.max("p_partkey")).scalar()
+    return generate.products_for(part.select((F.col("p_partkey") + last).alias("id")))
 
 
 @query(
-    """SELECT i AS id, TIMESTAMP '2000-01-01 00:00:00' AS updated_at FROM (SELECT row_number() OVER () AS i FROM lineitem)"""
+    """SELECT l_orderkey, l_linenumber, TIMESTAMP '2000-01-01 00:00:00' AS updated_at FROM lineitem"""
 )
 def generate_constant_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "lineitem").count()
-    return generate.constant_batch(spark, n, F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
+    """Every order line's key with one and the same stamp."""
+    keys = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return generate.constant_batch(keys, F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 @query(
