@@ -36,7 +36,7 @@ from bulkflow.llm.components import components, durable
 #: Groups up to this size are compared by offsets, larger ones as matrices of at most this many cells.
 SMALL_GROUP, MATRIX_CELLS = 32, 1 << 20
 #: A chain is long enough when a key has about this many fingerprints.
-KEY_MEMBERS = 128
+KEY_MEMBERS = 1024
 _WORD = re.compile(WORD.encode())
 
 
