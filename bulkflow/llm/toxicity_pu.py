@@ -7,9 +7,9 @@ unlabelled ones.  With p the share of toxic texts (the class prior), the risk of
 
 and where the second part would turn negative, its gradient is reversed, so that the classifier
 cannot fit the unlabelled texts too closely.  A few linear numpy classifiers over the presence of
-words are trained from different starts and orders, and their logits are averaged.
+words and word beginnings are trained from different starts, and their logits are averaged.
 
-Words are chosen by how much their rate among positives differs from the rate among unlabelled
+Features are chosen by how much their rate among positives differs from the rate among unlabelled
 texts.  Only the fit uses a bounded sample of labelled rows (``POSITIVES``, ``UNLABELLED``, taken by
 hash of the id); equal texts count once in it.  The prior comes from all rows of the training fold.
 
@@ -33,17 +33,26 @@ from bulkflow.llm.components import durable
 
 #: Bounds of the fitting sample, number of word features, classifiers, steps and their size.
 POSITIVES, UNLABELLED, FEATURES = 4_000, 16_000, 256
-CLASSIFIERS, STEPS, RATE, SHRINK = 3, 300, 0.3, 1e-5
+CLASSIFIERS, STEPS, RATE, SHRINK = 3, 300, 0.3, 1e-4
 
-#: A word is a feature only if this share of the positives has it.
+#: Something is a feature only if this share of the positives has it.
 LEAST_SHARE = 0.01
+#: Letters of a word's beginning.
+BEGINNING = 4
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def features_of(text: str) -> set[str]:
+    """All words in lower case, and the beginnings of longer ones, which stand for inflected forms."""
+    words = set(_LETTERS.findall(text.lower()))
+    words.update([w[:BEGINNING] + "-" for w in words if len(w) > BEGINNING])
+    return words
+
+
 @dataclass(frozen=True)
 class Model:
-    """Weights by word and a bias; at most ``FEATURES`` words."""
+    """Weights by feature and a bias; at most ``FEATURES`` of them."""
 
     weights: dict[str, float]
     bias: float
@@ -51,7 +60,7 @@ class Model:
     def score(self, text: str) -> float:
         if self.bias == -np.inf:
             return 0.0
-        present = self.weights.keys() & _LETTERS.findall(text.lower())
+        present = self.weights.keys() & features_of(text)
         logit = self.bias + sum(self.weights[w] for w in sorted(present))
         return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
 
@@ -84,7 +93,7 @@ def _words_column(text: Column) -> Column:
     @F.arrow_udf("array<string>")
     def words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([sorted(set(_LETTERS.findall(t.lower()))) for part in text_slices(batch) for t in part], pa.list_(pa.string()))
+            yield pa.array([sorted(features_of(t)) for part in text_slices(batch) for t in part], pa.list_(pa.string()))
 
     return words(text)
 
