@@ -46,7 +46,7 @@ SPELLED = {
     "4": "four vier quatre cuatro", "5": "five fünf cinq cinco", "6": "six sechs seis", "7": "seven sieben sept siete",
     "8": "eight acht huit ocho", "9": "nine neun neuf nueve",
 }
-#: Fewer spelled digits in a row than this stay as they are.
+#: Runs with fewer digits than this stay as they are, and so do texts with fewer than this less one spelled.
 SPELLED_RUN = 4
 
 _DIGIT = {w: d for d, words in SPELLED.items() for w in words.split()}
@@ -79,6 +79,8 @@ def _plain_forms() -> dict[str, str]:
 
 
 _PLAIN = _plain_forms()
+_ODD_SET = frozenset(_PLAIN) | frozenset(INVISIBLE)
+_ODD_LATIN = [c for c in _ODD_SET if ord(c) < 256]
 _ODD = re.compile("[" + "".join(map(re.escape, (*_PLAIN, *INVISIBLE))) + "]")
 
 
@@ -209,14 +211,27 @@ def _spelled_digits(text: str) -> Iterator[tuple[int, int, str]]:
             end = part.end()
 
 
+def _has_odd_characters(text: str) -> bool:
+    """Most texts are settled by their encoding, without a look at single characters."""
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return not _ODD_SET.isdisjoint(text)
+    return any(c in text for c in _ODD_LATIN)
+
+
 def _has_spelled_digits(text: str) -> bool:
     words = text.lower().replace("-", " ").replace(",", " ").split()
-    return not _DIGIT.keys().isdisjoint(words) and _SPELLED.search(text) is not None
+    if _DIGIT.keys().isdisjoint(words) or sum(map(_DIGIT.__contains__, words)) < SPELLED_RUN - 1:
+        return False
+    return _SPELLED.search(text) is not None
 
 
 #: The chain, each with a cheap test of whether it has anything to do.
 TRANSDUCERS = (
-    (lambda t: not t.isascii() and _ODD.search(t), _plain_characters),
+    (_has_odd_characters, _plain_characters),
     (_IN_BRACKETS.search, _signs_in_brackets),
     (lambda t: "dot" in t.lower(), _spoken_signs),
     (_has_spelled_digits, _spelled_digits),
