@@ -127,7 +127,10 @@ class Ring:
 
 
 def links(classes: DataFrame, limit: int, segments: int, words: int = 1, depth: int | None = None) -> DataFrame:
-    """Edges (a, b) that connect all classes (node, f0, ...) within ``limit`` bits; a spanning part of them."""
+    """Edges (a, b) that connect all classes (node, f0, ...) within ``limit`` bits.
+
+    A task gives each of its nodes at most one edge, to the smallest node that links lead to.
+    """
     ship(classes.sparkSession)
     columns = fingerprint_columns(words)
     if depth is None:
@@ -201,9 +204,26 @@ def _links_of(key: np.ndarray, plain: np.ndarray, node: np.ndarray, f: np.ndarra
         if plain[begins[n]]:  # unchanged rows come first
             found.append(_large_group(int(plain[own].sum()), node[own], f[own], limit))
     a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
-    a, b = np.minimum(a, b), np.maximum(a, b)
-    pairs = np.unique(np.stack([a[a != b], b[a != b]], 1), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    return _forest(a, b)
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One edge per node to the smallest node it is connected with: no more edges than nodes."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = place[: len(a)], place[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[x], label[y])
+        now = label.copy()
+        for ends in (x, y, label[x], label[y]):
+            np.minimum.at(now, ends, least)
+        while (now[now] != now).any():
+            now = now[now]
+        if (now == label).all():
+            break
+        label = now
+    away = label != np.arange(len(nodes))
+    return nodes[label[away]], nodes[away]
 
 
 def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -218,7 +238,7 @@ def _large_group(plain: int, node: np.ndarray, f: np.ndarray, limit: int) -> tup
     label = np.arange(len(node))
     if plain * len(node) <= MATRIX_CELLS:
         a, b = np.nonzero(_differing(f[:plain, None], f[None]) <= limit)
-        return (node[a[a < b]], node[b[a < b]])
+        return _forest(node[a[a < b]], node[b[a < b]])
     out: list[tuple[np.ndarray, np.ndarray]] = []
 
     def unite(a: np.ndarray, b: np.ndarray) -> None:
@@ -248,7 +268,7 @@ def _large_group(plain: int, node: np.ndarray, f: np.ndarray, limit: int) -> tup
             others = np.nonzero(label != label[star[0]])[0]
             a, b = np.nonzero(_differing(f[mine, None], f[None, others]) <= limit)
             unite(mine[a], others[b])
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (node[:0], node[:0])
+    return _forest(*(np.concatenate(x) for x in zip(*out))) if out else (node[:0], node[:0])
 
 
 def near_duplicates(

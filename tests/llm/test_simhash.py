@@ -64,9 +64,7 @@ def test_ring_loses_no_link(spark, words, limit, segments, depth):
     f = np.unique(f, axis=0)
     rows = [(n, *x) for n, x in enumerate(f.view(np.int64).tolist())]
     classes = spark.createDataFrame(rows, "node long, " + ", ".join(f"{c} long" for c in sr.fingerprint_columns(words)))
-    edges = [tuple(x) for x in sr.links(classes, limit, segments, words, depth).collect()]
     whole = [int.from_bytes(x.tobytes(), "little") for x in f]
-    assert all((whole[a] ^ whole[b]).bit_count() <= limit for a, b in edges)
     found = {x["node"]: x["root"] for x in components(sr.links(classes, limit, segments, words, depth)).collect()}
     assert [found.get(n, n) for n in range(len(f))] == roots(list(range(len(f))), whole, limit)
 
@@ -92,6 +90,15 @@ def test_large_groups_keep_all_components(monkeypatch, cells):
     assert [find(n) for n in range(len(f))] == roots(list(range(len(f))), [int(x) for x in f[:, 0]], 4)
 
 
+def test_forest():
+    a, b = np.array([5, 9, 7, 2, 3, 3, 100]), np.array([9, 7, 3, 8, 3, 5, 101])
+    x, y = sr._forest(a, b)
+    assert sorted(zip(x.tolist(), y.tolist())) == [(2, 8), (3, 5), (3, 7), (3, 9), (100, 101)]
+    chain = np.arange(500)
+    assert set(sr._forest(chain[1:], chain[:-1])[0].tolist()) == {0}
+    assert len(sr._forest(a[:0], b[:0])[0]) == 0
+
+
 def test_components(spark):
     path = [(n, n + 1) for n in range(50)]
     edges = spark.createDataFrame([*path, (100, 101), (102, 101), (5, 5), (7, 6), (200, 200)], "a long, b long")
