@@ -235,7 +235,7 @@ def _estimated_repeated(seen, size: int, cells: int, rounds: int, turn: int):
                     fits &= (twice[cell >> np.uint64(3)] >> (np.uint64(7) - (cell & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
                 if fits.any():
                     text = w.text[fits]
-                    held.append((*w.hashes(fits), part.select(["doc_id", "mark"]).take(pa.array(text)), w.start_in_text()[fits]))
+                    held.append((*w.hashes(fits), part.select(["doc_id", "mark"]).take(pa.array(text)), w.start_in_text()[fits], text))
                 if sum(len(x[0]) for x in held) > GATHERED:
                     yield settled(held)
                     held = []
@@ -244,7 +244,7 @@ def _estimated_repeated(seen, size: int, cells: int, rounds: int, turn: int):
 
     def settled(held: list[tuple]) -> pa.RecordBatch:
         """One row per window seen once here, one for all equal ones, and runs of what is known to repeat."""
-        h1, h2, start = (np.concatenate([x[n] for x in held]) for n in (0, 1, 3))
+        h1, h2, start, text = (np.concatenate([x[n] for x in held]) for n in (0, 1, 3, 4))
         owner = pa.Table.from_batches([x[2] for x in held]).combine_chunks()
         order = np.lexsort((h2, h1))
         same = np.concatenate([[False], (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])])
@@ -252,12 +252,12 @@ def _estimated_repeated(seen, size: int, cells: int, rounds: int, turn: int):
         again[order] = same | np.append(same[1:], False)
         first = np.zeros(len(h1), bool)
         first[order] = ~same
-        # Runs of known repeats: neighbours in one text, in reading order.
-        row = np.repeat(np.arange(len(held)), [len(x[0]) for x in held])
+        # Runs of known repeats: neighbours in one text of one part, in reading order.
+        part = np.repeat(np.arange(len(held)), [len(x[0]) for x in held])
         known = np.nonzero(again)[0]
         breaks = np.ones(len(known), bool)
         if len(known) > 1:
-            breaks[1:] = (np.diff(known) != 1) | (np.diff(start[known]) != 1) | (np.diff(row[known]) != 0)
+            breaks[1:] = (np.diff(known) != 1) | (np.diff(start[known]) != 1) | (np.diff(part[known]) != 0) | (np.diff(text[known]) != 0)
         begins = known[breaks]
         counts = np.diff(np.append(np.nonzero(breaks)[0], len(known)))
         which = np.concatenate([np.nonzero(first)[0], begins])

@@ -79,6 +79,20 @@ def test_sketch_never_underestimates(spark):
         assert passed.mean() < 0.1
 
 
+def test_runs_end_with_their_document(spark):
+    """In one part: a document whose last repeated window starts at 3, then one whose first kept window starts at 4.
+
+    The windows before it are only left out by the sketch when their anchor is the document's own, hence many pairs.
+    """
+    r = random.Random(5)
+    rows = []
+    for n in range(0, 1200, 4):
+        one, two = prose(r, 38), prose(r, 38)
+        rows += [(n, one + " " + prose(r, 9)), (n + 1, prose(r, 9) + " " + two), (n + 2, one), (n + 3, prose(r, 4) + " " + two)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert by_row(wd.remove_repeats(docs), "doc_id", "n_words", "n_removed", "kept") == brute(rows, 35)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [(x["doc_id"], x["text"]) for x in odd_docs.collect()]
     assert by_row(wd.remove_repeats(odd_docs), "doc_id", "n_words", "n_removed", "kept") == brute(rows, 35)
