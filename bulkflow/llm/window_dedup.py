@@ -215,7 +215,8 @@ def repeated_runs(texts: DataFrame, size: int, buckets: int, max_cells: int = MA
             _estimated_repeated(seen, size, cells, rounds, turn), f"h1 long, h2 long, doc_id {kind}, mark int, start int, run int"
         )
         found = part if found is None else found.union(part)
-    grouped = found.repartition("h1").sortWithinPartitions("h1", "h2")
+    # Settled runs come last, so that the windows of a hash are neighbours, also across batches.
+    grouped = found.repartition("h1").sortWithinPartitions("h1", "h2", "run")
     return grouped.mapInArrow(_exactly_repeated(buckets), _PACKED.format(kind))
 
 
@@ -303,7 +304,7 @@ def _exactly_repeated(buckets: int):
 
 
 def _equal_neighbours(rows: pa.Table) -> np.ndarray:
-    """Whether a window row equals the one before or behind it; settled runs lie among them and do not count."""
+    """Whether a window row equals the one before or behind it; settled runs come behind the windows of their hash and do not count."""
     h1, h2, run = (rows.column(c).to_numpy() for c in ("h1", "h2", "run"))
     plain = np.nonzero(run == 0)[0]
     same = (h1[plain][1:] == h1[plain][:-1]) & (h2[plain][1:] == h2[plain][:-1])

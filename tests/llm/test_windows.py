@@ -93,6 +93,22 @@ def test_runs_end_with_their_document(spark):
     assert by_row(wd.remove_repeats(docs), "doc_id", "n_words", "n_removed", "kept") == brute(rows, 35)
 
 
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_repeats_across_batches(spark, size):
+    """Passages seen twice in one task and once in another, with batches that end inside a hash's rows."""
+    r = random.Random(6)
+    passages = [prose(r, 38) for _ in range(12)]
+    rows = [(n, prose(r, 5) + " " + p + " " + prose(r, 5)) for n, p in enumerate(passages[6:] + passages * 2 + passages[:6])]
+    tasks = spark.sparkContext.parallelize([rows[:6], rows[6:30], rows[30:]], 3).flatMap(list)
+    docs = spark.createDataFrame(tasks, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    try:
+        assert by_row(wd.remove_repeats(docs), "doc_id", "n_words", "n_removed", "kept") == brute(rows, 35)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [(x["doc_id"], x["text"]) for x in odd_docs.collect()]
     assert by_row(wd.remove_repeats(odd_docs), "doc_id", "n_words", "n_removed", "kept") == brute(rows, 35)
