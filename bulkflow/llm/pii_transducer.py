@@ -46,7 +46,7 @@ SPELLED = {
     "4": "four vier quatre cuatro", "5": "five fünf cinq cinco", "6": "six sechs seis", "7": "seven sieben sept siete",
     "8": "eight acht huit ocho", "9": "nine neun neuf nueve",
 }
-#: Runs with fewer digits than this stay as they are, and so do texts with fewer than this less one spelled.
+#: Runs with fewer digits than this stay as they are.
 SPELLED_RUN = 4
 
 _DIGIT = {w: d for d, words in SPELLED.items() for w in words.split()}
@@ -61,6 +61,9 @@ _SPOKEN = re.compile(
     r"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9_%+-]+)*(?:\s+at\s+|@)[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z0-9-]+(?:\s+dot\s+[A-Za-z0-9-]+)*",
     re.I,
 )
+_SPOKEN_AT = re.compile(
+    r"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9_%+-]+)*\s+at\s+([A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\.[A-Za-z0-9-]+)", re.I
+)
 _SPOKEN_PART = re.compile(r"\s+(at|dot)\s+", re.I)
 
 
@@ -222,11 +225,13 @@ def _has_odd_characters(text: str) -> bool:
     return any(c in text for c in _ODD_LATIN)
 
 
-def _has_spelled_digits(text: str) -> bool:
-    words = text.lower().replace("-", " ").replace(",", " ").split()
-    if _DIGIT.keys().isdisjoint(words) or sum(map(_DIGIT.__contains__, words)) < SPELLED_RUN - 1:
-        return False
-    return _SPELLED.search(text) is not None
+def _at_before_dots(source: str, now: Rewritten) -> Iterator[tuple[int, int, str]]:
+    """A spoken "at" whose domain has a dot that stood in brackets in the source."""
+    for m in _SPOKEN_AT.finditer(now.text):
+        dots = (n for n in range(m.start(1), m.end()) if now.text[n] == ".")
+        if any(_IN_BRACKETS.search(source, *now.source(n, n + 1)) for n in dots):
+            for part in _SPOKEN_PART.finditer(now.text, m.start(), m.end()):
+                yield part.start(), part.end(), "@" if part.group(1).lower() == "at" else "."
 
 
 #: The chain, each with a cheap test of whether it has anything to do.
@@ -234,7 +239,7 @@ TRANSDUCERS = (
     (_has_odd_characters, _plain_characters),
     (_IN_BRACKETS.search, _signs_in_brackets),
     (lambda t: "dot" in t.lower(), _spoken_signs),
-    (_has_spelled_digits, _spelled_digits),
+    (_SPELLED.search, _spelled_digits),
 )
 
 
@@ -246,6 +251,8 @@ def rewrite(text: str) -> Rewritten | None:
         if has_work(now):
             out = out or Rewritten(text)
             out.apply(transducer(now))
+    if out and " at " in out.text.lower().replace("\n", " ").replace("\t", " "):
+        out.apply(_at_before_dots(text, out))
     return out
 
 

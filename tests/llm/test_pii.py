@@ -46,6 +46,9 @@ def test_base_spans_by_brute_force():
         ("x j​ohn@exa​mple.com y", "email", "j​ohn@exa​mple.com"),
         ("call plus one four one five five five five one two three four ok", "phone", "plus one four one five five five five one two three four"),
         ("at one nine two dot one six eight dot one dot one.", "ip", "one nine two dot one six eight dot one dot one"),
+        ("call plus four nine 1 5 1 2 3 4 5 6 7 8 now", "phone", "plus four nine 1 5 1 2 3 4 5 6 7 8"),
+        ("(plus one four one five five five five one two three four)", "phone", "plus one four one five five five five one two three four"),
+        ("mail john at example [dot] com now", "email", "john at example [dot] com"),
         ("card ４１１１ 1111 1111 1111", "card", "４１１１ 1111 1111 1111"),
     ],
 )
@@ -55,7 +58,7 @@ def test_disguises_map_back_to_the_source(text, kind, found):
     assert f"[{kind.upper()}]" in pii.redact(text) and found not in pii.redact(text)
 
 
-@pytest.mark.parametrize("text", ["we met at home dot", "one or two of them", "look at example", "", "naïve café", "(a) at (b)"])
+@pytest.mark.parametrize("text", ["we met at home dot", "one or two of them", "look at example", "we look at example.com [at] home", "", "naïve café", "(a) at (b)"])
 def test_clean_texts_stay(text):
     assert pii.find(text) == ([], []) and pii.redact(text) == text
 
