@@ -40,8 +40,3 @@ def csv_file(tmp_path):
         return str(path)
 
     return write
-
-
-def rows_of(df, *order):
-    found = df.orderBy(*order) if order else df
-    return [tuple(r) for r in found.collect()]

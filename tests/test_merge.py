@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows_of
+from row_helpers import rows_of
 from pyspark.sql import functions as F
 
 from bulkflow.operators.merge import insert_if_absent, keep_last, last_write_wins, update_all, update_where, upsert
