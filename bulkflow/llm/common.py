@@ -38,12 +38,12 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def ids_and_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only the id and the text, under names of our own; a null text is an empty one.
+def ids_and_texts(docs: DataFrame, id_col: str, text_col: str, *also: Column) -> DataFrame:
+    """Only the id, the text and ``also``, under names of our own; a null text is an empty one.
 
     Extra columns are left behind before anything else happens, so their names cannot clash.
     """
-    return docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    return docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), *also)
 
 
 def in_training_fold(id_column: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +26,11 @@ from bulkflow.llm.common import held_out, ids_and_texts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-#: Where the public tokenizer files are; the driver alone reads them.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file is ($TOKENIZERS_DIR, or the installed package); only the driver reads it."""
+    folder = os.environ.get("TOKENIZERS_DIR")
+    return os.path.join(folder, name) if folder else public_tokenizers.path(name)
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -40,7 +44,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = sentencepiece_bpe.Vocabulary.read(f"{TOKENIZERS}/piece_bpe_32k.model")
+    vocabulary = sentencepiece_bpe.Vocabulary.read(tokenizer_file("piece_bpe_32k.model"))
     texts = ids_and_texts(documents(spark, sf_dir), "doc_id", "text")
     encoded = sentencepiece_bpe.encode_documents(texts, vocabulary)
     return encoded.select(

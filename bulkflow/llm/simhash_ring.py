@@ -27,7 +27,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bulkflow.llm.common import WORD, ids_and_texts, mix, ship, text_slices
@@ -64,20 +64,21 @@ def fingerprint_columns(words: int) -> list[str]:
     return [f"f{k}" for k in range(words)]
 
 
-def fingerprints(docs: DataFrame, shingle: int, words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, f0, f1, ...): 64 bits in each column."""
+def fingerprints(docs: DataFrame, shingle: int, words: int = 1, id_col: str = "doc_id", text_col: str = "text", mark: Column | None = None) -> DataFrame:
+    """(doc_id, f0, f1, ...): 64 bits in each column; with ``mark``, a long that goes along, also (mark)."""
     ship(docs.sparkSession)
-    texts = ids_and_texts(docs, id_col, text_col)
+    texts = ids_and_texts(docs, id_col, text_col, *([] if mark is None else [mark.alias("mark")]))
     columns = fingerprint_columns(words)
+    before = [c for c in texts.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t, shingle, words) for part in text_slices(batch.column("text")) for t in part]
             f = np.array(found, np.uint64).reshape(-1, words).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(f[:, k]) for k in range(words))], ["doc_id", *columns])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in before), *(pa.array(f[:, k]) for k in range(words))], [*before, *columns])
 
-    kind = dict(texts.dtypes)["doc_id"]
-    return texts.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in columns))
+    kinds = dict(texts.dtypes)
+    return texts.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in before), *(f"{c} long" for c in columns)]))
 
 
 class Ring:
@@ -272,11 +273,14 @@ def _large_group(plain: int, node: np.ndarray, f: np.ndarray, limit: int) -> tup
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int, limit: int, segments: int, words: int = 1, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle: int, limit: int, segments: int, words: int = 1, id_col: str = "doc_id", text_col: str = "text", mark: Column | None = None
 ) -> DataFrame:
-    """(doc_id, f0, ..., component_id): the smallest id reachable over links of at most ``limit`` bits."""
+    """(doc_id, f0, ..., component_id): the smallest id reachable over links of at most ``limit`` bits.
+
+    One row per row of ``docs``; ``mark``, a long that tells rows with one id apart, goes along as (mark).
+    """
     columns = fingerprint_columns(words)
-    marked = durable(fingerprints(docs, shingle, words, id_col, text_col))
+    marked = durable(fingerprints(docs, shingle, words, id_col, text_col, mark))
     classes = durable(marked.groupBy(*columns).agg(F.min("doc_id").alias("node")))
     roots = components(links(classes.where("node is not null"), limit, segments, words))
     named = classes.join(roots, "node", "left").select(*columns, F.coalesce("root", "node").alias("component_id"))

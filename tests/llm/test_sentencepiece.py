@@ -5,9 +5,9 @@ import sentencepiece
 from llm_helpers import by_row
 
 from bulkflow.llm import sentencepiece_bpe as sp
-from bulkflow.llm.contract import TOKENIZERS
+from bulkflow.llm.contract import tokenizer_file
 
-MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+MODEL = tokenizer_file("piece_bpe_32k.model")
 BITS = ["a", " ", "  ", "▁", "\n", "\t", "é", "日本", "😀", "the", "ing", " t", "0", "12", "\x00", "<s>", "<0x0A>", "....", "==", "​", "ﬁ", "thonanre"]
 
 
