@@ -6,24 +6,22 @@ again as the next stage's documents.  All but the last return the columns of ``d
 Defined results: an empty table passes through all stages as an empty one.  Rows with a null id
 stay through the filtering stages unless their text is rejected as toxic; of rows with an id and
 no words in their text (null, empty or blank) the near-duplicate stage keeps one.  Extra columns are
-kept up to the last stage, whatever their names.
+kept up to the last stage, whatever their names; the mixing stage replaces one named ``copy``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulkflow.llm import pii_transducer, poisson_mix, sentencepiece_bpe, shingle_join, toxicity_pu
+from bulkflow.llm import pii_transducer, poisson_mix, sentencepiece_bpe, simhash_ring, toxicity_pu
 from bulkflow.llm.common import ship
 from bulkflow.llm.components import durable
-from bulkflow.llm.contract import TOKENIZERS
+from bulkflow.llm.contract import tokenizer_file
 from bulkflow.session import fresh_dir
 
-#: Near-duplicates: five-word shingles, linked at a similarity (Jaccard) of 0.8 of their sets.  The
-#: fingerprints of op6 at this width are for comparison only: at 0.8 18.6 differing bits are expected,
-#: with a deviation of 4, so 24 bits miss some such pairs and link others well below.
-SHINGLE, FINGERPRINT_WORDS, DIFFERING_BITS = 5, 2, 24
+#: Near-duplicates as the contract of op6 has them: four-word shingles, 64 bits, links at 4 bits or fewer.
+SHINGLE, DIFFERING_BITS, SEGMENTS = 4, 4, 5
 #: A document this likely to be toxic goes.
 TOXIC = 0.5
 
@@ -37,23 +35,37 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id.
 
-    Groups are of rows, by their own texts; of several rows with that id in a group the one with the
-    smallest hash stays.  Rows with a null id all stay.  Texts without words are one group.
+    Groups are of rows, by their own fingerprints; of several rows with that id in a group the one with
+    the smallest hash stays, and of equal rows one.  Rows with a null id all stay.  Texts without words
+    are one group, with all texts near the fingerprint zero.
     """
     # Nulls leave a hash as it is, hence the marks.
     row_hash = F.xxhash64(*(docs[c] for c in docs.columns), *(docs[c].isNull() for c in docs.columns))
-    marked = docs.withColumn("_row_hash", row_hash)
-    found = shingle_join.similar_groups(marked.select("doc_id", "text", F.col("_row_hash").alias("row_hash")), SHINGLE)
-    rows = found.where("doc_id is not null").groupBy("root", "doc_id", F.col("row_hash").alias("_row_hash")).agg(F.count(F.lit(1)).alias("n"))
+    found = simhash_ring.near_duplicates(docs, SHINGLE, DIFFERING_BITS, SEGMENTS, mark=row_hash)
+    rows = found.where("doc_id is not null").groupBy("component_id", "doc_id", "mark").agg(F.count(F.lit(1)).alias("n"))
     rows = durable(rows)
-    first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "_row_hash")).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    others = rows.join(first, "root").where(F.struct("doc_id", "_row_hash") != F.col("first")).select("doc_id", "_row_hash")
-    kept = marked.join(others, ["doc_id", "_row_hash"], "left_anti").select(*docs.columns, "_row_hash")
-    repeated = durable(rows.where("n > 1").select("doc_id", "_row_hash"))
+    first = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    others = rows.join(first, "component_id").where(F.struct("doc_id", "mark") != F.col("first")).select("doc_id", "mark")
+    hashed = _unused("row_hash", docs.columns)
+    marked = docs.withColumn(hashed, row_hash)
+
+    def are(keys: DataFrame) -> Column:
+        return (marked["doc_id"] == keys["doc_id"]) & (marked[hashed] == keys["mark"])
+
+    repeated = durable(rows.where("n > 1").select("doc_id", "mark"))
+    kept = marked.join(others, are(others), "left_anti")
     if repeated.isEmpty():
         return kept.select(docs.columns)
-    once = kept.join(repeated, ["doc_id", "_row_hash"], "left_semi").dropDuplicates(["doc_id", "_row_hash"]).select(docs.columns)
-    return kept.join(repeated, ["doc_id", "_row_hash"], "left_anti").select(docs.columns).union(once)
+    once = marked.join(others, are(others), "left_anti").join(repeated, are(repeated), "left_semi").dropDuplicates(["doc_id", hashed])
+    return kept.join(repeated, are(repeated), "left_anti").union(once).select(docs.columns)
+
+
+def _unused(name: str, columns: list[str]) -> str:
+    """A column name that no column has, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +85,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, lang, n_tokens, ids): the token ids of every document."""
-    vocabulary = sentencepiece_bpe.Vocabulary.read(f"{TOKENIZERS}/piece_bpe_32k.model")
+    vocabulary = sentencepiece_bpe.Vocabulary.read(tokenizer_file("piece_bpe_32k.model"))
     ship(spark)
     ids = docs.select("doc_id", "source", "lang", sentencepiece_bpe.encode_column(vocabulary, docs["text"]).alias("ids"))
     return ids.select("doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids")
