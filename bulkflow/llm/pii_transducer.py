@@ -8,7 +8,9 @@ The detectors run on the rewritten text too, and their spans are mapped back, so
 cut out of the source.  Base spans always stay; the rewritten text only adds spans.
 
 Defined results: a null text is an empty one and has no spans.  Repeated rows get equal results.
-Offsets are code points, the end is exclusive.  Work is linear in the length of a text.
+Offsets are code points, the end is exclusive.  Texts of any length are read whole; work is linear in
+their length, also for long runs of blanks, dots, signs and digit words.  An empty table has no rows.
+Columns that are not asked for are left behind before anything else, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -55,16 +57,13 @@ _SPELLED = re.compile(
     rf"(?<!\w)(?:plus[\s-]+)?(?:{_DIGIT_WORD})(?:[\s,-]+(?:(?:dot|point)[\s-]+)?(?:{_DIGIT_WORD}|[0-9])){{{SPELLED_RUN - 1},}}(?!\w)", re.I
 )
 _SPELLED_PART = re.compile(rf"plus|dot|point|{_DIGIT_WORD}|[0-9]", re.I)
-_BRACKETED = re.compile(r"\s*[\[({<]\s*(at|dot|punkt|point|punto|arroba|@|\.)\s*[\])}>]\s*", re.I)
-_IN_BRACKETS = re.compile(r"[\[({<]\s*(?:at|dot|punkt|point|punto|arroba|@|\.)\s*[\])}>]", re.I)
-_SPOKEN = re.compile(
-    r"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9_%+-]+)*(?:\s+at\s+|@)[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z0-9-]+(?:\s+dot\s+[A-Za-z0-9-]+)*",
-    re.I,
-)
-_SPOKEN_AT = re.compile(
-    r"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9_%+-]+)*\s+at\s+([A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\.[A-Za-z0-9-]+)", re.I
-)
-_SPOKEN_PART = re.compile(r"\s+(at|dot)\s+", re.I)
+_IN_BRACKETS = re.compile(r"[\[({<]\s*(at|dot|punkt|point|punto|arroba|@|\.)\s*[\])}>]", re.I)
+# Separators are looked for behind a character that is no blank, so a run of blanks is read once.
+_AT = re.compile(r"(?<!\s)(?:\s+at(?=\s)|@)", re.I)
+_SPOKEN_DOT = re.compile(r"\s+dot\s+", re.I)
+_LABEL = re.compile(r"[A-Za-z0-9-]+")
+_BEFORE_LOCAL = re.compile(r"[\w.%+-]")
+_SPOKEN_PART = re.compile(r"(?<!\s)\s+(at|dot)(?:\s+|$)", re.I)
 
 
 def _plain_forms() -> dict[str, str]:
@@ -113,6 +112,9 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 _LOCAL_SET = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
+_PART_SET = _LOCAL_SET - {"."}
+
+
 def _is_local(c: str) -> bool:
     return c in _LOCAL_SET
 
@@ -195,14 +197,88 @@ def _plain_characters(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def _signs_in_brackets(text: str) -> Iterator[tuple[int, int, str]]:
-    for m in _BRACKETED.finditer(text):
-        yield m.start(), m.end(), "@" if m.group(1).lower() in ("at", "arroba", "@") else "."
+    """A sign in brackets goes with the blanks around it."""
+    free = 0
+    for m in _IN_BRACKETS.finditer(text):
+        start, end = m.span()
+        while start > free and text[start - 1].isspace():
+            start -= 1
+        while end < len(text) and text[end].isspace():
+            end += 1
+        free = end
+        yield start, end, "@" if m.group(1).lower() in ("at", "arroba", "@") else "."
+
+
+def _addresses(text: str, spoken: bool) -> Iterator[tuple[int, int, int]]:
+    """(start, domain start, end) of addresses with spelled signs, from left to right.
+
+    With ``spoken`` the domain's last dot is spelled; without, the "at" is spelled and the last dot is
+    written.  Every address is found from its "at" outwards, so no stretch is read again and again.
+    """
+    free = 0
+    for m in _AT.finditer(text):
+        sign = text[m.start()] == "@"
+        if m.start() < free or (sign and not spoken):
+            continue
+        domain = m.end()
+        while not sign and text[domain].isspace():
+            domain += 1
+            if domain == len(text):
+                return
+        end = _domain_end(text, domain, spoken)
+        if end and (start := _local_start(text, m.start(), free)) < m.start():
+            yield start, domain, end
+            free = end
+
+
+def _domain_end(text: str, start: int, spoken: bool) -> int:
+    """The end of the domain that begins here, behind its last spelled (or else written) dot; 0 if it has none."""
+    at, end = start, 0
+    dot = False
+    while label := _LABEL.match(text, at):
+        if dot:
+            end = label.end()
+        if text.startswith(".", label.end()):
+            at, dot = label.end() + 1, not spoken
+        elif between := _SPOKEN_DOT.match(text, label.end()):
+            at, dot = between.end(), spoken
+        else:
+            break
+    return end
+
+
+def _local_start(text: str, end: int, free: int) -> int:
+    """The start of the parts that end here, from the leftmost one with nothing joined to it; ``end`` without any."""
+    found = at = end
+    while True:
+        start = at
+        while start > free and text[start - 1] in _PART_SET:
+            start -= 1
+        if start == at:
+            return found
+        if start == 0 or not _BEFORE_LOCAL.match(text[start - 1]):
+            found = start
+        if start > free and text[start - 1] == ".":
+            at = start - 1
+            continue
+        dot = start
+        while dot > free and text[dot - 1].isspace():
+            dot -= 1
+        if dot == start or dot - 3 <= free or text[dot - 3 : dot].lower() != "dot" or not text[dot - 4].isspace():
+            return found
+        at = dot - 3
+        while at > free and text[at - 1].isspace():
+            at -= 1
+
+
+def _signs(text: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
+    for part in _SPOKEN_PART.finditer(text, start, end):
+        yield part.start(), part.end(), "@" if part.group(1).lower() == "at" else "."
 
 
 def _spoken_signs(text: str) -> Iterator[tuple[int, int, str]]:
-    for m in _SPOKEN.finditer(text):
-        for part in _SPOKEN_PART.finditer(text, m.start(), m.end()):
-            yield part.start(), part.end(), "@" if part.group(1).lower() == "at" else "."
+    for start, _, end in _addresses(text, spoken=True):
+        yield from _signs(text, start, end)
 
 
 def _spelled_digits(text: str) -> Iterator[tuple[int, int, str]]:
@@ -227,11 +303,10 @@ def _has_odd_characters(text: str) -> bool:
 
 def _at_before_dots(source: str, now: Rewritten) -> Iterator[tuple[int, int, str]]:
     """A spoken "at" whose domain has a dot that stood in brackets in the source."""
-    for m in _SPOKEN_AT.finditer(now.text):
-        dots = (n for n in range(m.start(1), m.end()) if now.text[n] == ".")
+    for start, domain, end in _addresses(now.text, spoken=False):
+        dots = (n for n in range(domain, end) if now.text[n] == ".")
         if any(_IN_BRACKETS.search(source, *now.source(n, n + 1)) for n in dots):
-            for part in _SPOKEN_PART.finditer(now.text, m.start(), m.end()):
-                yield part.start(), part.end(), "@" if part.group(1).lower() == "at" else "."
+            yield from _signs(now.text, start, end)
 
 
 #: The chain, each with a cheap test of whether it has anything to do.
