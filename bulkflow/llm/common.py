@@ -46,6 +46,14 @@ def ids_and_texts(docs: DataFrame, id_col: str, text_col: str, *also: Column) ->
     return docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), *also)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name that none of ``columns`` has, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def in_training_fold(id_column: Column) -> Column:
     """Whether labels of this row may be learnt from: crc32 of the id as text, modulo 5, is not 0."""
     return held_out(id_column) == F.lit(False)

@@ -65,7 +65,7 @@ def test_against_a_plain_version(spark, corpus):
 
     for i, text, lang, source in masked:
         rate = weight[source] / sum(weight.values()) * len(masked) / sizes[source]
-        expected[i, source, lang, tuple(library.encode(text))] += copies_by_hand(17, i, rate)
+        expected[i, source, lang, tuple(library.encode(text))] += copies_by_hand(17, i, rate, text)
     found = collections.Counter((x["doc_id"], x["source"], x["lang"], tuple(x["ids"])) for x in cp.run(spark, path).collect())
     assert found == +expected
 
