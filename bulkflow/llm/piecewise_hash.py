@@ -11,7 +11,9 @@ Two fingerprints are compared where they share a block size (equal sizes, or one
 run of a few chunks, which unrelated texts hardly ever do.
 
 Defined results: a null text is an empty one, whose fingerprint is ``3::``.  Equal fingerprints have
-likeness 1, so two empty texts do; an empty and any other text have 0.
+likeness 1, so two empty texts do; an empty and any other text have 0.  Texts of any length are hashed
+whole.  Repeated rows follow each other.  An empty table has no rows.  Columns that are not asked for
+are left behind before anything else, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -133,8 +135,8 @@ def fingerprint_column(text: Column) -> Column:
     return prints(F.coalesce(text, F.lit("")))
 
 
-#: Ranges of ids when their number is not given, and the most there can be.
-MAX_RANGES = 4096
+#: The most ranges of ids there can be, and the cuts that one step of the search looks at.
+MAX_RANGES, SEARCH = 1 << 15, 1 << 8
 
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
@@ -151,7 +153,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts = ids_and_texts(docs, id_col, text_col).withColumn("hash", F.xxhash64("text"))
     ranges = min(ranges or int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
     cuts = _cuts(texts, ranges)
-    ordered = texts.withColumn("range", F.coalesce(_range_of(F.col("doc_id"), cuts), F.lit(ranges)))
+    ordered = texts.withColumn("range", F.coalesce(_range_of(F.col("doc_id"), cuts), F.lit(len(cuts) + 1)))
     order = (F.col("doc_id").desc_nulls_last(), F.col("hash"))
     # The first row of every range that has rows: at most ``MAX_RANGES`` + 1 of them.
     first = F.max_by(F.struct("doc_id", "hash"), F.struct(F.col("doc_id"), -F.col("hash").cast("decimal(20)")))
@@ -165,7 +167,8 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     is_head = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("hash") == F.col("head_hash"))
     lent = ordered.join(F.broadcast(lends), "range").where(is_head)
     lent = lent.select("doc_id", "text", "hash", F.col("to_range").alias("target"), F.lit(True).alias("lent"))
-    dealt = own.union(lent).repartition(ranges, "target").sortWithinPartitions("target", "lent", *order)
+    # A range is a partition: its number says which, so none is empty while another holds two.
+    dealt = own.union(lent).repartitionById(len(cuts) + 2, "target").sortWithinPartitions("target", "lent", *order)
     return dealt.select("target", "lent", "doc_id", "text").mapInArrow(_compare, _COMPARED.format(kind))
 
 
@@ -180,16 +183,23 @@ def _nothing(texts: DataFrame) -> DataFrame:
 def _cuts(texts: DataFrame, ranges: int) -> list:
     """Ids that part the table into about equal ranges, descending; from an approximate quantile sketch."""
     shares = [n / ranges for n in range(1, ranges)]
-    found = texts.agg(F.percentile_approx("doc_id", shares or [0.5], 10_000)).first()[0] if shares else []
+    found = texts.agg(F.percentile_approx("doc_id", shares or [0.5], max(10_000, 20 * ranges))).first()[0] if shares else []
     return sorted(set(found or []), reverse=True)
 
 
 def _range_of(doc_id: Column, cuts: list) -> Column:
-    """Number of cuts that are not below the id, by one search in a sorted array; null for a null id."""
+    """Number of cuts that are not below the id, by a search in two steps; null for a null id."""
     if not cuts:
         return F.when(doc_id.isNotNull(), F.lit(0))
-    ascending = F.array(*[F.lit(c) for c in reversed(cuts)])
-    return F.when(doc_id.isNotNull(), F.size(F.filter(ascending, lambda c: c >= doc_id)))
+    groups = [cuts[k : k + SEARCH] for k in range(0, len(cuts), SEARCH)]
+
+    def not_below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda c: c >= doc_id))
+
+    # Groups whose last (least) cut is not below the id count as a whole; the next one is looked into.
+    whole = not_below(F.array(*[F.lit(g[-1]) for g in groups]))
+    inside = F.get(F.array(*[F.array(*map(F.lit, g)) for g in groups]), whole)
+    return F.when(doc_id.isNotNull(), F.least(whole * SEARCH, F.lit(len(cuts))) + F.coalesce(not_below(inside), F.lit(0)))
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

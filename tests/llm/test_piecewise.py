@@ -63,3 +63,14 @@ def test_odd_rows(odd_docs, no_docs, spark):
     assert [(x["doc_id"], x["edited"], x["near_next"]) for x in one] == [(1, "onlyonly", 1.0)]
     nulls = ph.compare_with_next(spark.createDataFrame([(None, "ab"), (None, "ab")], "doc_id long, text string")).collect()
     assert len(nulls) == 2
+
+
+def test_ranges_are_even_and_found_by_search(spark):
+    docs = spark.range(20_000).selectExpr("id * 3 as doc_id", "concat('text ', id) as text")
+    found = ph.compare_with_next(docs, ranges=51)
+    sizes = sorted(x[0] for x in found.groupBy(ph.F.spark_partition_id()).count().select("count").collect())
+    assert len(sizes) >= 50 and sizes[0] > 200 and sizes[-1] < 600
+    cuts = sorted({n * n for n in range(1, 700)}, reverse=True)
+    ids = spark.range(-5, 500_000, 997).withColumnRenamed("id", "doc_id")
+    for x in ids.select("doc_id", ph._range_of(ids["doc_id"], cuts).alias("r")).collect():
+        assert x["r"] == sum(c >= x["doc_id"] for c in cuts)
