@@ -12,6 +12,11 @@ Equal fingerprints are one class from the start.  In a key's group all pairs are
 but only a spanning forest of the links goes on, so that groups of near copies do not make a
 quadratic number of rows.  Members of one star are already connected and are not compared again.
 
+A group of more than ``GROUP_ROWS`` rows is not held by a task: its rows stream past a few pivots and
+go on as rows.  What the pivots connect is settled; the rows outside the group's largest component
+are then dealt out in blocks against blocks of the whole group, and each pair of blocks is compared in
+a task of its own.  So memory is bounded whatever the group, and no pair is left out.
+
 Defined results: a null text is an empty one; a text without words has the fingerprint zero and is
 linked like any other; fewer words than a shingle are one shingle.  Rows with the same id count as
 one document.  A null id never becomes a component's name; rows with a null id get the component
@@ -35,6 +40,8 @@ from bulkflow.llm.components import components, durable
 
 #: Groups up to this size are compared by offsets, larger ones as matrices of at most this many cells.
 SMALL_GROUP, MATRIX_CELLS = 32, 1 << 20
+#: Rows of a key that one task compares, pivots of a larger group, and rows of its blocks.
+GROUP_ROWS, PIVOTS, BLOCK_ROWS = 1 << 16, 64, 1 << 13
 #: A chain is long enough when a key has about this many fingerprints.
 KEY_MEMBERS = 1024
 _WORD = re.compile(WORD.encode())
@@ -152,37 +159,126 @@ def links(classes: DataFrame, limit: int, segments: int, words: int = 1, depth:
                 arrays = [np.concatenate(keys).view(np.int64), changed, node[rows], *(f[rows, k].view(np.int64) for k in range(words))]
                 yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["key", "changed", "node", *columns])
 
+    group_rows = GROUP_ROWS
+
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, plain, node, f in _whole_groups(batches, columns):
-            a, b = _links_of(key, plain, node, f, limit)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        pivots = None
+        for large, key, plain, node, f in _whole_groups(batches, columns, group_rows):
+            if not large:
+                yield edges(*_links_of(key, plain, node, f, limit))
+                continue
+            if pivots is None or pivots[0] != key[0]:
+                some = np.nonzero(plain)[0][:PIVOTS]  # plain rows come first
+                pivots = (key[0], node[some], f[some])
+            a, b = np.nonzero(_differing(pivots[2][:, None], f[None]) <= limit)
+            yield edges(*_forest(pivots[1][a], node[b]))
+            arrays = [pa.array(node), pa.nulls(len(node), pa.int64()), pa.array(key), pa.array(plain), *(pa.array(f[:, k].view(np.int64)) for k in range(words))]
+            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "key", "plain", *columns])
+
+    def edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        empty = [pa.nulls(len(a), t) for t in (pa.int64(), pa.bool_(), *[pa.int64()] * words)]
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *empty], ["a", "b", "key", "plain", *columns])
 
     fields = ", ".join(f"{c} long" for c in columns)
     keyed = classes.select("node", *columns).mapInArrow(list_keys, f"key long, changed boolean, node long, {fields}")
     grouped = keyed.repartition("key").sortWithinPartitions("key", "changed")
-    return grouped.mapInArrow(link, "a long, b long").distinct()
+    found = durable(grouped.mapInArrow(link, f"a long, b long, key long, plain boolean, {fields}"))
+    linked = found.where("b is not null").select("a", "b").distinct()
+    large = found.where("b is null")
+    if large.isEmpty():
+        return linked
+    return linked.union(_links_between_blocks(large.select("key", F.col("a").alias("node"), "plain", *columns), linked, limit, columns))
+
+
+def _links_between_blocks(rows: DataFrame, linked: DataFrame, limit: int, columns: list[str]) -> DataFrame:
+    """Edges (a, b) between the components of large groups (key, node, plain, f0, ...), given the edges so far."""
+    roots = components(linked).select("node", "root")
+    placed = durable(rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("whole"))
+    main = main.select("key", F.col("most.root").alias("main"), "whole", (F.col("whole") - F.col("most.n")).alias("rest"))
+    known = placed.join(durable(main.where("rest > 0")), "key")
+
+    def blocks(n: str) -> Column:
+        return F.ceil(F.col(n) / BLOCK_ROWS).cast("int")
+
+    def dealt(side: DataFrame, is_rest: bool, own: str, others: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("node"), blocks(own)).cast("int").alias("mine")
+        out = side.select("key", "node", "plain", "root", *columns, mine, F.explode(F.sequence(F.lit(0), blocks(others) - 1)).alias("other"))
+        left, right = ("mine", "other") if is_rest else ("other", "mine")
+        return out.select("key", F.col(left).alias("i"), F.col(right).alias("j"), F.lit(is_rest).alias("rest"), "plain", "root", *columns)
+
+    both = dealt(known.where("root <> main"), True, "rest", "whole").union(dealt(known, False, "whole", "rest"))
+    ordered = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", F.desc("rest"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            names = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")], 1)
+            cuts = [0, *(np.nonzero((names[1:] != names[:-1]).any(1))[0] + 1).tolist(), len(names)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a < b:
+                    if tuple(names[a]) != now and held:
+                        yield compared(held)
+                        held = []
+                    now = tuple(names[a])
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield compared(held)
+
+    def compared(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks().to_batches()
+        batch = table[0] if table else held[0]
+        rest, plain = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rest", "plain"))
+        root, f = batch.column("root").to_numpy(), _matrix(batch, columns)
+        n = int(rest.sum())
+        step, found = max(1, MATRIX_CELLS // max(1, len(root) - n)), [(root[:0], root[:0])]
+        for at in range(0, n, step):
+            own = slice(at, min(n, at + step))
+            near = (_differing(f[own, None], f[None, n:]) <= limit) & (plain[own, None] | plain[None, n:]) & (root[own, None] != root[None, n:])
+            a, b = np.nonzero(near)
+            found.append(_forest(root[own][a], root[n:][b]))
+        a, b = _forest(*(np.concatenate(x) for x in zip(*found)))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return ordered.mapInArrow(compare, "a long, b long").distinct()
 
 
 def _matrix(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
     return np.stack([batch.column(c).to_numpy() for c in columns], 1).view(np.uint64)
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple]:
-    """Sorted batches again, cut so that no key's group is torn; keys that cannot link are left out."""
-    kept: list[tuple] = []
+def _whole_groups(batches: Iterator[pa.RecordBatch], columns: list[str], group_rows: int) -> Iterator[tuple]:
+    """Sorted batches again, as (large, key, plain, node, f), cut so that no key's group is torn.
+
+    A group of more than ``group_rows`` rows comes alone, marked as large, in several parts.
+    """
+    kept: list[tuple] = []  # rows of the last key seen, or also of keys before it
+    large = None
     for batch in batches:
         if not batch.num_rows:
             continue
         now = (batch.column("key").to_numpy(), ~batch.column("changed").to_numpy(zero_copy_only=False), batch.column("node").to_numpy(), _matrix(batch, columns))
+        if large is not None:
+            end = int(np.searchsorted(now[0], large, "right"))
+            if end:
+                yield (True, *(x[:end] for x in now))
+            if end == len(now[0]):
+                continue
+            large, now = None, tuple(x[end:] for x in now)
         cut = int(np.searchsorted(now[0], now[0][-1]))
         if kept and (cut or kept[-1][0][-1] != now[0][0]):
-            yield tuple(np.concatenate(x) for x in zip(*kept, tuple(x[:cut] for x in now)))
+            yield (False, *(np.concatenate(x) for x in zip(*kept, tuple(x[:cut] for x in now))))
             kept = []
         elif cut:
-            yield tuple(x[:cut] for x in now)
+            yield (False, *(x[:cut] for x in now))
         kept.append(tuple(x[cut:] for x in now))
+        if sum(len(x[0]) for x in kept) > group_rows:
+            large = now[0][-1]
+            yield (True, *(np.concatenate(x) for x in zip(*kept)))
+            kept = []
     if kept:
-        yield tuple(np.concatenate(x) for x in zip(*kept))
+        yield (False, *(np.concatenate(x) for x in zip(*kept)))
 
 
 def _links_of(key: np.ndarray, plain: np.ndarray, node: np.ndarray, f: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:

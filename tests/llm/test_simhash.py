@@ -114,3 +114,49 @@ def test_odd_rows(odd_docs, no_docs):
     got = sorted(((x["doc_id"], x["f0"] % 2**64, x["component_id"]) for x in sr.near_duplicates(odd_docs, 4, 4, 5).collect()), key=repr)
     assert got == expected
     assert sr.near_duplicates(no_docs, 4, 4, 5).collect() == []
+
+
+def near_family(r, size, flips):
+    """Fingerprints around one centre, differing in a few of all bits; many share a key, not all are linked."""
+    centre = r.integers(0, 2**63, dtype=np.uint64)
+    f = np.full(size, centre)
+    for n in range(size):
+        for b in r.choice(64, r.integers(0, flips + 1), replace=False):
+            f[n] ^= np.uint64(1) << np.uint64(b)
+    return np.unique(f)
+
+
+@pytest.mark.parametrize("flips, group_rows, block_rows", [(6, 40, 16), (10, 100, 64), (3, 200, 1 << 13)])
+def test_large_groups_are_compared_in_blocks(spark, monkeypatch, flips, group_rows, block_rows):
+    r = np.random.default_rng(flips)
+    f = np.concatenate([near_family(r, 700, flips), near_family(r, 300, flips), r.integers(0, 2**63, 50, dtype=np.uint64)])
+    f = np.unique(f)
+    rows = [(n, int(x.view(np.int64))) for n, x in enumerate(f)]
+    classes = spark.createDataFrame(rows, "node long, f0 long").repartition(4)
+    monkeypatch.setattr(sr, "GROUP_ROWS", group_rows)
+    monkeypatch.setattr(sr, "BLOCK_ROWS", block_rows)
+    found = {x["node"]: x["root"] for x in components(sr.links(classes, 4, 5)).collect()}
+    expected = roots(list(range(len(f))), [int(x) for x in f], 4)
+    assert [found.get(n, n) for n in range(len(f))] == expected
+
+
+def test_whole_groups_holds_no_large_group():
+    """Parts of a large group come as they are read; all others are whole."""
+    import pyarrow as pa
+
+    r = random.Random(4)
+    keys = sorted(r.choice([1, 2, 3, 4, 5, 6]) if n % 3 else 4 for n in range(5000))
+    batches = []
+    at = 0
+    while at < len(keys):
+        part = keys[at : at + r.randint(1, 90)]
+        at += len(part)
+        n = len(part)
+        batches.append(pa.RecordBatch.from_arrays([pa.array(part), pa.array([False] * n), pa.array(range(n)), pa.array(range(n))], ["key", "changed", "node", "f0"]))
+    large, small = [], []
+    for is_large, key, *_ in sr._whole_groups(iter(batches), ["f0"], 1000):
+        assert len(key) <= (1100 if is_large else 5000)
+        (large if is_large else small).append(key.tolist())
+    assert {k for part in large for k in part} == {4} and sum(map(len, large)) == keys.count(4)
+    seen = [set(part) for part in small]
+    assert sum(map(len, seen)) == 5 and sorted(k for part in small for k in part) == [k for k in keys if k != 4]
