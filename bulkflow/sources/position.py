@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def file_order(path: Column) -> Column:
+    """What files are ordered by: their decoded path, as :func:`bulkflow.sources.records.first_file` has it."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def with_row_index(scan: DataFrame, index: str = "row_index", total: str | None = None) -> DataFrame:
     """Add the 0-based position of every record, files taken in path order.
 
@@ -29,7 +34,7 @@ def with_row_index(scan: DataFrame, index: str = "row_index", total: str | None
         F.count(F.lit(1)).alias("_rows"), F.min("_mid").alias("_first")
     )
     # One row per split from here on: file metadata (input bytes / split size), not data.
-    in_order = Window.orderBy("_file", "_block")
+    in_order = Window.orderBy(file_order(F.col("_file")), "_file", "_block")
     offsets = splits.select(
         "*",
         F.coalesce(F.sum("_rows").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),

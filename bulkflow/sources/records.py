@@ -96,7 +96,8 @@ def first_file(spark: SparkSession, path: str) -> str:
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     uri = spark._jvm.java.net.URI
     # Spelled the way the scan's own file_path column spells it (file:/x, not file:///x).
-    return path_of(path_of(uri(min(files, key=unquote))).toString()).toUri().toString()
+    # The first by decoded path: the order in which rows are numbered, too (position.file_order).
+    return path_of(path_of(uri(min(files, key=lambda f: (unquote(f), f)))).toString()).toUri().toString()
 
 
 def leading_records(spark: SparkSession, path: str, n: int, sep: str = ",", trim: bool = False) -> list[list[str]]:

@@ -100,7 +100,10 @@ class TypedCsv:
     def numbered(self) -> DataFrame:
         """Text cells with ``_row``, the 1-based row number in the file (data starts at 3)."""
         rows = with_row_index(self._cells(), "_index")
-        return rows.filter(F.col("_index") > 1).withColumn("_row", F.col("_index") + 1).drop("_index")
+        is_head = ((F.col("_index") == 0) & self._is_head(0)) | ((F.col("_index") == 1) & self._is_head(1))
+        elsewhere = F.raise_error(F.lit("the first two rows in file order are not the names and the types")).cast("boolean")
+        data = F.when(F.col("_index") > 1, True).when(is_head, False).otherwise(elsewhere)
+        return rows.filter(data).withColumn("_row", F.col("_index") + 1).drop("_index")
 
     def text(self) -> DataFrame:
         """Text cells of the data rows.

@@ -40,14 +40,15 @@ def text_columns(df: DataFrame) -> DataFrame:
 def sectioned_csv(df: DataFrame, label: str, head: list[str], tail: list[str] = (), sep: str = ",") -> str:
     """One CSV data set as a folder: head lines, body rows in the order of ``df``, tail lines.
 
-    Files are read in path order, so the sections follow each other.
+    Files are read in the order of their paths, so the sections follow each other; the names sort
+    otherwise as URLs have them.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
-    for folder, lines in (("0-head", head), ("2-tail", tail)):
+    for folder, lines in (("0 head", head), ("0~tail", tail)):
         if lines:
             spark.createDataFrame([(line,) for line in lines], "line string").coalesce(1).write.text(f"{path}/{folder}")
-    text_columns(df).write.options(sep=sep, escape='"', emptyValue="").csv(f"{path}/1-body")
+    text_columns(df).write.options(sep=sep, escape='"', emptyValue="").csv(f"{path}/0!body")
     return path
 
 
