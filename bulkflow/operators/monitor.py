@@ -38,9 +38,14 @@ def in_window(samples: DataFrame, start: Column, end: Column, ts: str = "ts") ->
 
 
 def tick_counts(samples: DataFrame) -> DataFrame:
-    """Per one-second tick and duration: successes, errors and changes.  Works on streams too."""
+    """Per one-second tick and duration: successes, errors and changes.  Works on streams too.
+
+    Samples without a time are counted in a tick without a time.
+    """
     ok = ~is_error()
-    return samples.groupBy(F.window("ts", "1 second").alias("window"), "duration").agg(
+    undated = F.lit(0).cast("timestamp").cast(samples.schema["ts"].dataType)
+    window = F.window(F.coalesce("ts", undated), "1 second")
+    return samples.groupBy(window.alias("window"), F.col("ts").isNull().alias("undated"), "duration").agg(
         F.count(F.when(ok, 1)).alias("success"),
         F.count(F.when(~ok, 1)).alias("errors"),
         F.count(F.when(ok & F.col("changed"), 1)).alias("changed"),
@@ -50,13 +55,15 @@ def tick_counts(samples: DataFrame) -> DataFrame:
 
 def fold_ticks(counts: DataFrame) -> DataFrame:
     """Tick statistics from the rows of :func:`tick_counts`."""
-    flat = counts.select(F.col("window.start").alias("tick"), "duration", "success", "errors", "changed", "samples")
+    tick = F.when(~F.col("undated"), F.col("window.start"))
+    flat = counts.select(tick.alias("tick"), "duration", "success", "errors", "changed", "samples")
     totals = flat.groupBy("tick").agg(
         F.sum("success").alias("success"), F.sum("errors").alias("errors"), F.sum("changed").alias("changed")
     )
     timed = flat.filter(F.col("duration").isNotNull())
     p90 = nearest_rank_of_histogram(timed, ["tick"], "duration", "samples", P90, "p90")
-    return totals.join(p90, "tick", "left")
+    at = p90.withColumnRenamed("tick", "p90_tick")
+    return totals.join(at, totals["tick"].eqNullSafe(at["p90_tick"]), "left").drop("p90_tick")
 
 
 def tumbling_stats(samples: DataFrame) -> DataFrame:
@@ -127,21 +134,21 @@ def concurrency(intervals: DataFrame, start: str = "ts", seconds: str = "duratio
     """Peak number of intervals [start, start + seconds) that overlap, per group.
 
     Starts and ends at the same instant are netted before the running sum, so the ordered
-    part works on distinct instants only.
+    part works on distinct instants only.  Intervals without a start, a length or any duration
+    overlap nothing; a group of such intervals only has a peak of 0.
     """
     group = group or []
     length = F.round(F.col(seconds) * 1_000_000).cast("bigint")
     begin = micros(F.col(start))
-    steps = intervals.filter(F.col(start).isNotNull() & (length > 0)).select(
-        *group,
-        F.inline(
-            F.array(
-                F.struct(begin.alias("at"), F.lit(1).cast("bigint").alias("step")),
-                F.struct((begin + length).alias("at"), F.lit(-1).cast("bigint").alias("step")),
-            )
-        ),
+    lasts = F.col(start).isNotNull() & (length > 0)
+
+    def step(at: Column, n: int) -> Column:
+        return F.struct(at.cast("bigint").alias("at"), F.lit(n).cast("bigint").alias("step"))
+
+    steps = intervals.select(
+        *group, F.inline(F.when(lasts, F.array(step(begin, 1), step(begin + length, -1))).otherwise(F.array(step(F.lit(None), 0))))
     )
-    net = steps.groupBy(*group, "at").agg(F.sum("step").alias("step")).filter(F.col("step") != 0)
+    net = steps.groupBy(*group, "at").agg(F.sum("step").alias("step")).filter((F.col("step") != 0) | F.col("at").isNull())
     running = with_running_sum(segmented(net, group, ["at"]), group, ["at"], "step", "in_flight")
     return running.groupBy(*group).agg(F.coalesce(F.max("in_flight"), F.lit(0)).cast("bigint").alias("max_in_flight"))
 
