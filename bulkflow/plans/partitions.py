@@ -12,11 +12,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from bulkflow.functions.times import plus_micros
-from bulkflow.plans import tables
+from bulkflow.plans import ledger, tables
 from bulkflow.session import delete_dir, fresh_table_dir, make_dir, quoted, sql_string
 
 log = logging.getLogger(__name__)
 
+# Fixed value: the name of the partition for all rows before the first day.
 INITIAL = "P_INITIAL"
 # Rows without a time stamp go here; like the initial partition it is never dropped as old.
 UNDATED = "P_UNDATED"
@@ -80,6 +81,7 @@ class PartitionedTable:
 
     def _add_empty(self, value: str) -> None:
         empty = make_dir(self.spark, fresh_table_dir(self.spark, "partition"))
+        ledger.own(self.spark, empty, f"{self.name}/{self._clause(value)}")
         self.spark.sql(f"ALTER TABLE {quoted(self.name)} ADD PARTITION ({self._clause(value)}) LOCATION {sql_string(empty)}")
 
     def read(self) -> DataFrame:
@@ -180,32 +182,43 @@ class PartitionedTable:
         """Empty one partition; it stays in the listing."""
         old = tables.location(self.spark, self.name, self._clause(value))
         tables.point(self.spark, self.name, make_dir(self.spark, fresh_table_dir(self.spark, "partition")), self._clause(value))
-        delete_dir(self.spark, old)
+        self._release(value, old)
 
     def drop_partition(self, value: str) -> None:
         old = tables.location(self.spark, self.name, self._clause(value))
-        self.spark.sql(f"ALTER TABLE {quoted(self.name)} DROP PARTITION ({self._clause(value)})")
-        delete_dir(self.spark, old)
+        tables.drop_partitions(self.spark, self.name, [self._clause(value)])
+        self._release(value, old)
 
-    def _drop_each(self, values: list[str]) -> int:
-        dropped = 0
-        for v in values:
+    def _release(self, value: str, folder: str) -> None:
+        """Delete a folder that this partition showed, unless another name shows it."""
+        own_folder = folder.startswith(tables.location(self.spark, self.name) + "/")
+        ledger.disown(self.spark, folder, f"{self.name}/{self._clause(value)}")
+        if own_folder or not ledger.owners(self.spark, folder):
+            delete_dir(self.spark, folder)
+
+    def _drop_all_of(self, values: list[str]) -> int:
+        """Drop partitions in one statement, so that readers see all of them or none; then their files.
+
+        A folder that cannot be deleted is left to :func:`ledger.vacuum`.
+        """
+        folders = {v: tables.location(self.spark, self.name, self._clause(v)) for v in values}
+        tables.drop_partitions(self.spark, self.name, [self._clause(v) for v in values])
+        self.spark.catalog.refreshTable(self.name)
+        for v, folder in folders.items():
             try:
-                self.drop_partition(v)
-                dropped += 1
+                self._release(v, folder)
             except Exception:
-                log.exception("partition %s of %s could not be dropped", v, self.name)
-        self.spark.catalog.refreshTable(self.name)
-        return dropped
+                log.exception("the files of partition %s of %s could not be deleted", v, self.name)
+        return len(values)
 
     def retain_latest(self) -> int:
         """Drop every partition but the latest, the initial and the undated one."""
         keep = {self.latest(), INITIAL, UNDATED}
-        return self._drop_each([v for v in self.values() if v not in keep])
+        return self._drop_all_of([v for v in self.values() if v not in keep])
 
     def drop_all(self) -> int:
         """Drop every partition but the initial and the undated one."""
-        return self._drop_each([v for v in self.values() if v not in (INITIAL, UNDATED)])
+        return self._drop_all_of([v for v in self.values() if v not in (INITIAL, UNDATED)])
 
     def rolling_replace(self, df: DataFrame) -> int:
         """Add new rows first and drop the older partitions only after that worked."""

@@ -14,7 +14,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulkflow.plans import tables
+from bulkflow.plans import ledger, tables
 from bulkflow.plans.tables import LoadReport, Stopwatch
 from bulkflow.session import children, delete_dir, quoted, sql_string, touch
 
@@ -85,7 +85,11 @@ class Snapshot:
     def _point(self, staged: DataFrame, path: str, versions: list[str]) -> None:
         columns = ", ".join(quoted(c) for c in self.columns or staged.columns)
         select = f"SELECT {columns} FROM parquet.{quoted_path(path)}"
+        before = self.path()
+        ledger.own(self.spark, path, self.name)
         _switch(self.spark, self.name, select, {VERSION: path, HISTORY: "\n".join(versions)})
+        if before not in versions:
+            ledger.move(self.spark, before, path, self.name)
 
     def prune(self) -> None:
         """Delete the files of versions beyond the newest ``keep`` that no other name shows."""
@@ -97,6 +101,7 @@ class Snapshot:
                 f"ALTER VIEW {quoted(self.name)} SET TBLPROPERTIES ({sql_string(HISTORY)} = {sql_string(chr(10).join(kept))})"
             )
         for v in old:
+            ledger.disown(self.spark, v, self.name)
             delete_dir(self.spark, v)
 
     def _in_use(self, version: str) -> bool:

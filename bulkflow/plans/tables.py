@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bulkflow.functions.names import strict_name
-from bulkflow.functions.types import ColumnDef, struct_type
+from bulkflow.functions.types import ColumnDef, primary_key, struct_type
+from bulkflow.plans import ledger
 from bulkflow.session import children, delete_dir, fresh_table_dir, make_dir, quoted, sql_string
 
 # Table properties: the declared columns, and folders below the table's own that belong to others.
@@ -58,6 +59,7 @@ def create_or_replace(
     path = make_dir(spark, root or fresh_table_dir(spark, table.replace(".", "_")))
     by = f" PARTITIONED BY ({', '.join(quoted(c) for c in partitioned_by)})" if partitioned_by else ""
     drop(spark, table)
+    ledger.own(spark, path, table)
     spark.sql(f"CREATE TABLE {quoted(table)} ({_ddl(schema)}) USING parquet{by} LOCATION {sql_string(path)} TBLPROPERTIES ({sql_string(DECLARED)} = {sql_string(schema.json())})")
     return schema
 
@@ -95,7 +97,7 @@ def replace_files(spark: SparkSession, table: str, path: str) -> None:
     before = table_property(spark, table, PREVIOUS)
     point(spark, table, path)
     spark.sql(f"ALTER TABLE {quoted(table)} SET TBLPROPERTIES ({sql_string(PREVIOUS)} = {sql_string(old)})")
-    if before and before not in (old, path):
+    if before and before not in (old, path) and not ledger.owners(spark, before):
         delete_dir(spark, before)
 
 
@@ -107,16 +109,20 @@ def drop(spark: SparkSession, table: str) -> None:
         previous = table_property(spark, table, PREVIOUS)
         elsewhere = [] if not _is_partitioned(spark, table) else _partition_folders(spark, table, path)
         spark.sql(f"DROP TABLE {quoted(table)}")
+        ledger.disown(spark, path, table)
         # Folders that an exchange gave away lie below this one but belong to another table.
         if any(c.startswith(f"{path}/") for c in ceded):
             for child in children(spark, path):
                 if child not in ceded:
                     delete_dir(spark, child)
-        else:
+        elif not ledger.owners(spark, path):
             delete_dir(spark, path)
-        for folder in (*elsewhere, previous):
-            if folder:
+        for spec, folder in elsewhere:
+            ledger.disown(spark, folder, f"{table}/{spec}")
+            if not ledger.owners(spark, folder):
                 delete_dir(spark, folder)
+        if previous and not ledger.owners(spark, previous):
+            delete_dir(spark, previous)
 
 
 def ceded_folders(spark: SparkSession, table: str) -> list[str]:
@@ -130,17 +136,18 @@ def cede(spark: SparkSession, table: str, folder: str) -> None:
     spark.sql(f"ALTER TABLE {quoted(table)} SET TBLPROPERTIES ({sql_string(CEDED)} = {sql_string(chr(10).join(kept))})")
 
 
-def _partition_folders(spark: SparkSession, table: str, root: str) -> list[str]:
-    """Folders of partitions that do not lie below the table's own."""
+def _partition_folders(spark: SparkSession, table: str, root: str) -> list[tuple[str, str]]:
+    """(partition clause, folder) of partitions that do not lie below the table's own folder."""
     specs = [partition_clause(r.partition) for r in spark.sql(f"SHOW PARTITIONS {quoted(table)}").collect()]
-    return [f for f in (location(spark, table, s) for s in specs) if not f.startswith(f"{root}/")]
+    return [(s, f) for s, f in ((s, location(spark, table, s)) for s in specs) if not f.startswith(f"{root}/")]
 
 
 def append(df: DataFrame, table: str) -> int:
     """Append rows, columns matched by name; all rows or none become visible. Gives the count.
 
     A row that the table cannot hold as it is fails the whole append: a value that its column's
-    type would change, a NULL in a NOT NULL column, a text longer than declared.
+    type would change, a NULL in a NOT NULL column, a text longer than declared, a declared key that
+    another row of the batch or the table has.
     """
     spark = df.sparkSession
     target = spark.table(table)
@@ -159,11 +166,27 @@ def append(df: DataFrame, table: str) -> int:
             for c in target.columns
         ]
     )
+    key = primary_key(declared(spark, table))
+    if key:
+        aligned = with_new_keys(aligned, target, key)
     counter = Observation()
     aligned.observe(counter, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
     return counter.get.get("rows", 0)
 
 
+def with_new_keys(rows: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
+    """``rows``, refused in the plan that writes them if a key occurs twice in them or in ``existing`` already.
+
+    Only key columns are read for it, and the key groups are counted with map-side combining.
+    """
+    counted = rows.select(*key).groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    spelled = F.concat_ws(", ", *(F.col(k).cast("string") for k in key))
+    twice = counted.filter(F.col("_n") > 1).select(F.concat(F.lit("key "), spelled, F.lit(" occurs more than once")).alias("why"))
+    there = counted.join(existing.select(*key), key, "left_semi").select(F.concat(F.lit("key "), spelled, F.lit(" is in the table already")).alias("why"))
+    why = twice.union(there).agg(F.min("why")).scalar()
+    return rows.filter(F.when(why.isNull(), True).otherwise(F.raise_error(why).cast("boolean")))
+
+
 def _held(value: Column, kind: T.DataType, target: T.StructField, rule: T.StructField | None) -> Column:
     """The value in the target's type; a value that does not fit raises an error when it is written."""
     name, wanted = target.name, target.dataType
@@ -192,14 +215,26 @@ def _held(value: Column, kind: T.DataType, target: T.StructField, rule: T.Struct
 
 
 def truncate(spark: SparkSession, table: str) -> None:
-    """Empty a table by pointing it at an empty folder; running readers keep their files."""
+    """Empty a table by pointing it at an empty folder; running readers keep their files.
+
+    A partitioned table loses all its partitions in one statement, and partitions that come later go
+    to the new folder too.  The old folders have no owner any more; :func:`ledger.vacuum` deletes them.
+    """
+    old = location(spark, table)
     if _is_partitioned(spark, table):
-        for r in spark.sql(f"SHOW PARTITIONS {quoted(table)}").collect():
-            spark.sql(f"ALTER TABLE {quoted(table)} DROP PARTITION ({partition_clause(r.partition)})")
-        return
+        elsewhere = _partition_folders(spark, table, old)
+        drop_partitions(spark, table, [partition_clause(r.partition) for r in spark.sql(f"SHOW PARTITIONS {quoted(table)}").collect()])
+        for spec, folder in elsewhere:
+            ledger.disown(spark, folder, f"{table}/{spec}")
     point(spark, table, make_dir(spark, fresh_table_dir(spark, table.replace(".", "_"))))
 
 
+def drop_partitions(spark: SparkSession, table: str, specs: list[str]) -> None:
+    """Take partitions, given as clauses, out of the catalog in one statement; no files are deleted."""
+    if specs:
+        spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in specs))
+
+
 def _is_partitioned(spark: SparkSession, table: str) -> bool:
     return any(c.isPartition for c in spark.catalog.listColumns(table))
 
@@ -207,8 +242,12 @@ def _is_partitioned(spark: SparkSession, table: str) -> bool:
 def point(spark: SparkSession, table: str, path: str, partition: str | None = None) -> None:
     """Make a table, or one partition of it, read its rows from ``path``."""
     clause = f" PARTITION ({partition})" if partition else ""
+    old = location(spark, table, partition)
+    owner = f"{table}/{partition}" if partition else table
+    ledger.own(spark, path, owner)
     spark.sql(f"ALTER TABLE {quoted(table)}{clause} SET LOCATION {sql_string(path)}")
     spark.catalog.refreshTable(table)
+    ledger.move(spark, old, path, owner)
 
 
 def partition_clause(spec: str) -> str:

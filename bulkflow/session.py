@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,12 +32,17 @@ def _is_local(spark: SparkSession) -> bool:
     return master.startswith("local") and not master.startswith("local-cluster")
 
 
-def fresh_table_dir(spark: SparkSession, label: str) -> str:
-    """A new path for rows that a catalog table keeps, apart from scratch data."""
+def table_root(spark: SparkSession) -> str:
+    """Below it lie the folders of tables, side by side."""
     root = spark.conf.get("spark.bulkflow.table.dir", None)
     if not root:
         root = f"{scratch_root(spark)}/tables" if _is_local(spark) else spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/bulkflow/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/bulkflow"
+
+
+def fresh_table_dir(spark: SparkSession, label: str) -> str:
+    """A new path for rows that a catalog table keeps, apart from scratch data."""
+    return f"{table_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -85,12 +91,46 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"{old} could not become {new}")
 
 
+def rename_new(spark: SparkSession, old: str, new: str) -> bool:
+    """Move a folder with files in it to a name that nobody has taken; False when somebody has.
+
+    Of several that try the same name one succeeds, on file systems whose rename is atomic.
+    """
+    fs, source = _fs(spark, old)
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(new)
+    if fs.exists(target):
+        return False
+    fs.mkdirs(target.getParent())
+    try:
+        if fs.getScheme() == "file":
+            # Hadoop's local rename would go on to copy into a folder that came up meanwhile.
+            paths = [jvm.java.nio.file.Path.of(fs.makeQualified(p).toUri()) for p in (source, target)]
+            jvm.java.nio.file.Files.move(*paths, spark.sparkContext._gateway.new_array(jvm.java.nio.file.CopyOption, 0))
+        else:
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+            context.rename(source, target, options)
+    except Py4JJavaError:
+        if fs.exists(target) and fs.exists(source):
+            return False
+        raise
+    return True
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """An empty file."""
     fs, hadoop_path = _fs(spark, path)
     fs.create(hadoop_path, True).close()
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed, in milliseconds; 0 when it is gone."""
+    fs, hadoop_path = _fs(spark, path)
+    return fs.getFileStatus(hadoop_path).getModificationTime() if fs.exists(hadoop_path) else 0
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Full paths of everything directly below ``path``, sorted; none when it does not exist."""
     fs, hadoop_path = _fs(spark, path)

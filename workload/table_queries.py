@@ -229,15 +229,21 @@ def batched_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
-@query("SELECT count(*) AS before, count(*) FILTER (WHERE false) AS after FROM orders")
+@query(
+    """SELECT count(*) AS before, count(*) FILTER (WHERE false) AS after,
+    (SELECT count(*) FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 2 = 0) AS again FROM orders"""
+)
 def truncate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = _name("truncate")
-    orders = table(spark, sf_dir, "orders")
-    tables.create_or_replace(spark, name, orders.schema)
-    tables.append(orders, name)
-    before = audit.row_count(spark.table(name)).first()[0]
-    tables.truncate(spark, name)
-    return audit.row_count(spark.table(name)).select(F.lit(before).cast("bigint").alias("before"), F.col("row_count").alias("after"))
+    """A partitioned table is emptied; rows appended to one of its partitions afterwards are alone there."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("_part"))
+    parted = PartitionedTable(spark, _name("truncate")).create(orders.schema)
+    parted.append(orders)
+    before = audit.row_count(parted.read()).first()[0]
+    tables.truncate(spark, parted.name)
+    after = audit.row_count(parted.read()).first()[0]
+    parted.append(orders.filter("_part = 'O' AND o_orderkey % 2 = 0"))
+    counts = (F.lit(n).cast("bigint").alias(c) for n, c in ((before, "before"), (after, "after")))
+    return audit.row_count(parted.read()).select(*counts, F.col("row_count").alias("again"))
 
 
 @query("SELECT o_orderkey AS id, o_totalprice AS price FROM orders")
