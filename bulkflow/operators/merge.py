@@ -15,15 +15,27 @@ def _any_null(df_keys: list[Column]) -> Column:
     return out
 
 
-def keep_last(source: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+def keep_last(source: DataFrame, keys: list[str], order: list[str] | None = None, distinct_order: bool = False) -> DataFrame:
     """One row per key, the last in ``order``; ``source`` has no NULL keys.
 
+    ``distinct_order`` promises that no two rows have the same order, a single column of numbers or
+    times: then the largest per key is a hash aggregate without sorting, and the rows are found by a
+    join on key and order, in which no key is hot.
+
     The aggregate combines on the map side, so a key that holds most rows costs one row per
     task in the shuffle.  The keys come out as aggregates of their own: a later join then
     shuffles both its sides, and between two such shuffles adaptive execution can split a
     hot key of the other side.
     """
     order = order or []
+    if distinct_order:
+        (at,) = order
+        newest = source.groupBy(*keys).agg(*[F.max(k).alias(f"_key_{k}") for k in keys], F.max(at).alias("_newest"))
+        newest = newest.select(*[F.col(f"_key_{k}").alias(f"_k_{k}") for k in keys], "_newest")
+        on = source[at] == F.col("_newest")
+        for k in keys:
+            on = on & (source[k] == F.col(f"_k_{k}"))
+        return source.join(newest, on, "left_semi").drop(at)
     values = [c for c in source.columns if c not in keys and c not in order]
     same = [F.max(k).alias(f"_key_{k}") for k in keys]
     if not values:
@@ -40,6 +52,7 @@ def upsert(
     source: DataFrame,
     keys: list[str],
     order: list[str] | None = None,
+    distinct_order: bool = False,
 ) -> DataFrame:
     """The target after applying the source rows one by one.
 
@@ -50,6 +63,7 @@ def upsert(
     * a source of key columns only inserts and never updates.
 
     ``order`` names source columns that give the order of application; they are not written.
+    ``distinct_order`` says that it is one column without equal values, see :func:`keep_last`.
     """
     order = order or []
     if not keys:
@@ -68,7 +82,7 @@ def upsert(
     null_key = _any_null([F.col(k) for k in keys])
     # Rows with a NULL key match nothing: no shuffle for them, however many there are.
     anonymous = source.filter(null_key)
-    last = keep_last(source.filter(~null_key), keys, order)
+    last = keep_last(source.filter(~null_key), keys, order, distinct_order)
     # Both joins below use this one selection, so that the source is shuffled once.
     last = last.select(*[F.col(c).alias(f"_s_{c}") for c in written])
 

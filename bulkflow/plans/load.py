@@ -12,6 +12,7 @@ from bulkflow.operators.merge import upsert
 from bulkflow.plans import tables
 from bulkflow.plans.partitions import PartitionedTable
 from bulkflow.plans.publish import Snapshot
+from bulkflow.plans.versions import VersionedTable
 from bulkflow.session import delete_dir
 from bulkflow.sources.typed_csv import TypedCsv
 
@@ -35,8 +36,11 @@ def load_csv(spark: SparkSession, path: str, name: str | None = None, **options)
     return table
 
 
-def upsert_csv(spark: SparkSession, path: str, target: Snapshot, keys: list[str], **options) -> int:
-    """Merge a typed CSV file into a published snapshot; of repeated keys the last row wins."""
+def upsert_csv(spark: SparkSession, path: str, target: Snapshot | VersionedTable, keys: list[str], **options) -> int:
+    """Merge a typed CSV file into a published snapshot; of repeated keys the last row wins.
+
+    A snapshot is written anew; of a versioned table only the files with a matched key are.
+    """
     source = TypedCsv(spark, path, **options)
     names = [n for n, _ in source.columns]
     normalized = [normalize_name(k) for k in keys]
@@ -46,7 +50,13 @@ def upsert_csv(spark: SparkSession, path: str, target: Snapshot, keys: list[str]
     staged, rows = source.stage(row_number=True)
     try:
         if rows:
-            target.publish(upsert(target.read(), spark.read.parquet(staged), normalized, order=["_row"]))
+            feed = spark.read.parquet(staged)
+            if isinstance(target, VersionedTable):
+                if [normalize_name(k) for k in target.keys] != normalized:
+                    raise ValueError(f"the table is keyed by {target.keys}")
+                target.merge(feed, ["_row"], distinct_order=True)
+            else:
+                target.publish(upsert(target.read(), feed, normalized, ["_row"], distinct_order=True))
     finally:
         delete_dir(spark, staged)
     return rows
