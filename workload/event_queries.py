@@ -13,9 +13,10 @@ from bulkflow.functions import parse, times
 from bulkflow.operators import monitor, timeline
 from bulkflow.plans import tables
 from bulkflow.plans.publish import Snapshot
-from bulkflow.session import fresh_dir, fresh_name
+from bulkflow.session import fresh_dir, fresh_name, list_dirs, make_dir, rename
 from bulkflow.streaming import ingest
 from bulkflow.streaming import monitor as stream_monitor
+from bulkflow.streaming.eventtime import TICKS, EventTime, changes_against_first, closed_ticks, paired_events, peaks, peaks_so_far
 from workload.common import Registry, table, text_columns
 
 registry = Registry()
@@ -52,15 +53,24 @@ def _p90_sql(source: str, keys: str, value: str) -> str:
 
 
 _TICKS = """(SELECT *, date_trunc('second', ts) AS tick FROM events)"""
-_TICK_STATS = f"""SELECT tick, CAST(count(*) FILTER ({_GOOD}) AS BIGINT) AS success,
+_SOME_UNDATED = """(SELECT *, CASE WHEN event_type <> 'click' THEN date_trunc('second', ts) END AS tick FROM events)"""
+
+
+def _tick_stats(ticks: str) -> str:
+    return f"""SELECT t.tick, CAST(count(*) FILTER ({_GOOD}) AS BIGINT) AS success,
     CAST(count(*) FILTER (NOT ({_GOOD})) AS BIGINT) AS errors,
     CAST(count(*) FILTER ({_GOOD} AND event_type <> 'view') AS BIGINT) AS changed, any_value(p90) AS p90
-    FROM {_TICKS} JOIN {_p90_sql(_TICKS, 'tick', 'value')} USING (tick)"""
+    FROM {ticks} t JOIN {_p90_sql(ticks, 'tick', 'value')} p ON t.tick IS NOT DISTINCT FROM p.tick GROUP BY t.tick"""
+
+
+_TICK_STATS = _tick_stats(_TICKS)
 
 
-@query(f"{_TICK_STATS} GROUP BY tick")
+@query(_tick_stats(_SOME_UNDATED))
 def tumbling_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.tumbling_stats(_samples(spark, sf_dir))
+    """Ticks of all samples; clicks have no time and are a tick of their own."""
+    samples = _samples(spark, sf_dir)
+    return monitor.tumbling_stats(samples.withColumn("ts", F.when(F.col("value") != "click", F.col("ts"))))
 
 
 @query(f"SELECT l_returnflag, l_linestatus, p90 FROM {_p90_sql('lineitem', 'l_returnflag, l_linestatus', 'l_extendedprice')}")
@@ -122,14 +132,18 @@ def change_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH step AS (SELECT event_type, epoch_us(ts) AS instant, 1 AS s FROM events UNION ALL
-      SELECT event_type, epoch_us(ts) + CAST(round(value * 1000000) AS BIGINT), -1 FROM events),
-    net AS (SELECT event_type, instant, sum(s) AS s FROM step GROUP BY 1, 2),
-    run AS (SELECT event_type, sum(s) OVER (PARTITION BY event_type ORDER BY instant) AS n FROM net)
+    """WITH kept AS (SELECT event_type, CASE WHEN event_type <> 'signup' THEN ts END AS ts, CASE WHEN event_type <> 'click' THEN value ELSE 0 END AS value FROM events),
+    step AS (SELECT event_type, epoch_us(ts) AS instant, 1 AS s FROM kept WHERE value > 0 UNION ALL
+      SELECT event_type, epoch_us(ts) + CAST(round(value * 1000000) AS BIGINT), -1 FROM kept WHERE value > 0),
+    net AS (SELECT event_type, instant, sum(s) AS s FROM step WHERE instant IS NOT NULL GROUP BY 1, 2),
+    run AS (SELECT event_type, sum(s) OVER (PARTITION BY event_type ORDER BY instant) AS n FROM net UNION ALL SELECT event_type, 0 FROM kept)
     SELECT event_type AS value, CAST(max(n) AS BIGINT) AS max_in_flight FROM run GROUP BY 1"""
 )
 def max_concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.concurrency(_samples(spark, sf_dir), group=["value"])
+    """Peaks by kind of event; clicks take no time and signups have none, so both peak at 0."""
+    samples = _samples(spark, sf_dir)
+    ts = F.when(F.col("value") != "signup", F.col("ts"))
+    return monitor.concurrency(samples.withColumns({"ts": ts, "duration": F.when(F.col("value") != "click", F.col("duration")).otherwise(0.0)}), group=["value"])
 
 
 # -- timelines ---------------------------------------------------------------------------
@@ -215,7 +229,7 @@ def _sample_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(_SAMPLE_SCHEMA).parquet(folder)
 
 
-@query(f"{_TICK_STATS} GROUP BY tick")
+@query(_TICK_STATS)
 def stream_tumbling_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ticks of a stream that has read everything, the last one included."""
     out = fresh_dir(spark, "ticks")
@@ -232,3 +246,68 @@ def stream_change_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_dir(spark, "changes")
     stream_monitor.write_changes(_sample_stream(spark, sf_dir), fresh_dir(spark, "progress"), out)
     return spark.read.parquet(f"{out}/changes").select("sample_id", "value", "baseline")
+
+
+# -- streams by event time ---------------------------------------------------------------
+
+
+def _in_four_parts(spark: SparkSession, rows: DataFrame, handle, delay_seconds: float = 3600.0) -> EventTime:
+    """Rows arrive in four parts by time, half of them up to half an hour late; then the stream ends."""
+    folder, progress = fresh_dir(spark, "arrivals"), fresh_dir(spark, "progress")
+    events = EventTime(spark, fresh_dir(spark, "eventtime"), rows.schema, delay_seconds=delay_seconds)
+    late = F.when(F.pmod(F.xxhash64("ts"), F.lit(2)) == 0, 1800).otherwise(0)
+    arrival = times.micros(F.col("ts")) + late * 1_000_000
+    bounds = rows.agg(F.min(arrival).alias("low"), F.max(arrival).alias("high"))
+    quarter = F.floor((arrival - bounds.select("low").scalar()) * 4 / (bounds.select(F.col("high") - F.col("low")).scalar() + 1))
+    rows.withColumn("part", quarter).write.partitionBy("part").parquet(folder)
+    inbox = make_dir(spark, fresh_dir(spark, "inbox"))
+    for n, part in enumerate(list_dirs(spark, folder)):
+        rename(spark, part, f"{inbox}/{n}")
+        stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(inbox)
+        events.run(stream, progress, handle)
+    events.close(handle)
+    return events
+
+
+@query(_TICK_STATS)
+def stream_closed_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tick once, when no earlier sample is expected any more."""
+    return _in_four_parts(spark, _samples(spark, sf_dir), closed_ticks).result("ticks", TICKS)
+
+
+@query(
+    """WITH good AS (SELECT * FROM events WHERE event_type <> 'error'), first AS (SELECT user_id % 50 AS k, arg_min(event_type, (ts, event_id)) AS base
+    FROM good GROUP BY 1) SELECT event_id AS sample_id, k AS source, event_type AS value, base AS baseline
+    FROM good JOIN first ON k = user_id % 50 WHERE event_type <> base"""
+)
+def stream_changes_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of fifty sources that differ from their source's first good sample by event time."""
+    samples = _samples(spark, sf_dir).withColumn("source", F.pmod("worker", F.lit(50)).cast("bigint"))
+    found = _in_four_parts(spark, samples, changes_against_first(["source"], "sample_id"))
+    schema = samples.schema.add("baseline", "string")
+    return found.result("changes", schema).select("sample_id", "source", "value", "baseline")
+
+
+@query(
+    f"""SELECT flow, item, start, "end" FROM (SELECT flow, item, event_type, ts AS "end",
+    lag(event_type) OVER w AS prev, lag(ts) OVER w AS start FROM {_FLOWS} WHERE event_type IN ('START', 'END')
+    WINDOW w AS (PARTITION BY flow, item ORDER BY ts, event_id)) WHERE event_type = 'END' AND prev = 'START'"""
+)
+def stream_event_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """START/END pairs as they are closed; the state is one open START per flow and item."""
+    found = _in_four_parts(spark, _flows(spark, sf_dir), paired_events("event_id"))
+    return found.result("pairs", "flow string, item string, start timestamp_ntz, end timestamp_ntz")
+
+
+@query(
+    """WITH step AS (SELECT event_type, epoch_us(ts) AS instant, 1 AS s FROM events WHERE CAST(round(value * 1000000) AS BIGINT) > 0 UNION ALL
+      SELECT event_type, epoch_us(ts) + CAST(round(value * 1000000) AS BIGINT), -1 FROM events WHERE CAST(round(value * 1000000) AS BIGINT) > 0
+      UNION ALL SELECT event_type, epoch_us(ts), 0 FROM events),
+    net AS (SELECT event_type, instant, sum(s) AS s FROM step GROUP BY 1, 2),
+    run AS (SELECT event_type, sum(s) OVER (PARTITION BY event_type ORDER BY instant) AS n FROM net)
+    SELECT event_type AS value, CAST(max(n) AS BIGINT) AS max_in_flight FROM run GROUP BY 1"""
+)
+def stream_max_concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The peak of overlapping intervals; the state is the level, the peak and the ends to come."""
+    found = _in_four_parts(spark, _samples(spark, sf_dir), peaks("value"))
+    return peaks_so_far(found, "value").select(F.col("name").alias("value"), F.col("peak").alias("max_in_flight"))
