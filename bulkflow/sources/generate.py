@@ -24,9 +24,14 @@ PRODUCT_POSITIONS = {
 
 
 def bulk_data(spark: SparkSession, n: int, created_at: Column) -> DataFrame:
-    """Ids 1..n with derived texts; every tenth row is inactive; one stamp for all rows."""
+    """Rows with the ids 1..n."""
+    return bulk_data_for(spark.range(1, n + 1), created_at)
+
+
+def bulk_data_for(ids: DataFrame, created_at: Column) -> DataFrame:
+    """A row with derived texts for each ``id``; every tenth id is inactive; one stamp for all rows."""
     i = F.col("id")
-    return spark.range(1, n + 1).select(
+    return ids.select(
         i.alias("ID"),
         F.concat(F.lit("VAL_"), i).alias("DATA_VALUE"),
         F.concat(F.lit("Generated row #"), i).alias("DESCRIPTION"),
@@ -42,14 +47,20 @@ def constant_batch(keys: DataFrame, stamp: Column) -> DataFrame:
 
 def next_ids(table: DataFrame, id_column: str, n: int, committed_at: Column) -> DataFrame:
     """``n`` new rows whose ids go on after the largest id of ``table`` (1 when it is empty)."""
-    start = table.agg(F.coalesce(F.max(id_column), F.lit(0)) + 1).scalar()
+    return next_ids_for(table.sparkSession.range(1, n + 1), table, id_column, committed_at)
+
+
+def next_ids_for(numbers: DataFrame, table: DataFrame, id_column: str, committed_at: Column) -> DataFrame:
+    """A new row for each ``id`` of ``numbers``, which count on from the largest id of ``table`` (0 when it is empty)."""
+    start = table.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
+    total = numbers.agg(F.count(F.lit(1))).scalar()
     i = F.col("id")
     new_id = (start + i).cast("bigint")
-    return table.sparkSession.range(n).select(
+    return numbers.select(
         new_id.alias("ID"),
         F.concat(F.lit("PID-"), new_id).alias("PID"),
-        F.concat(F.lit("DATA_"), i + 1).alias("DATA_VALUE"),
-        F.concat(F.lit("Record "), i + 1, F.lit(f" of {n}")).alias("DESCRIPTION"),
+        F.concat(F.lit("DATA_"), i).alias("DATA_VALUE"),
+        F.concat(F.lit("Record "), i, F.lit(" of "), total).alias("DESCRIPTION"),
         F.lit("ACTIVE").alias("STATUS"),
         committed_at.alias("COMMITTED_AT"),
     )

@@ -1,4 +1,4 @@
-"""Reading CSV records whose number of fields may vary, and single-line field splitting."""
+"""Reading CSV records whose number of fields may vary."""
 
 from __future__ import annotations
 
@@ -29,25 +29,34 @@ def csv_options(sep: str = ",", trim: bool = False, multi_line: bool = False, he
     }
 
 
-def split_fields(line: Column, sep: str = ",", trim: bool = False) -> Column:
-    """Fields of one CSV line as an array of text; doubled quotes stand for one quote.
+#: Stands behind the last field of a record while it is read, so that missing fields and empty ones differ.
+_END = "\u0003end\u0003"
 
-    ``trim`` drops white space around fields, quoted ones included; the separator itself is
-    never white space.  A quoted field that is not closed goes on to the end of the line.
+
+def fields_of(record: Column, width: int, sep: str = ",") -> Column:
+    """Fields of one CSV record as an array of text, read by Spark's own CSV reader.
+
+    ``width`` is the most fields that a record can have, see :func:`width_of`; records may have fewer.
     """
-    s = re.escape(sep)
-    blanks = " \t".replace(sep, "")
-    gap = f"[{blanks}]*+" if trim else ""
-    pattern = rf'{s}{gap}("[^"]*+(?:""[^"]*+)*+(?:"|$)|[^{s}]*)'
-    raw = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(pattern), F.lit(1))
+    names = [f"c{i}" for i in range(width + 1)]
+    options = {"sep": sep, "quote": '"', "escape": '"', "emptyValue": "", "maxColumns": str(width + 2), "maxCharsPerColumn": "-1"}
+    read = F.from_csv(F.concat(record, F.lit(sep + _END)), ", ".join(f"{n} string" for n in names), options)
+
+    def cut(r: Column) -> Column:
+        cells = F.array(*[F.coalesce(r[n], F.lit("")) for n in names])
+        return F.slice(cells, F.lit(1), F.array_position(cells, _END).cast("int") - 1)
 
-    def unquoted(x: Column) -> Column:
-        quotes = F.length(x) - F.length(F.replace(x, F.lit('"'), F.lit("")))
-        closing = F.when(quotes % 2 == 0, 1).otherwise(0)
-        inner = F.replace(F.substring(x, F.lit(2), F.length(x) - 1 - closing), F.lit('""'), F.lit('"'))
-        return F.when(x.startswith('"'), inner).otherwise(F.trim(x) if trim else x)
+    # Through a lambda, so that a record is read once however many of its fields are used.
+    return F.element_at(F.transform(F.array(read), cut), 1)
 
-    return F.transform(raw, unquoted)
+
+def width_of(records: DataFrame, column: str, sep: str = ",") -> int:
+    """An upper bound of the number of fields of any record, by one aggregate: separators count, quoted or not."""
+    text = F.col(column)
+    seps = (F.length(text) - F.length(F.replace(text, F.lit(sep), F.lit("")))) / len(sep)
+    # A count beside it: Spark does not read a file for its unparsed records alone.
+    others = [F.count(F.col(c)) for c in records.columns if c != column][:1]
+    return int(records.agg(F.coalesce(F.max(seps), F.lit(0)), *others).first()[0]) + 1
 
 
 def field_count(fields: Column) -> Column:
@@ -66,19 +75,26 @@ def raw_records(
 ) -> tuple[DataFrame, Column]:
     """A scan with one row per record, and the expression that gives the record's fields.
 
-    Empty lines are no records.  Records that hold line breaks inside quotes need
-    ``multi_line`` and the usual ``width`` of a record; such files cannot be split over tasks.
+    Empty lines are no records.  The most fields of a record are found by an aggregate, unless ``width``
+    says so.  Records that hold line breaks inside quotes need ``multi_line`` and the usual ``width`` of a
+    record; such files cannot be split over tasks.
     """
     if not multi_line:
-        lines = spark.read.option("recursiveFileLookup", True).text(path)
-        return lines.filter(F.col("value") != ""), split_fields(F.col("value"), sep)
+        lines = lines_of(spark, path)
+        return lines, fields_of(F.col("value"), width or width_of(lines, "value", sep), sep)
     if not width:
         raise ValueError("multi_line records need a width")
     names = [f"c{i}" for i in range(width)]
     schema = ", ".join(f"{n} string" for n in [*names, BAD])
     scan = spark.read.options(**csv_options(sep, multi_line=True)).schema(schema).csv(path)
     whole = F.array(*[F.coalesce(F.col(n), F.lit("")) for n in names])
-    return scan, F.when(F.col(BAD).isNull(), whole).otherwise(split_fields(F.col(BAD), sep))
+    most = max(width, width_of(scan, BAD, sep))
+    return scan, F.when(F.col(BAD).isNull(), whole).otherwise(fields_of(F.col(BAD), most, sep))
+
+
+def lines_of(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that are not empty, as ``value``."""
+    return spark.read.option("recursiveFileLookup", True).text(path).filter(F.col("value") != "")
 
 
 def read_records(
@@ -105,18 +121,19 @@ def leading_records(spark: SparkSession, path: str, n: int, sep: str = ",", trim
 
     ``trim`` trims the fields and skips records whose fields are all blank.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
-    lines = lines.filter((F.col("_metadata.file_path") == first_file(spark, path)) & (F.col("value") != ""))
-    records = lines.select(
-        split_fields(F.col("value"), sep, trim).alias("fields"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_mid"),
-    )
+    lines = lines_of(spark, path).filter(F.col("_metadata.file_path") == first_file(spark, path))
     if trim:
-        records = records.filter(F.exists("fields", lambda x: F.trim(x) != ""))
+        lines = lines.filter(F.regexp_replace("value", f'[\\s"{re.escape(sep)}]', "") != "")
+    tagged = lines.select("value", F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_mid"))
     # The first split lies in one partition, in file order, so the scan stops after n records.
-    found = records.filter(F.col("_block") == 0).limit(n).collect()
+    found = tagged.filter(F.col("_block") == 0).limit(n).collect()
     if len(found) < n:
         # The first split holds fewer records than that: the splits, or the file, are tiny.
-        found = records.orderBy("_block", "_mid").limit(n).collect()
-    return [list(r.fields) for r in found]
+        found = tagged.orderBy("_block", "_mid").limit(n).collect()
+    if not found:
+        return []
+    width = max(r.value.count(sep) for r in found) + 1
+    heads = spark.createDataFrame([(i, r.value.strip() if trim else r.value) for i, r in enumerate(found)], "i int, value string")
+    record = F.regexp_replace("value", rf'({re.escape(sep)})[ \t]+"', '$1"') if trim else F.col("value")
+    rows = heads.select("i", fields_of(record, width, sep).alias("fields")).collect()
+    return [[f.strip() if trim else f for f in r.fields] for r in sorted(rows, key=lambda r: r.i)]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bulkflow.sources.position import chunk_of, with_row_index
-from bulkflow.sources.records import raw_records
+from bulkflow.sources.records import lines_of, raw_records
 
 
 def read_sections(
@@ -36,6 +36,14 @@ def body(sections: DataFrame) -> DataFrame:
     return sections.filter(F.col("role") == "body").select("body_index", "fields")
 
 
+def body_count(spark: SparkSession, path: str, has_header: bool = False, has_tail: bool = False) -> DataFrame:
+    """Number of body records of a file, by one count over its lines."""
+    n = F.count(F.lit(1))
+    header = F.when(n > 0, 1).otherwise(0) if has_header else F.lit(0)
+    tail = F.when(n > header, 1).otherwise(0) if has_tail else F.lit(0)
+    return lines_of(spark, path).agg((n - header - tail).cast("bigint").alias("body_rows"))
+
+
 def count_body(sections: DataFrame) -> DataFrame:
     return sections.agg(F.count(F.when(F.col("role") == "body", 1)).alias("body_rows"))
 

@@ -8,7 +8,7 @@ from bulkflow.functions import parse
 from bulkflow.sources import generate, sections
 from bulkflow.sources.mapped_csv import MappedCsv, Mapping
 from bulkflow.sources.position import with_row_index
-from bulkflow.sources.records import field_count, field_value, read_records, split_fields
+from bulkflow.sources.records import field_count, field_value, fields_of, leading_records, read_records, width_of
 from bulkflow.sources.typed_csv import TypedCsv
 
 PEOPLE = "ID, FIRST_NAME, AGE, SALARY\nVARCHAR2, VARCHAR2, NUMBER, NUMBER\n" "1, ALICE, 30, 90000\n2, BOB, 28, 70000.5\n"
@@ -92,13 +92,14 @@ def test_row_index_over_many_splits_and_files(spark, tmp_path, small_splits):
     assert got == [(i, line, 3000) for i, line in enumerate(lines)]
 
 
-def test_split_fields(spark):
+def test_fields_of(spark):
     cells = ["a,b", '"x,1",y', '"say ""hi""",', "", "a,,b", ",", '"",z', '"é,日本",😀']
     expected = [["a", "b"], ["x,1", "y"], ['say "hi"', ""], [""], ["a", "", "b"], ["", ""], ["", "z"], ["é,日本", "😀"]]
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string")
-    assert [r[0] for r in df.orderBy("i").select(split_fields(F.col("c"))).collect()] == expected
+    assert width_of(df, "c") == 3 and width_of(df.filter("i < 0"), "c") == 1
+    assert [r[0] for r in df.orderBy("i").select(fields_of(F.col("c"), width_of(df, "c"))).collect()] == expected
     long = "x" * 200_000 + '""' * 5000
-    got = spark.createDataFrame([(f'"{long}",b',)], "c string").select(split_fields(F.col("c"))).first()[0]
+    got = spark.createDataFrame([(f'"{long}",b',)], "c string").select(fields_of(F.col("c"), 2)).first()[0]
     assert got == [long.replace('""', '"'), "b"]
 
 
@@ -251,3 +252,39 @@ def test_planning_wide_files_takes_linear_time(spark, csv_file):
 def test_a_repeated_names_row_is_data(spark, csv_file):
     t = TypedCsv(spark, csv_file("A,B\nCLOB,CLOB\nA,B\nx,y\nCLOB,CLOB\n"))
     assert rows_of(t.data(), "A") == [("A", "B"), ("CLOB", "CLOB"), ("x", "y")]
+
+
+def test_records_of_any_length(spark, tmp_path, small_splits):
+    """Ragged records, quotes and doubled quotes, over many splits, against Python's reader."""
+    import csv
+    import io
+    import random
+
+    r = random.Random(3)
+    made = [[r.choice(["", "a", "b,c", 'say "x"', " y ", "é;日"]) for _ in range(r.randint(1, 9))] for _ in range(400)]
+    made = [row for row in made if row != [""]]
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows(made)
+    path = tmp_path / "ragged.csv"
+    path.write_text(out.getvalue(), encoding="utf-8")
+    scan = with_row_index(read_records(spark, str(path)), "i")
+    assert scan.rdd.getNumPartitions() > 4
+    assert [x.fields for x in scan.orderBy("i").collect()] == made
+    assert leading_records(spark, str(path), 3) == made[:3]
+
+
+def test_body_count(spark, csv_file):
+    for text, flags, n in (("h\na\nb\nt\n", (True, True), 2), ("h\n", (True, True), 0), ("h\n", (False, True), 0), ("\n", (True, True), 0), ("a\nb\n", (False, False), 2)):
+        assert sections.body_count(spark, csv_file(text), *flags).first()[0] == n
+
+
+def test_the_head_is_found_in_file_order(spark, tmp_path):
+    """Folders whose order as paths is another one than as URLs."""
+    (tmp_path / "a b.csv").write_text("K,V\nNUMBER,VARCHAR2\n")
+    (tmp_path / "a!b.csv").write_text("1,x\n2,y\n3,z\n")
+    (tmp_path / "a+c.csv").write_text("4,w\n")
+    got = TypedCsv(spark, str(tmp_path)).data(row_number=True)
+    assert rows_of(got, "_row") == [(3, 1, "x"), (4, 2, "y"), (5, 3, "z"), (6, 4, "w")]
+    (tmp_path / "a a.csv").write_text("9,first\n8,second\n")
+    with pytest.raises(Exception):
+        TypedCsv(spark, str(tmp_path)).data(row_number=True).collect()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bulkflow.session import fresh_dir
 
@@ -57,5 +58,13 @@ def typed_csv(df: DataFrame, types: list[str], label: str) -> str:
     return sectioned_csv(df, label, [",".join(df.columns), ",".join(types)])
 
 
+def ragged_csv(spark: SparkSession, sf_dir: str) -> str:
+    """A CSV file with a record per page: its id, then as many fields as its address has parts, some of them quoted."""
+    path = fresh_dir(spark, "pages")
+    quoted = F.transform(F.split("url", "/"), lambda x: F.when(x.rlike('[",]|^[a-m]'), F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(x))
+    table(spark, sf_dir, "pages").select(F.concat_ws(",", F.col("page_id").cast("string"), F.array_join(quoted, ","))).write.text(path)
+    return path
+
+
 def lower(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])

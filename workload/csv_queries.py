@@ -13,9 +13,9 @@ from bulkflow.sources import sections
 from bulkflow.sources.generate import scatter
 from bulkflow.sources.mapped_csv import MappedCsv, Mapping
 from bulkflow.sources.position import with_row_index
-from bulkflow.sources.records import field_count, field_value, read_records, split_fields
+from bulkflow.sources.records import field_count, field_value, read_records
 from bulkflow.sources.typed_csv import TypedCsv
-from workload.common import Registry, lower, sectioned_csv, table, text_columns, typed_csv
+from workload.common import Registry, lower, ragged_csv, sectioned_csv, table, text_columns, typed_csv
 
 registry = Registry()
 query = registry.query
@@ -133,12 +133,15 @@ def struct_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.map_columns(orders, ["id", "amount", "state"])
 
 
-def _event_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_file(spark: SparkSession, sf_dir: str) -> str:
     """Events in id order as a file with a header record and a tail record with the row count."""
     events = table(spark, sf_dir, "events")
     body = events.select("event_id", "user_id", "event_type").orderBy("event_id")
-    path = sectioned_csv(body, "events", ["event_id,user_id,event_type"], [f"T,{events.count()}"])
-    return sections.read_sections(spark, path, has_header=True, has_tail=True)
+    return sectioned_csv(body, "events", ["event_id,user_id,event_type"], [f"T,{events.count()}"])
+
+
+def _event_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sections.read_sections(spark, _event_file(spark, sf_dir), has_header=True, has_tail=True)
 
 
 _POSITIONS = "SELECT event_id, user_id, event_type, row_number() OVER (ORDER BY event_id) AS rn FROM events"
@@ -160,7 +163,7 @@ def csv_header_body_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(*) AS body_rows FROM events")
 def csv_body_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sections.count_body(_event_sections(spark, sf_dir))
+    return sections.body_count(spark, _event_file(spark, sf_dir), has_header=True, has_tail=True)
 
 
 @query(
@@ -189,10 +192,11 @@ def csv_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     coalesce(string_split(url, '/')[5], '') AS fifth FROM pages"""
 )
 def csv_line_access(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = split_fields(F.col("url"), "/")
-    return table(spark, sf_dir, "pages").select(
-        "page_id", field_count(fields).cast("bigint").alias("n_fields"), field_value(fields, 2).alias("host"),
-        field_value(fields, 4).alias("fifth"),
+    """The parts of each page's address as a CSV record of its own length."""
+    fields = F.col("fields")
+    return read_records(spark, ragged_csv(spark, sf_dir)).select(
+        field_value(fields, 0).cast("bigint").alias("page_id"), (field_count(fields) - 1).cast("bigint").alias("n_fields"),
+        field_value(fields, 3).alias("host"), field_value(fields, 5).alias("fifth"),
     )
 
 

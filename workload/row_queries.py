@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from bulkflow.functions import names, parse, times
 from bulkflow.operators import rows
-from bulkflow.sources.records import split_fields
-from workload.common import Registry, table
+from bulkflow.sources.records import read_records
+from workload.common import Registry, ragged_csv, table
 
 registry = Registry()
 query = registry.query
@@ -36,10 +36,10 @@ def trim_skip_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
     nullif(string_split(url, '/')[5], '') AS page FROM pages"""
 )
 def ragged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = split_fields(F.col("url"), "/")
-    return table(spark, sf_dir, "pages").select(
-        "page_id", *rows.align(fields, ["scheme", "gap", "host", "section", "page"])
-    )
+    """Records of any length, read from a file."""
+    records = read_records(spark, ragged_csv(spark, sf_dir))
+    found = records.select(*rows.align(F.col("fields"), ["page_id", "scheme", "gap", "host", "section", "page"]))
+    return found.withColumn("page_id", F.col("page_id").cast("bigint"))
 
 
 @query(
@@ -47,8 +47,9 @@ def ragged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     THEN 'expected 5 values, got ' || len(string_split(url, '/')) END AS problem FROM pages"""
 )
 def strict_field_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = split_fields(F.col("url"), "/")
-    return table(spark, sf_dir, "pages").select("page_id", rows.width_error(fields, 5).alias("problem"))
+    fields = F.col("fields")
+    parts = F.slice(fields, F.lit(2), F.size(fields))  # what stands behind the id
+    return read_records(spark, ragged_csv(spark, sf_dir)).select(F.get(fields, F.lit(0)).cast("bigint").alias("page_id"), rows.width_error(parts, 5).alias("problem"))
 
 
 def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:

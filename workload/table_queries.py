@@ -376,11 +376,12 @@ def rolling_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """SELECT i AS "ID", 'VAL_' || i AS "DATA_VALUE", 'Generated row #' || i AS "DESCRIPTION",
     CASE WHEN i % 10 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS "STATUS", latest AS "CREATED_AT"
-    FROM (SELECT row_number() OVER () AS i FROM orders), (SELECT max(o_orderdate) AS latest FROM orders)"""
+    FROM (SELECT o_orderkey AS i FROM orders), (SELECT max(o_orderdate) AS latest FROM orders)"""
 )
 def generate_bulk_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for every order's key."""
     orders = table(spark, sf_dir, "orders")
-    return generate.bulk_data(spark, orders.count(), orders.agg(F.max("o_orderdate")).scalar())
+    return generate.bulk_data_for(orders.select(F.col("o_orderkey").alias("id")), orders.agg(F.max("o_orderdate")).scalar())
 
 
 def _digits(start: int, length: int) -> str:
@@ -421,9 +422,10 @@ def generate_constant_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """SELECT m + i AS "ID", 'PID-' || (m + i) AS "PID", 'DATA_' || i AS "DATA_VALUE", 'Record ' || i || ' of ' || n AS "DESCRIPTION",
     'ACTIVE' AS "STATUS", TIMESTAMP '2024-01-05 10:00:00' AS "COMMITTED_AT"
-    FROM (SELECT row_number() OVER () AS i FROM customer), (SELECT max(o_orderkey) AS m FROM orders), (SELECT count(*) AS n FROM customer)"""
+    FROM (SELECT c_custkey AS i FROM customer), (SELECT max(o_orderkey) AS m FROM orders), (SELECT count(*) AS n FROM customer)"""
 )
 def append_next_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "customer").count()
+    """A row for every customer's key, with ids that go on after the last order."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
     stamp = F.lit("2024-01-05 10:00:00").cast("timestamp_ntz")
-    return generate.next_ids(table(spark, sf_dir, "orders"), "o_orderkey", n, stamp)
+    return generate.next_ids_for(customers, table(spark, sf_dir, "orders"), "o_orderkey", stamp)
