@@ -8,6 +8,7 @@ from bulkflow.functions import parse
 from bulkflow.sources import generate, sections
 from bulkflow.sources.mapped_csv import MappedCsv, Mapping
 from bulkflow.sources.position import with_row_index
+from bulkflow.sources.quoted import quoted_records, read_quoted, store_records, stored_chunk
 from bulkflow.sources.records import field_count, field_value, fields_of, leading_records, read_records, width_of
 from bulkflow.sources.typed_csv import TypedCsv
 
@@ -288,3 +289,46 @@ def test_the_head_is_found_in_file_order(spark, tmp_path):
     (tmp_path / "a a.csv").write_text("9,first\n8,second\n")
     with pytest.raises(Exception):
         TypedCsv(spark, str(tmp_path)).data(row_number=True).collect()
+
+
+def test_quoted_line_breaks_in_many_splits(spark, tmp_path, small_splits):
+    """Against Python's reader: breaks, quotes and commas in quotes, records longer than a split, several files."""
+    import csv
+    import io
+    import random
+
+    r = random.Random(8)
+    cells = ["", "a", "b,c", 'say "x"', "two\nlines", "\n", "x" * 700 + "\n" + "y" * 700, "\n\n\n", 'end"\n"', "é\n日"]
+    expected = []
+    for name, n in (("a b.csv", 150), ("a!b.csv", 60), ("a+b.csv", 0), ("b.csv", 1)):
+        rows = [[r.choice(cells) for _ in range(r.randint(1, 6))] for _ in range(n)]
+        rows = [row if row not in ([""], ["\n"]) else ["z"] for row in rows]
+        out = io.StringIO()
+        csv.writer(out, lineterminator="\n").writerows(rows)
+        (tmp_path / name).write_text(out.getvalue() + "\n" * (n % 3), encoding="utf-8")
+        expected += rows
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+    got = read_quoted(spark, str(tmp_path))
+    assert [(x.row_index, x.fields) for x in got.orderBy("row_index").collect()] == list(enumerate(expected))
+
+
+def test_a_quote_that_stays_open(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('1,x\n2,"open\n3,y\n')
+    (tmp_path / "b.csv").write_text("4,z\n")
+    assert rows_of(quoted_records(spark, str(tmp_path)), "row_index") == [(0, "1,x"), (1, '2,"open\n3,y'), (2, "4,z")]
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "e.csv").write_text("")
+    assert quoted_records(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_a_stored_chunk_opens_few_files(spark, tmp_path):
+    records = spark.range(10_000).select(F.col("id").alias("row_index"), F.array(F.col("id").cast("string")).alias("fields")).repartition(7)
+    path = str(tmp_path / "stored")
+    store_records(records, path, rows_per_file=100)
+    chunk = stored_chunk(spark, path, 37, 100)
+    assert [x.row_index for x in chunk.orderBy("row_index").collect()] == list(range(3700, 3800))
+    assert chunk.select("_metadata.file_path").distinct().count() <= 2 and len(spark.read.parquet(path).inputFiles()) >= 100
+    plan = chunk._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(row_index,3700)" in plan and "LessThanOrEqual(row_index,3799)" in plan
+    assert stored_chunk(spark, path, 0, 0).count() == 10_000 and stored_chunk(spark, path, 1, 0).count() == 0
+    assert stored_chunk(spark, path, 200, 100).count() == 0

@@ -13,6 +13,7 @@ from bulkflow.sources import sections
 from bulkflow.sources.generate import scatter
 from bulkflow.sources.mapped_csv import MappedCsv, Mapping
 from bulkflow.sources.position import with_row_index
+from bulkflow.sources.quoted import read_quoted, store_records, stored_chunk
 from bulkflow.sources.records import field_count, field_value, read_records
 from bulkflow.sources.typed_csv import TypedCsv
 from workload.common import Registry, lower, ragged_csv, sectioned_csv, table, text_columns, typed_csv
@@ -239,3 +240,28 @@ def csv_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.write_csv(log, path)
     schema = "ts string, worker int, value string, changed boolean"
     return spark.read.option("header", True).schema(schema).csv(path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def _texts_with_breaks(spark: SparkSession, sf_dir: str) -> str:
+    """Documents as a CSV file whose texts hold line breaks, quotes and commas."""
+    path = fresh_dir(spark, "texts")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string"), F.replace("text", F.lit("\r"), F.lit(" ")).alias("text"), "lang")
+    docs.write.options(escape='"', quoteAll=True).csv(path)
+    return path
+
+
+@query("SELECT doc_id, md5(replace(text, chr(13), ' ')) AS digest, lang FROM documents")
+def quoted_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that go over many lines, read by splits."""
+    fields = F.col("fields")
+    return read_quoted(spark, _texts_with_breaks(spark, sf_dir)).select(
+        field_value(fields, 0).cast("bigint").alias("doc_id"), F.md5(field_value(fields, 1)).alias("digest"), field_value(fields, 2).alias("lang")
+    )
+
+
+@query(f"SELECT rn - 1 AS row_index, event_id FROM ({_POSITIONS}) WHERE (rn - 1) // 300 = 2")
+def stored_chunk_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third chunk of a stored file, without the rest of it."""
+    path = fresh_dir(spark, "stored")
+    store_records(_numbered_events(spark, sf_dir), path)
+    return stored_chunk(spark, path, 2, 300).select("row_index", field_value(F.col("fields"), 0).cast("bigint").alias("event_id"))
