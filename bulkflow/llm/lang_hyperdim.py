@@ -10,10 +10,12 @@ its count vector, as products of random vectors are orthogonal but for noise of
 
 Anything but a letter is one boundary sign; only triples around a letter count.  Training sums are
 vectors per language, added up in partitions, so what reaches the driver does not grow with the
-documents.
+documents; more than ``MOST_LANGUAGES`` languages are refused before any sum is made.
 
 Defined results: a null or empty text, or one without letters, is ``und`` with score 0; so is every
-text when there is nothing to learn from.  Equal cosines go to the first language by name.
+text when there is nothing to learn from.  Equal cosines go to the first language by name.  Texts of any
+length are counted whole, and equal texts get equal results.  An empty table has no rows.  Only the id,
+the text and the language are looked at, so the names of other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from bulkflow.llm.common import held_out, ship, text_slices
 DIMENSIONS, SHARPNESS, REMEMBERED, CHARS_AT_ONCE = 2048, 20.0, 500_000, 1 << 19
 #: Parts in which training sums are added before they reach the driver.
 SUM_PARTS = 16
+#: The bound of the languages: 16 kB each, times the parts, reach the driver.
+MOST_LANGUAGES = 1024
 UNKNOWN = "und"
 _BITS = np.int64(21)
 
@@ -103,6 +107,9 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     train = docs.select(docs[text_col].alias("text"), docs[lang_col].alias("lang"), docs[id_col].alias("doc_id"))
     train = train.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
 
+    if train.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
+
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         weights: dict[str, dict[int, float]] = {}

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from llm_helpers import by_row
 
 from bulkflow.llm import lang_hyperdim as lh
@@ -26,6 +27,14 @@ def test_products_are_those_of_the_bundles():
         assert abs(np.linalg.norm(bundle) / np.sqrt((count[own] ** 2).sum() * lh.DIMENSIONS) - 1) < 0.2
 
 
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    docs = spark.createDataFrame([(n, "some text", f"l{n % 7}") for n in range(60)], "doc_id long, text string, lang string")
+    assert len(lh.learn(docs).languages) == 7
+    monkeypatch.setattr(lh, "MOST_LANGUAGES", 6)
+    with pytest.raises(ValueError, match="more than 6"):
+        lh.learn(docs)
+
+
 def test_held_out_accuracy(spark):
     found = QUERIES["op7_hyperdim_lang"](spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
