@@ -12,7 +12,9 @@ the JVM, in one shuffle of counters.
 
 Defined results: a null text is an empty one.  Texts without words fail the base rules; texts
 without n-grams have score 0.  Without trusted rows every score is 0, so the base rules decide.
-Rows with a null id are scored and counted, but never trusted.
+Rows with a null id are scored and counted, but never trusted.  Texts of any length are tokenised whole,
+and equal texts get equal scores.  An empty table has no rows.  Only the id and the text are looked at,
+so the names of other columns cannot clash.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ All labelled rows of the training fold are used: three of its four parts (by has
 the fourth for the calibration, or all for both when a part has no rows.
 
 Defined results: a null text is an empty one and is scored like any other.  Without labelled rows
-every score is 0.5.  Rows with a null id or label are not learnt from.
+every score is 0.5.  Rows with a null id or label are not learnt from.  Texts of any length are measured
+whole, and equal texts get equal scores.  An empty table has no rows.  Columns that are not asked for
+are left behind before anything else, so their names cannot clash.
 """
 
 from __future__ import annotations

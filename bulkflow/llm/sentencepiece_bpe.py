@@ -12,7 +12,9 @@ behind another character (checked when the vocabulary is read).  Then words are
 one and a bounded memory keeps frequent ones.
 
 Defined results: a null text is an empty one, and an empty text has no ids and decodes to an
-empty text.  Repeated rows get equal results.  Control pieces in a text are ordinary characters.
+empty text.  Texts of any length are encoded whole.  Repeated rows get equal results.  Control pieces in
+a text are ordinary characters.  An empty table has no rows.  Columns that are not asked for are left
+behind before anything else, so their names cannot clash.
 """
 
 from __future__ import annotations

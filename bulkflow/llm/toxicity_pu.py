@@ -14,7 +14,9 @@ texts.  Only the fit uses a bounded sample of labelled rows (``POSITIVES``, ``UN
 hash of the id); equal texts count once in it.  The prior comes from all rows of the training fold.
 
 Defined results: a null text is an empty one and is scored like any other.  Without any confirmed
-toxic row to learn from, every score is 0.  Rows with a null id or label are not learnt from.
+toxic row to learn from, every score is 0.  Rows with a null id or label are not learnt from.  Texts of
+any length are scored whole, and equal texts get equal scores.  An empty table has no rows.  Only the id,
+the text and the mark are looked at, so the names of other columns cannot clash.
 """
 
 from __future__ import annotations
