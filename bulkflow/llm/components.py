@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bulkflow.session import scratch_root
+from bulkflow.session import fresh_dir, scratch_root
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -19,6 +19,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again.
+
+    Unlike a checkpoint it is known by its real size afterwards.  A checkpoint keeps the estimate of the
+    plan before it, and that of a join is a product: over a dozen joins of joins it has millions of digits.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """For ``edges`` (a, b): one row (node, root) per node, with the smallest node of its component.
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bulkflow.llm.components import durable
+from bulkflow.llm.components import written
 
 #: Bits of a row number inside a partition, as Spark's increasing ids have them.
 ROW_BITS = 33
@@ -63,7 +63,7 @@ def positions(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     Materialises the rows in range partitions; the order should be total up to equal rows.
     """
     ranged = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
-    ranged = durable(ranged.withColumn("at", F.monotonically_increasing_id()))
+    ranged = written(ranged.withColumn("at", F.monotonically_increasing_id()), "positions")
     here = F.shiftright("at", ROW_BITS).alias("part")
     states = ranged.groupBy(here, *group).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("rows"))
     inside = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))  # one row per partition
@@ -124,9 +124,9 @@ def grow(nodes: DataFrame, arity: int) -> Tree:
         tops = done if tops is None else tops.union(done)
         if size == 1:
             break
-        levels.append(durable(with_siblings(nodes, arity)))
+        levels.append(written(with_siblings(nodes, arity), "level"))
         nodes, size = parents(levels[-1], arity), -(-size // arity)
-    return Tree(levels, None if tops is None else durable(tops))
+    return Tree(levels, None if tops is None else written(tops, "tops"))
 
 
 def paths(tree: Tree, tops: DataFrame, arity: int, keep: list[str]) -> DataFrame:
@@ -142,7 +142,8 @@ def paths(tree: Tree, tops: DataFrame, arity: int, keep: list[str]) -> DataFrame
             columns = [] if at else keep
             found = here.select("g", "i", *columns, "subroot", F.concat(own, "above").alias("path"))
         if at:
-            found = roots if found is None else found.union(roots)
+            # Written level by level: one join a job keeps plans small however tall the tree is.
+            found = written(roots if found is None else found.union(roots), "paths")
     return found
 
 
@@ -155,14 +156,14 @@ def manifest(docs: DataFrame, values: Sequence[str], group_col: str, id_col: str
         docs[group_col].alias("group"), docs[id_col].alias("id"), *(c.alias(f"x_{name}") for name, c in extra.items()), leaf_digest([docs[c] for c in values]).alias("h")
     )
     keep = ["group", "id", *(f"x_{name}" for name in extra)]
-    nodes = durable(positions(durable(leaves), ["group"], ["id", "h"]))
+    nodes = written(positions(written(leaves, "leaves"), ["group"], ["id", "h"]), "nodes")
     tree = grow(nodes, arity)
     given = [F.col(f"x_{name}").alias(name) for name in extra]
     if tree.tops is None:
         nothing = nodes.select("group", "id", *given, F.col("h").alias("leaf"), F.col("h").alias("subroot"), F.array().cast(PATH).alias("path"))
         return Manifest(None, nothing)
     ranked = positions(tree.tops.select(F.col("g").alias("of"), "h", F.col("level").alias("height")), [], ["of"])
-    subroots = durable(ranked.select(F.lit(0).cast("long").alias("g"), "i", "n", "h", "of", "height"))
+    subroots = written(ranked.select(F.lit(0).cast("long").alias("g"), "i", "n", "h", "of", "height"), "subroots")
     upper = grow(subroots, arity)
     root = upper.tops.first()["h"]
     ends = upper.tops.select("g", "level", F.col("h").alias("subroot"), F.array().cast(PATH).alias("path"))
@@ -170,7 +171,7 @@ def manifest(docs: DataFrame, values: Sequence[str], group_col: str, id_col: str
         ways = paths(upper, ends, arity, ["of", "height", "h"]).select("of", "height", "h", "path")
     else:
         ways = subroots.select("of", "height", "h", F.array().cast(PATH).alias("path"))
-    tops = durable(ways.select(F.col("of").alias("g"), F.col("height").alias("level"), F.col("h").alias("subroot"), "path"))
+    tops = written(ways.select(F.col("of").alias("g"), F.col("height").alias("level"), F.col("h").alias("subroot"), "path"), "subroot-paths")
     lone = nodes.where("n = 1").join(tops, "g").select(*keep, F.col("h").alias("leaf"), "subroot", "path")
     if not tree.levels:
         found = lone

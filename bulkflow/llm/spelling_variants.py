@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bulkflow.llm.common import ids_and_texts, ship
-from bulkflow.llm.components import durable
+from bulkflow.llm.components import durable, written
 
 # The letters of a run besides A-Z, which become a-z.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -282,7 +282,7 @@ def _roots(steps: DataFrame) -> DataFrame:
     now = durable(steps)
     while True:
         on = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        after = durable(now.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
+        after = written(now.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         now = after.select("word", "root")
         if after.where("moved").isEmpty():
             return now
