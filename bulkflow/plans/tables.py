@@ -177,9 +177,10 @@ def append(df: DataFrame, table: str) -> int:
 def with_new_keys(rows: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
     """``rows``, refused in the plan that writes them if a key occurs twice in them or in ``existing`` already.
 
-    Only key columns are read for it, and the key groups are counted with map-side combining.
+    Only key columns are read for it, and the key groups are counted with map-side combining.  A key
+    with a null is no key.
     """
-    counted = rows.select(*key).groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    counted = rows.select(*key).dropna().groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     spelled = F.concat_ws(", ", *(F.col(k).cast("string") for k in key))
     twice = counted.filter(F.col("_n") > 1).select(F.concat(F.lit("key "), spelled, F.lit(" occurs more than once")).alias("why"))
     there = counted.join(existing.select(*key), key, "left_semi").select(F.concat(F.lit("key "), spelled, F.lit(" is in the table already")).alias("why"))

@@ -200,11 +200,17 @@ def create_or_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     tables.append(customers, name)
-    for broken in (customers.withColumn("c_custkey", F.lit(None).cast("bigint")), customers.withColumn("c_name", F.repeat("c_name", 20))):
+    other_keys = customers.withColumn("c_custkey", -1 - F.col("c_custkey"))
+    for broken, why in (
+        (customers.withColumn("c_custkey", F.lit(None).cast("bigint")), "must not be null"),
+        (other_keys.withColumn("c_name", F.repeat("c_name", 20)), "at most 100"),
+        (other_keys.union(customers.limit(1)), "is in the table already"),
+        (other_keys.union(other_keys.limit(1)), "occurs more than once"),
+    ):
         try:
             tables.append(broken, name)
         except Exception as e:
-            if "must not be null" not in str(e) and "at most 100" not in str(e):
+            if why not in str(e):
                 raise
         else:
             raise AssertionError("the append should have been refused")
