@@ -50,6 +50,7 @@ def identifier_errors(c: Column) -> Column:
 
 def normalize_name(name: str) -> str:
     """The loose rule for one header cell."""
+    # Fixed value: what a name may hold; all else becomes an underscore.
     cleaned = re.sub(r"[^A-Za-z0-9_]", "_", name.strip(WHITE_SPACE)).upper()
     if cleaned and not cleaned[0].isalpha():
         cleaned = "X" + cleaned
@@ -58,6 +59,7 @@ def normalize_name(name: str) -> str:
 
 def strict_name(name: str) -> str:
     """The strict rule for one name given in code; returns it in upper case."""
+    # Fixed value: what a legal name looks like.
     if not re.fullmatch(r"[A-Za-z][A-Za-z0-9_]*", name):
         raise ValueError(f"identifier {name!r} has illegal characters")
     if len(name) > MAX_NAME:

@@ -33,7 +33,7 @@ def map_columns(df: DataFrame, columns: list[str], tag: str = "db") -> DataFrame
         by_name = [f.name for f in df.schema.fields if f.name.lower() == target.lower()]
         found = by_tag or by_name
         if not found:
-            raise ValueError(f"column '{target}' not found in row type")
+            raise ValueError(f"column {target!r} not found among those of the rows")
         picked.append(F.col(f"`{found[0]}`").alias(target))
     return df.select(*picked)
 
@@ -96,7 +96,7 @@ def bind_batch(df: DataFrame, columns: list[str], order: list[str]) -> DataFrame
     for c in columns:
         r = kinds.get(c)
         if r is not None and r["mismatches"]:
-            raise ValueError(f"column {c} type mismatch: expected {r['kind']} at row {tuple(r['first_mismatch'])}")
+            raise ValueError(f"column {c} holds something else than {r['kind']}, first in row {tuple(r['first_mismatch'])}")
     return df.withColumns(
         {
             c: F.try_variant_get(F.col(c), "$", BOUND[kinds[c]["kind"]])

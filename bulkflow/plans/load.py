@@ -46,7 +46,7 @@ def upsert_csv(spark: SparkSession, path: str, target: Snapshot | VersionedTable
     normalized = [normalize_name(k) for k in keys]
     missing = [k for k in normalized if k not in names]
     if not normalized or missing:
-        raise ValueError(f"key columns {missing} not found in CSV headers" if keys else "key columns must not be empty")
+        raise ValueError(f"the file does not have the keys {missing}" if keys else "a merge needs keys")
     staged, rows = source.stage(row_number=True)
     try:
         if rows:

@@ -152,7 +152,7 @@ def append(df: DataFrame, table: str) -> int:
     spark = df.sparkSession
     target = spark.table(table)
     if not df.columns:
-        raise ValueError("no column names provided")
+        raise ValueError("the batch has no columns")
     given = {c.lower(): c for c in df.columns}
     unknown = [c for low, c in given.items() if low not in {t.lower() for t in target.columns}]
     if unknown:

@@ -73,7 +73,7 @@ class MappedCsv:
         parsed = self._parsed()
         width = F.when(F.col(BAD).isNotNull(), F.lit("wrong number of fields"))
         errors = [
-            F.concat(F.lit(f"column '{m.target}' (csv header '{m.header}'): "), p.error) for m, p in parsed
+            F.concat(F.lit(f"field {m.header!r} for {m.target!r}: "), p.error) for m, p in parsed
         ]
         values = [p.value.alias(m.target) for m, p in parsed]
         return self._scan().select(*values, F.coalesce(width, *errors, no_error()).alias("_error"))
