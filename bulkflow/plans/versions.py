@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from bulkflow.operators.audit import foreign_key_violations
 from bulkflow.operators.merge import upsert
+from bulkflow.plans import ledger
 from bulkflow.plans.partitions import INITIAL, UNDATED
 from bulkflow.session import cut_lineage, delete_dir, list_dirs, modified, rename_new
 
@@ -88,6 +89,7 @@ class VersionedTable:
                 raise ValueError(f"the table has no column {c}")
         if self.unique and not self.keys:
             raise ValueError("a unique table needs keys")
+        ledger.own(self.spark, self.path, "versions")
         empty = self.spark.createDataFrame([], schema)
         empty.write.mode("ignore").parquet(f"{self.path}/schema")
         if not self._take(0, self._entries_of(empty)):

@@ -302,9 +302,11 @@ def test_what_has_an_owner_stays(spark):
         shown.publish(df)
     second.adopt(shown.path())
     failed, _ = tables.write_fresh(df, "failed")
+    versioned = stored(spark, df)
     assert ledger.owners(spark, shown.path()) == sorted([shown.name, second.name])
     assert ledger.vacuum(spark, grace_seconds=3600) == []
     assert swept(spark, failed)
+    assert versioned.read().count() == 5
     for n in (plain, pair.name, shown.name, second.name):
         assert spark.table(n).count() == 5
     location = tables.location(spark, plain)
