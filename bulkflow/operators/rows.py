@@ -90,13 +90,21 @@ def batch_kinds(df: DataFrame, columns: list[str], order: list[str]) -> DataFram
     )
 
 
+class MixedColumn(ValueError):
+    """A column of a batch holds cells of several kinds; ``row`` has the order values of the first odd one."""
+
+    def __init__(self, column: str, kind: str, row: tuple) -> None:
+        super().__init__(f"column {column} holds something else than {kind}, first in row {row}")
+        self.column, self.kind, self.row = column, kind, row
+
+
 def bind_batch(df: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
-    """Typed columns for a batch of VARIANT cells; raises for the first column that is mixed."""
+    """Typed columns for a batch of VARIANT cells; raises :class:`MixedColumn` for the first column that is mixed."""
     kinds = {r["column"]: r for r in batch_kinds(df, columns, order).collect()}
     for c in columns:
         r = kinds.get(c)
         if r is not None and r["mismatches"]:
-            raise ValueError(f"column {c} holds something else than {r['kind']}, first in row {tuple(r['first_mismatch'])}")
+            raise MixedColumn(c, r["kind"], tuple(r["first_mismatch"]))
     return df.withColumns(
         {
             c: F.try_variant_get(F.col(c), "$", BOUND[kinds[c]["kind"]])

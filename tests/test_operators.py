@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from bulkflow.functions.types import ColumnDef, struct_type
 from bulkflow.operators import audit, monitor, rows, timeline
 from bulkflow.operators.ordered import segmented, with_previous, with_running_sum
+from workload import row_queries
 
 
 def test_ordered_with_one_hot_group(spark):
@@ -200,3 +201,21 @@ def test_batch_typing(spark):
     assert rows_of(rows.bind_batch(df.select("i", "b", "c"), ["b", "c"], ["i"]), "i") == [(0, 1.5, "a"), (1, 20.0, "b"), (2, 3.25, "c")]
     with pytest.raises(ValueError, match="column d holds something else"):
         rows.bind_batch(df, ["b", "d"], ["i"])
+
+
+def test_a_mixed_column_is_named_with_its_first_odd_row(spark):
+    df = spark.sql("SELECT * FROM VALUES (7, parse_json('1')), (8, parse_json('2')), (9, parse_json('\"x\"')) AS t(i, u)")
+    with pytest.raises(rows.MixedColumn) as refused:
+        rows.bind_batch(df, ["u"], ["i"])
+    assert (refused.value.column, refused.value.kind, refused.value.row) == ("u", "integer", (9,))
+
+
+@pytest.mark.parametrize("odd", [None, 2])
+def test_bind_batch_query_gives_the_first_odd_row(spark, tmp_path, odd):
+    kind = F.when(F.col("event_id") == odd, "error").otherwise("view")
+    events = spark.range(4).select(
+        F.col("id").alias("event_id"), F.col("id").alias("user_id"), (F.col("id") / 2).alias("value"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts")
+    ).withColumn("event_type", kind)
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    got = row_queries.bind_batch(spark, str(tmp_path))
+    assert rows_of(got.select("event_id", "user", "first_mismatch"), "event_id") == [(i, i, odd) for i in range(4)]
