@@ -51,9 +51,18 @@ def fields_of(record: Column, width: int, sep: str = ",") -> Column:
 
 
 def width_of(records: DataFrame, column: str, sep: str = ",") -> int:
-    """An upper bound of the number of fields of any record, by one aggregate: separators count, quoted or not."""
-    text = F.col(column)
-    seps = (F.length(text) - F.length(F.replace(text, F.lit(sep), F.lit("")))) / len(sep)
+    """An upper bound of the number of fields of any record, by one aggregate.
+
+    Separators inside quoted fields do not count, so long texts do not make the records wide.  In a record
+    with a quote outside of well-formed quoted fields all separators count.
+    """
+    text, s = F.col(column), re.escape(sep)
+    # Possessive, so that any number of doubled quotes needs no stack.  What is cut out begins where a field
+    # does: no quote is left before it, or else one stays in the rest.
+    rest = F.regexp_replace(text, rf'(^|{s})"[^"]*+(?:""[^"]*+)*+"(?={s}|\z)', "$1")
+    bare = F.when(F.contains(text, F.lit('"')), F.when(F.contains(rest, F.lit('"')), text).otherwise(rest)).otherwise(text)
+    # Through a lambda, so that a record is cut once.
+    seps = F.element_at(F.transform(F.array(bare), lambda x: F.length(x) - F.length(F.replace(x, F.lit(sep), F.lit("")))), 1) / len(sep)
     # A count beside it: Spark does not read a file for its unparsed records alone.
     others = [F.count(F.col(c)) for c in records.columns if c != column][:1]
     return int(records.agg(F.coalesce(F.max(seps), F.lit(0)), *others).first()[0]) + 1

@@ -104,6 +104,25 @@ def test_fields_of(spark):
     assert got == [long.replace('""', '"'), "b"]
 
 
+def test_width_counts_no_separators_in_quotes(spark):
+    cells = ['1,"a,b,c,d",x', '"a,""b"",c,d"', '"",",,,,"', '"' + '"",' * 50_000 + '"']
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    assert width_of(df, "c") == 3
+    # Quotes that do not enclose a field: all separators count, so that no field is lost.
+    assert width_of(spark.createDataFrame([('1,"open,x,y',)], "c string"), "c") == 4
+    for odd in ('"a,"b,c,d,e",f', 'a "x,"b,c",d', '"a"b,c,"d,e"', 'a,b"c,d"', '"a" ,"b,c"'):
+        one = spark.createDataFrame([(odd,)], "c string")
+        width = width_of(one, "c")
+        assert width == odd.count(",") + 1
+        assert one.select(fields_of(F.col("c"), width)).first()[0] == one.select(fields_of(F.col("c"), 50)).first()[0]
+
+
+def test_width_with_other_separators(spark):
+    df = spark.createDataFrame([('1||"a||b"||"||""||"',)], "c string")
+    assert width_of(df, "c", "||") == 3
+    assert df.select(fields_of(F.col("c"), 3, "||")).first()[0] == ["1", "a||b", '||"||']
+
+
 def test_sections(spark, csv_file):
     path = csv_file("h1,h2\nv1,v2\nv3,v4\nt1,t2\n")
     both = sections.read_sections(spark, path, True, True)
