@@ -13,6 +13,18 @@ from pyspark.sql import functions as F
 from bulkflow.session import fresh_dir, scratch_root
 
 
+#: Rows for which a further task, and so a further file of a checkpoint, is worth while.
+TASK_ROWS = 50_000
+
+
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of about ``rows`` rows, in no more tasks than those need or the cores can take at once.
+
+    A checkpoint writes a file per task, and a local folder starts a process for each file's permissions.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, rows // TASK_ROWS))
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder: lost executors do not matter any more."""
     scratch_root(df.sparkSession)
@@ -38,7 +50,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = durable(edges.select("a", "b").where("a <> b").distinct())
     mark = _mark(now)
     while True:
-        now = durable(_small_star(_large_star(now)))
+        now = durable(few_tasks(_small_star(_large_star(now)), mark[0]))
         before, mark = mark, _mark(now)
         if before == mark:
             break

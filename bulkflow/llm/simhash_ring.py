@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bulkflow.llm.common import WORD, ids_and_texts, mix, ship, text_slices
-from bulkflow.llm.components import components, durable
+from bulkflow.llm.components import components, durable, few_tasks
 
 #: Groups up to this size are compared by offsets, larger ones as matrices of at most this many cells.
 SMALL_GROUP, MATRIX_CELLS = 32, 1 << 20
@@ -377,7 +377,7 @@ def near_duplicates(
     """
     columns = fingerprint_columns(words)
     marked = durable(fingerprints(docs, shingle, words, id_col, text_col, mark))
-    classes = durable(marked.groupBy(*columns).agg(F.min("doc_id").alias("node")))
+    classes = durable(few_tasks(marked.groupBy(*columns).agg(F.min("doc_id").alias("node")), marked.count()))
     roots = components(links(classes.where("node is not null"), limit, segments, words))
     named = classes.join(roots, "node", "left").select(*columns, F.coalesce("root", "node").alias("component_id"))
     return marked.join(named, columns, "left")

@@ -52,7 +52,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     def are(keys: DataFrame) -> Column:
         return (marked["doc_id"] == keys["doc_id"]) & (marked[hashed] == keys["mark"])
 
-    repeated = durable(rows.where("n > 1").select("doc_id", "mark"))
+    repeated = rows.where("n > 1").select("doc_id", "mark")
     kept = marked.join(others, are(others), "left_anti")
     if repeated.isEmpty():
         return kept.select(docs.columns)
