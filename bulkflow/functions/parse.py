@@ -98,21 +98,29 @@ def parse_number(c: Column) -> Parsed:
     return _checked(c, number_value(c), "NUMBER", empty_is_null=True)
 
 
-def parse_number_as(kind: str) -> Parser:
-    """NUMBER cell in a given Spark type; a cell that the type cannot hold as it is is an error."""
+def read_as(c: Column, kind: str) -> Column:
+    """A cell read in a Spark type, maybe rounded; a whole type reads "17.0" by way of a decimal."""
+    plain = F.replace(c, F.lit("_"), F.lit(""))
+    return F.coalesce(plain.try_cast(kind), plain.try_cast("decimal(38,18)").try_cast(kind))
 
-    def parse(c: Column) -> Parsed:
-        number = number_value(c)
-        plain = F.replace(c, F.lit("_"), F.lit(""))
-        # A whole type reads "17.0" by way of a decimal.
-        read = F.coalesce(plain.try_cast(kind), plain.try_cast("decimal(38,18)").try_cast(kind))
-        value = F.when(number.isNotNull(), read)
-        value = F.when(value.cast("double").eqNullSafe(number), value)
+
+def parse_number_as(kind: str) -> Callable[..., Parsed]:
+    """NUMBER cell in a given Spark type; a cell that the type cannot hold as it is is an error.
+
+    ``number`` and ``read``: columns that already hold :func:`number_value` and :func:`read_as` of the cell.
+    """
+
+    def parse(c: Column, number: Column | None = None, read: Column | None = None) -> Parsed:
+        number = number_value(c) if number is None else number
+        read = read_as(c, kind) if read is None else read
+        # A NULL number makes the comparison false.
+        fits = F.coalesce(read.cast("double") == number, F.lit(False))
+        value = F.when(fits, read)
         text = F.coalesce(c, F.lit(""))
         message = F.when(number.isNull(), F.concat(F.lit("invalid NUMBER '"), text, F.lit("'"))).otherwise(
             F.concat(F.lit(f"{kind} cannot hold '"), text, F.lit("'"))
         )
-        return Parsed(value, F.when(value.isNull() & (text != ""), message))
+        return Parsed(value, F.when(~fits & (text != ""), message))
 
     return parse
 

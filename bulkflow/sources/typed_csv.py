@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bulkflow.functions.names import normalize_name, trim_space, trim_to_null
-from bulkflow.functions.parse import Parsed, number_is_integer, parse_number, parse_number_as, parse_timestamp
+from bulkflow.functions.parse import Parsed, number_is_integer, number_value, parse_number, parse_number_as, parse_timestamp, read_as
 from bulkflow.functions.times import whole_second
 from bulkflow.functions.types import type_name
 from bulkflow.session import delete_dir, fresh_table_dir
@@ -194,20 +194,29 @@ class TypedCsv:
 
     def rejects(self) -> DataFrame:
         """Every bad cell: ``row, col, column, raw, message`` (row and col count from 1)."""
-        parsed = self._parsed
+        names = [n for n, _ in self.columns]
+        # As columns, numbers are read once, however often a message refers to them.
+        numbers, messages = {}, {}
+        for i, (name, kind) in enumerate(self.columns):
+            messages[f"_message_{i}"] = self._parsed[name].error
+            if kind == "NUMBER" and name in self.number_types:
+                forced, c, number, held = self.number_types[name], F.col(name), f"_number_{i}", f"_read_{i}"
+                numbers |= {number: number_value(c), held: read_as(c, forced)}
+                messages[f"_message_{i}"] = parse_number_as(forced)(c, F.col(number), F.col(held)).error
+        # Messages are columns, too: inside a lambda every cell would be parsed by interpreted expressions.
+        read = self.numbered().withColumns(numbers).withColumns(messages)
         found = F.array(
             *[
                 F.struct(
                     F.lit(i + 1).cast("bigint").alias("col"),
                     F.lit(name).alias("column"),
                     F.col(name).alias("raw"),
-                    parsed[name].error.alias("message"),
+                    F.col(f"_message_{i}").alias("message"),
                 )
-                for i, (name, _) in enumerate(self.columns)
+                for i, name in enumerate(names)
             ]
         )
-        bad = F.filter(found, lambda x: x["message"].isNotNull())
-        return self.numbered().select(F.col("_row").alias("row"), F.inline(bad))
+        return read.select(F.col("_row").alias("row"), F.inline(found)).filter("message IS NOT NULL")
 
     def check(self) -> None:
         """Raise for the bad cell that comes first in the file."""

@@ -104,6 +104,20 @@ def test_fields_of(spark):
     assert got == [long.replace('""', '"'), "b"]
 
 
+def test_rejects_parse_no_cell_inside_a_lambda(spark, csv_file):
+    """Lambdas are interpreted, and read each cell again for every mention of it."""
+    path = csv_file("a,b,d\nNUMBER,NUMBER,DATE\n1,1.005,2024-01-01\nx,,soon\n17.0,2.50,\nnan,1e400,2024-01-01\n")
+    found = TypedCsv(spark, path, number_types={"A": "int", "B": "decimal(6,2)"}).rejects()
+    assert rows_of(found.select("row", "col", "column", "raw", "message"), "row", "col") == [
+        (3, 2, "B", "1.005", "decimal(6,2) cannot hold '1.005'"),
+        (4, 1, "A", "x", "invalid NUMBER 'x'"),
+        (4, 3, "D", "soon", "invalid timestamp 'soon'"),
+        (6, 1, "A", "nan", "int cannot hold 'nan'"),
+        (6, 2, "B", "1e400", "invalid NUMBER '1e400'"),
+    ]
+    assert "lambdafunction" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_width_counts_no_separators_in_quotes(spark):
     cells = ['1,"a,b,c,d",x', '"a,""b"",c,d"', '"",",,,,"', '"' + '"",' * 50_000 + '"']
     df = spark.createDataFrame([(c,) for c in cells], "c string")
