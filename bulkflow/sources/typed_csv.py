@@ -134,7 +134,7 @@ class TypedCsv:
     def _measures(self) -> list[Column]:
         """Aggregates over cells with a ``_leading`` number: rows, bad cells, non-integral numbers."""
         errors = [parsed.error.isNotNull().cast("bigint") for parsed in self._parsed.values()]
-        bad = F.aggregate(F.array(*errors), F.lit(0).cast("bigint"), lambda total, x: total + x)
+        bad = _sum_of(errors)
         data = F.col("_leading") == 0
         measures = [
             F.count(F.when(data, 1)).alias("rows"),
@@ -230,3 +230,10 @@ class TypedCsv:
             self.check()
         source = self.numbered() if row_number else self.text()
         return source.select(*([F.col("_row")] if row_number else []), *self._typed(self._integral()))
+
+
+def _sum_of(columns: list[Column]) -> Column:
+    """Added up in pairs, so that the expression stays shallow however many columns there are."""
+    while len(columns) > 1:
+        columns = [a + b for a, b in zip(columns[::2], columns[1::2])] + columns[len(columns) - len(columns) % 2 :]
+    return columns[0]

@@ -365,3 +365,11 @@ def test_a_stored_chunk_opens_few_files(spark, tmp_path):
     assert "GreaterThanOrEqual(row_index,3700)" in plan and "LessThanOrEqual(row_index,3799)" in plan
     assert stored_chunk(spark, path, 0, 0).count() == 10_000 and stored_chunk(spark, path, 1, 0).count() == 0
     assert stored_chunk(spark, path, 200, 100).count() == 0
+
+
+def test_bad_cells_are_counted_outside_of_lambdas(spark, csv_file):
+    path = csv_file("a,b,c\nNUMBER,NUMBER,DATE\n1,x,soon\n2,3,2024-01-01\ny,,\n")
+    typed = TypedCsv(spark, path)
+    assert (typed.profile["rows"], typed.profile["bad"]) == (3, 3)
+    counted = typed._flagged(by_text=True).agg(*typed._measures())
+    assert "lambdafunction" not in counted._jdf.queryExecution().optimizedPlan().toString().lower()
