@@ -23,6 +23,8 @@ INITIAL = "P_INITIAL"
 UNDATED = "P_UNDATED"
 # Fixed value: rows of earlier days go to the initial partition.
 FIRST_DAY = "2024-01-01"
+# About as many rows of one partition are written, and sorted for it, by one task of an append.
+ROWS_PER_TASK = 1_000_000
 
 
 def day_partition(ts: Column, first_day: str = FIRST_DAY) -> Column:
@@ -41,6 +43,25 @@ def second_high_value(ts: Column) -> Column:
     return F.date_format(plus_micros(ts, F.lit(1_000_000).cast("bigint")), "yyyyMMdd HH:mm:ss")
 
 
+def _dealt(routed: DataFrame, column: str) -> DataFrame:
+    """Rows of a partition together, those of a large one in parts of about :data:`ROWS_PER_TASK` rows.
+
+    The part is a hash of the row, so a task that is tried again deals its rows alike.  At most one
+    partition in :data:`ROWS_PER_TASK` rows is large, so the table of large ones is small.
+    """
+    value = F.col(quoted(column))
+    sizes = routed.groupBy(value.alias("__value")).agg(F.count(F.lit(1)).alias("__rows"))
+    large = sizes.filter(F.col("__rows") > ROWS_PER_TASK).select("__value", F.ceil(F.col("__rows") / ROWS_PER_TASK).alias("__parts"))
+    hashed = [F.col(quoted(f.name)) for f in routed.schema.fields if _has_hash(f.dataType)]
+    joined = routed.join(F.broadcast(large), value == F.col("__value"), "left")
+    dealt = joined.withColumn("__part", F.pmod(F.xxhash64(*hashed), F.coalesce("__parts", F.lit(1))))
+    return dealt.hint("rebalance", column, "__part").select(*[F.col(quoted(c)) for c in routed.columns])
+
+
+def _has_hash(kind: T.DataType) -> bool:
+    return not any(word in kind.simpleString() for word in ("map<", "variant"))
+
+
 @dataclass
 class PartitionedTable:
     """An external parquet table with one text partition column that is stored, not derived."""
@@ -59,8 +80,9 @@ class PartitionedTable:
     def append(self, df: DataFrame) -> int:
         """Add rows; partitions that are new appear by themselves.
 
-        The rebalance gathers a partition's rows into few files and still splits a partition
-        that holds much of the data over several tasks.  A row without a partition value
+        The rebalance gathers a partition's rows into few files.  A partition with many rows is
+        dealt over several tasks by its row count; the sizes that Spark splits by are compressed,
+        and equal times or labels hide many rows in few bytes.  A row without a partition value
         fails the append.
         """
         ours = next((c for c in df.columns if c.lower() == self.column.lower()), None)
@@ -69,7 +91,7 @@ class PartitionedTable:
         missing = F.raise_error(F.lit(f"a row for {self.name} has no partition")).cast("string")
         routed = df.withColumn(ours, F.coalesce(F.col(quoted(ours)).cast("string"), missing))
         self._apart_from_ceded()
-        return tables.append(routed.hint("rebalance", ours), self.name)
+        return tables.append(_dealt(routed, ours), self.name)
 
     def _apart_from_ceded(self) -> None:
         """Give partitions whose usual folder now belongs to another table a folder of their own."""

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from bulkflow.functions import parse
 from bulkflow.functions.types import ColumnDef, primary_key
-from bulkflow.plans import load, tables
+from bulkflow.plans import load, partitions, tables
 from bulkflow.plans.partitions import PartitionedTable, day_partition, second_high_value, second_partition
 from bulkflow.plans.publish import ABTable, Snapshot, batch_plan, full_reload
 from bulkflow.session import fresh_name
@@ -297,6 +297,29 @@ def test_rolling_replace(spark):
     assert t.read().count() == 5
 
 
+def test_rows_of_a_large_partition_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(partitions, "ROWS_PER_TASK", 1000, raising=False)
+    wanted = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        t = PartitionedTable(spark, name("dealt"))
+        rows = spark.range(10_500).select(
+            "id", F.lit("equal").alias("label"), F.create_map(F.lit("k"), "id").alias("more"),
+            F.when(F.col("id") < 10_000, "2024-03-01").otherwise("2024-03-02").alias("_part"),
+        )
+        t.create(rows.schema)
+        assert t.append(rows) == 10_500
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    files = t.read().groupBy("_part", F.input_file_name()).count().collect()
+    assert max(r["count"] for r in files) < 5000
+    assert len([r for r in files if r["_part"] == "2024-03-02"]) == 1
+    assert t.read().agg(F.count("*"), F.sum("id"), F.sum(F.col("more")["k"])).first()[:] == (10_500, *[10_500 * 10_499 // 2] * 2)
+
+
 def test_truncate_partitioned_table(spark):
     t = daily(spark)
     tables.truncate(spark, t.name)
