@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from bulkflow.functions.times import micros, plus_micros, seconds_between
 from bulkflow.operators.ordered import SEGMENT, segmented, with_previous, with_running_sum
 
 P90 = 0.90
+# A tick of at most so many rows is ordered in one task.
+CROWD = 100_000
 
 
 def nearest_rank_of_histogram(
@@ -37,15 +40,19 @@ def in_window(samples: DataFrame, start: Column, end: Column, ts: str = "ts") ->
     return samples.filter(F.col(ts).between(start, end))
 
 
+def _tick_of(samples: DataFrame) -> list[Column]:
+    undated = F.lit(0).cast("timestamp").cast(samples.schema["ts"].dataType)
+    window = F.window(F.coalesce("ts", undated), "1 second")
+    return [window.alias("window"), F.col("ts").isNull().alias("undated")]
+
+
 def tick_counts(samples: DataFrame) -> DataFrame:
     """Per one-second tick and duration: successes, errors and changes.  Works on streams too.
 
     Samples without a time are counted in a tick without a time.
     """
     ok = ~is_error()
-    undated = F.lit(0).cast("timestamp").cast(samples.schema["ts"].dataType)
-    window = F.window(F.coalesce("ts", undated), "1 second")
-    return samples.groupBy(window.alias("window"), F.col("ts").isNull().alias("undated"), "duration").agg(
+    return samples.groupBy(*_tick_of(samples), "duration").agg(
         F.count(F.when(ok, 1)).alias("success"),
         F.count(F.when(~ok, 1)).alias("errors"),
         F.count(F.when(ok & F.col("changed"), 1)).alias("changed"),
@@ -53,22 +60,59 @@ def tick_counts(samples: DataFrame) -> DataFrame:
     )
 
 
-def fold_ticks(counts: DataFrame) -> DataFrame:
-    """Tick statistics from the rows of :func:`tick_counts`."""
-    tick = F.when(~F.col("undated"), F.col("window.start"))
-    flat = counts.select(tick.alias("tick"), "duration", "success", "errors", "changed", "samples")
-    totals = flat.groupBy("tick").agg(
-        F.sum("success").alias("success"), F.sum("errors").alias("errors"), F.sum("changed").alias("changed")
-    )
+def _crowded_ticks(rows: DataFrame) -> DataFrame | None:
+    """Ticks with more than :data:`CROWD` rows, of samples or of :func:`tick_counts`; None if there are none."""
+    ticks = _tick_of(rows) if "ts" in rows.columns else [F.col("window"), F.col("undated")]
+    sizes = rows.groupBy(*ticks).agg(F.count(F.lit(1)).alias("rows"))
+    if (sizes.agg(F.max("rows")).first()[0] or 0) <= CROWD:
+        return None
+    return sizes.filter(F.col("rows") > CROWD).select(_tick().alias("crowded"))
+
+
+def _tick() -> Column:
+    return F.when(~F.col("undated"), F.col("window.start"))
+
+
+def fold_ticks(counts: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+    """Tick statistics from the rows of :func:`tick_counts`.
+
+    A tick is ordered in one task, unless it has more than :data:`CROWD` rows; those few are spread over
+    many tasks.  A tick has no more durations than ``samples``, so its samples may be counted for that
+    when they are cheaper to read than ``counts``.
+    """
+    crowded = _crowded_ticks(counts if samples is None else samples)
+    flat = counts.select(_tick().alias("tick"), "duration", "success", "errors", "changed", "samples")
+    if crowded is None:
+        return _fold_in_tasks(flat)
+    large = F.col("tick").eqNullSafe(F.col("crowded"))
+    apart = flat.join(F.broadcast(crowded), large, "left_semi")
+    return _fold_in_tasks(flat.join(F.broadcast(crowded), large, "left_anti")).unionByName(_fold_spread(apart))
+
+
+def _fold_in_tasks(flat: DataFrame) -> DataFrame:
+    timed = F.when(F.col("duration").isNotNull(), F.col("samples"))
+    tick = Window.partitionBy("tick")
+    upto = F.sum(timed).over(tick.orderBy("duration").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = flat.withColumns({"_upto": upto, "_n": F.sum(timed).over(tick)})
+    at_rank = F.col("duration").isNotNull() & (F.col("_upto") > F.least(F.floor(F.col("_n") * F.lit(P90)), F.col("_n") - 1))
+    return ranked.groupBy("tick").agg(*_totals(), F.min(F.when(at_rank, F.col("duration"))).alias("p90"))
+
+
+def _fold_spread(flat: DataFrame) -> DataFrame:
+    totals = flat.groupBy("tick").agg(*_totals())
     timed = flat.filter(F.col("duration").isNotNull())
     p90 = nearest_rank_of_histogram(timed, ["tick"], "duration", "samples", P90, "p90")
     at = p90.withColumnRenamed("tick", "p90_tick")
     return totals.join(at, totals["tick"].eqNullSafe(at["p90_tick"]), "left").drop("p90_tick")
 
 
+def _totals() -> list[Column]:
+    return [F.sum(c).alias(c) for c in ("success", "errors", "changed")]
+
+
 def tumbling_stats(samples: DataFrame) -> DataFrame:
     """Per second: success, errors, changed, p90 of all durations."""
-    return fold_ticks(tick_counts(samples))
+    return fold_ticks(tick_counts(samples), samples)
 
 
 def baseline(samples: DataFrame, order: list[str]) -> DataFrame:

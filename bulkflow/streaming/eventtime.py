@@ -114,9 +114,11 @@ class EventTime:
         at = micros(F.col(self.ts))
         rows = batch.select(*self.schema.names)
         is_late = F.col(self.ts).isNull() | (at < released if released is not None else F.lit(False))
-        turn.emit("late", rows.filter(is_late))
+        # What was held back is older than the clock's newest time, so only new rows can move it.
+        found = rows.agg(F.count(F.when(is_late, 1)).alias("late"), F.max(F.when(~is_late, at)).alias("newest")).first()
+        turn.emit("late", rows.filter(is_late) if found["late"] else self.spark.createDataFrame([], self.schema))
         waiting = turn.state("open", self.schema).unionByName(rows.filter(~is_late))
-        seen = waiting.agg(F.max(at)).first()[0]
+        seen = found["newest"]
         newest = max((n for n in (newest, seen) if n is not None), default=None)
         until = released
         if newest is not None:
@@ -137,7 +139,7 @@ TICKS = "tick timestamp_ntz, success bigint, errors bigint, changed bigint, p90
 
 def closed_ticks(released: DataFrame, turn: Turn) -> None:
     """Statistics of one-second ticks, each emitted once, when it is closed: ``ticks``."""
-    stats = fold_ticks(tick_counts(released))
+    stats = fold_ticks(tick_counts(released), released)
     turn.emit("ticks", stats.select("tick", "success", "errors", "changed", "p90"))
 
 

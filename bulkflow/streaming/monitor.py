@@ -28,7 +28,7 @@ def tick_stats(spark: SparkSession, path: str) -> DataFrame:
     """Statistics of all ticks seen so far, the open last one included."""
     counts = spark.read.parquet(path)
     sums = [F.sum(c).alias(c) for c in ("success", "errors", "changed", "samples")]
-    return fold_ticks(counts.groupBy("window", "undated", "duration").agg(*sums))
+    return fold_ticks(counts.groupBy("window", "undated", "duration").agg(*sums), counts)
 
 
 def write_changes(samples: DataFrame, checkpoint: str, path: str, initial: str = "") -> None:

@@ -1,3 +1,4 @@
+import datetime
 import random
 
 import pytest
@@ -96,6 +97,29 @@ def test_tumbling_stats(spark):
     ]
 
 
+def test_only_crowded_ticks_are_spread(spark, monkeypatch):
+    rnd = random.Random(4)
+    start = datetime.datetime(2024, 1, 1)
+    at = lambda: rnd.choice([None, start, start + datetime.timedelta(milliseconds=rnd.randrange(6000)), datetime.datetime(1969, 12, 31, 23, 59, 59, 500)])
+    data = [(at(), rnd.choice(["v", "w", "", None]), rnd.choice([None, "timeout"]), rnd.choice([None, 0.0, -0.0, float("nan"), rnd.randrange(40) / 7]), rnd.random() < 0.5) for _ in range(600)]
+    df = spark.createDataFrame(data, "ts timestamp_ntz, value string, err string, duration double, changed boolean")
+    spread = []
+    of_histogram = monitor.nearest_rank_of_histogram
+    monkeypatch.setattr(monitor, "nearest_rank_of_histogram", lambda *a: spread.append(1) or of_histogram(*a))
+    stats = lambda: sorted(map(repr, monitor.tumbling_stats(df).collect()))
+    whole = stats()
+    assert not spread
+    for most in (60, 0):  # some ticks, all ticks
+        monkeypatch.setattr(monitor, "CROWD", most, raising=False)
+        assert stats() == whole
+    assert len(spread) == 2
+    second = lambda t: t and t.replace(microsecond=0)
+    for r in monitor.tumbling_stats(df).collect():
+        timed = sorted((d for t, *_, d, _ in data if second(t) == r.tick and d is not None), key=lambda d: (d != d, d))
+        rank = min(int(len(timed) * 0.90), len(timed) - 1)
+        assert repr(r.p90) == repr(timed[rank] + 0.0 if timed else None)
+
+
 def test_concurrency(spark):
     rnd = random.Random(5)
     data = [(rnd.randrange(20000), 1, "v", None, False, rnd.randrange(0, 4000) / 1000, 0) for _ in range(300)]
